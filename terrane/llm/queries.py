@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, shuffle, tokenfile
+from terrane.llm import bpe, mixing, shuffle, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,10 +46,16 @@ def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_files(manifest)
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mixed(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op5_shuffle": op5_shuffle,
     "op7_tokenfile": op7_tokenfile,
+    "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL}
