@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, mixing, shuffle, tokenfile
+from terrane.llm import bpe, mixing, secrets, shuffle, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +46,17 @@ def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_files(manifest)
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scanned(docs, keep_text=False).withColumn("base", F.expr("filter(secrets, s -> s.kind <> 'random')"))
+    return found.select(
+        "doc_id",
+        *[F.expr(f"CAST(size(filter(secrets, s -> s.kind = '{k}')) AS LONG) AS n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.joined("base").cast("binary"), 256).alias("base_sha256"),
+        secrets.joined("secrets").alias("spans"),
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mixed(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
@@ -55,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op5_shuffle": op5_shuffle,
     "op7_tokenfile": op7_tokenfile,
+    "op8_secrets": op8_secrets,
     "op10_mixing": op10_mixing,
 }
 
