@@ -27,11 +27,11 @@ from terrane.llm.arrow import extend
 from terrane.llm.pieces import chunks
 
 #: Entries of a worker's lexicon; beyond them it starts anew (speed only, never the result).
-LEXICON_ENTRIES = 700_000
+LEXICON_ENTRIES = 300_000
 #: Chunks of more characters than this are not kept in the lexicon.
 KEPT_CHARS = 200
 #: Bytes of text that share one replay.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
 
 _NONE = np.int32(2**31 - 1)
 _SHIFT = 21

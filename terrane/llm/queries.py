@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, mixing, secrets, shuffle, tokenfile
+from terrane.llm import bpe, mixing, pii, secrets, shuffle, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,18 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    # The first four kinds are the base kinds.
+    spans = pii.found(docs).drop("text").withColumn("base", F.expr("filter(pii, s -> s.number < 4)"))
+    return spans.select(
+        "doc_id",
+        *[F.expr(f"CAST(size(filter(pii, s -> s.number = {i})) AS LONG) AS n_{k}") for i, k in enumerate(pii.KINDS[:4])],
+        F.sha2(pii.joined("base").cast("binary"), 256).alias("base_sha256"),
+        pii.joined("pii").alias("spans"),
+    )
+
+
 def op5_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return shuffle.shuffled(docs, 8).select(
@@ -64,6 +76,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_pii": op4_pii,
     "op5_shuffle": op5_shuffle,
     "op7_tokenfile": op7_tokenfile,
     "op8_secrets": op8_secrets,
