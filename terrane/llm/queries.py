@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, mixing, pii, secrets, shuffle, tokenfile
+from terrane.llm import bpe, flac, mixing, pii, secrets, shuffle, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,24 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("payload"))
+    docs = docs.withColumn("n_bytes", F.octet_length("payload").cast("long"))
+    padded = f"rpad(payload, CAST(greatest({flac.BLOCK}, ceil(n_bytes / {flac.BLOCK}) * {flac.BLOCK}) AS INT), X'FF')"
+    stored = flac.encoded(docs.withColumn("payload", F.expr(padded)), "payload").drop("payload")
+    back = flac.decoded(stored).withColumn("payload", F.expr("aggregate(blocks, X'', (all, b) -> concat(all, b.pcm))"))
+    return back.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, -32, 32)")).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        "feature",
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mixed(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
@@ -80,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_shuffle": op5_shuffle,
     "op7_tokenfile": op7_tokenfile,
     "op8_secrets": op8_secrets,
+    "op9_flac": op9_flac,
     "op10_mixing": op10_mixing,
 }
 
