@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 _CUT = re.compile(r"(?<=\S) ")
 #: A space after white space: there the text must not be cut.
@@ -18,3 +19,40 @@ def chunks(text: str) -> list[str]:
     """
     pairs = _ASCII if text.isascii() else _ASCII + _OTHER
     return _CUT.split(text) if text[:1] == " " or any(p in text for p in pairs) else text.split(" ")
+
+
+class Lexicon:
+    """Ids of the chunks that a worker has met, as little-endian unsigned 32-bit integers.
+
+    `ids_of` gives the ids of a list of strings. The first chunk of a text has no space before it and is kept
+    apart. Long chunks are forgotten at once, and all when there are more than `entries`: this bounds memory and
+    changes no result.
+    """
+
+    LONG = 200
+
+    def __init__(self, ids_of: Callable[[list[str]], list[bytes]], entries: int):
+        self.ids_of, self.entries = ids_of, entries
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.first) + len(self.later) > self.entries:
+            self.first, self.later = {}, {}
+        heads, rests, later = [], [], set()
+        for text in texts:
+            rest = chunks(text)
+            heads.append(rest.pop(0))
+            later.update(rest)
+            rests.append(rest)
+        first = list(set(heads).difference(self.first))
+        later = list(later.difference(self.later))
+        self.first.update(zip(first, self.ids_of(first)))
+        self.later.update(zip(later, self.ids_of([" " + x for x in later])))
+        known = self.later.__getitem__
+        out = [self.first[head] + b"".join(map(known, rest)) for head, rest in zip(heads, rests)]
+        for held, new in ((self.first, first), (self.later, later)):
+            for x in new:
+                if len(x) > self.LONG:
+                    del held[x]
+        return out

@@ -31,15 +31,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrane.llm.arrow import slices
-from terrane.llm.pieces import chunks
+from terrane.llm.pieces import Lexicon
 from terrane.llm.storage import new_path, open_store, saved
 
 MAGIC = b"TIDPACK1"
 _TAIL = struct.Struct("<IIQQ8s")
 BLOCK_IDS = 1 << 16
 #: Entries of a worker's lexicon; beyond them it starts anew (speed only, never the result).
-LEXICON_ENTRIES = 700_000
-KEPT_CHARS = 200
+LEXICON_ENTRIES = 1_300_000
+#: Chunks that the library encodes at a time.
+JOINT = 1000
 READ_BLOCKS = 16
 
 
@@ -144,38 +145,37 @@ class Reader:
             yield doc_id, a, b - a, crc
 
 
-class Lexicon:
-    """Ids by the tokenizers library of the chunks seen so far in this worker."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > LEXICON_ENTRIES:
-            self.first, self.later = {}, {}
-        cut = [chunks(t) for t in texts]
-        for held, new, lead in ((self.first, {c[0] for c in cut}, ""), (self.later, {x for c in cut for x in c[1:]}, " ")):
-            fresh = [x for x in new if x not in held]
-            for i in range(0, len(fresh), 20_000):
-                part = fresh[i : i + 20_000]
-                for x, e in zip(part, self.tokenizer.encode_batch_fast([lead + x for x in part], add_special_tokens=False)):
-                    held[x] = np.array(e.ids, dtype="<u4").tobytes()
-        out = [self.first[c[0]] + b"".join(map(self.later.__getitem__, c[1:])) for c in cut]
-        for held in (self.first, self.later):
-            for x in [x for x in held if len(x) > KEPT_CHARS]:
-                del held[x]
-        return out
-
-
 @lru_cache(maxsize=1)
 def lexicon(path: str) -> Lexicon:
-    return Lexicon(path)
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    # Bytes of each id's token: byte-level vocabularies write one character for each byte.
+    width = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
+    for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
+        width[i] = len(token)
+
+    def ids_of(texts: list[str]) -> list[bytes]:
+        """The library encodes many chunks as one text, and their bytes tell which ids are whose. Chunks that could
+        share white space with the next are encoded alone."""
+        out: dict[str, bytes] = {}
+        joint = [t for t in texts if t[:1] == " " and not t[-1].isspace()]
+        alone = [t for t in texts if t[:1] != " " or t[-1].isspace()]
+        for i in range(0, len(alone), JOINT):
+            for t, e in zip(alone[i : i + JOINT], tokenizer.encode_batch_fast(alone[i : i + JOINT], add_special_tokens=False)):
+                out[t] = np.array(e.ids, dtype="<u4").tobytes()
+        for i in range(0, len(joint), JOINT):
+            part = joint[i : i + JOINT]
+            ids = np.array(tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.cumsum(np.fromiter((len(t.encode()) for t in part), dtype=np.int64, count=len(part)))
+            cuts = np.searchsorted(np.cumsum(width[ids]), ends, side="left") + 1
+            raw, cuts = ids.tobytes(), [0, *(cuts * 4).tolist()]
+            out.update(zip(part, (raw[a:b] for a, b in zip(cuts, cuts[1:]))))
+        return [out[t] for t in texts]
+
+    return Lexicon(ids_of, LEXICON_ENTRIES)
 
 
 def write_files(df: DataFrame, path: str, vocabulary: int, folder: str | None = None, end_id: int | None = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
