@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, flac, mixing, pii, secrets, shuffle, tokenfile
+from terrane.llm import bpe, flac, hilbert, mixing, pii, secrets, shuffle, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +52,10 @@ def op5_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     manifest = tokenfile.write_files(docs, public_tokenizers.path("byte_bpe_50k.json"), vocabulary=50_257)
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op4_pii": op4_pii,
     "op5_shuffle": op5_shuffle,
+    "op6_hilbert": op6_hilbert,
     "op7_tokenfile": op7_tokenfile,
     "op8_secrets": op8_secrets,
     "op9_flac": op9_flac,
