@@ -24,12 +24,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from terrane.llm.arrow import extend
-from terrane.llm.pieces import chunks
+from terrane.llm.pieces import Lexicon
 
 #: Entries of a worker's lexicon; beyond them it starts anew (speed only, never the result).
 LEXICON_ENTRIES = 300_000
-#: Chunks of more characters than this are not kept in the lexicon.
-KEPT_CHARS = 200
 #: Bytes of text that share one replay.
 BLOCK_BYTES = 4 << 20
 
@@ -162,44 +160,18 @@ def split_pattern(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
 
 
-class Lexicon:
-    """Ids of the chunks seen so far in this worker; a chunk that starts a text is kept under a key of its own."""
-
-    def __init__(self, path: str, pattern: str):
-        self.vocabulary, self.pattern = vocabulary(path), split_pattern(pattern)
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def learn(self, texts: list[str]) -> None:
-        """Replay the merges over all distinct pieces of the chunks that are new here."""
-        if len(self.first) + len(self.later) > LEXICON_ENTRIES:
-            self.first, self.later = {}, {}
-        first, later = set(), set()
-        for text in texts:
-            head, *rest = chunks(text)
-            first.add(head)
-            later.update(rest)
-        first.difference_update(self.first)
-        later.difference_update(self.later)
-        cut = [(c, self.first, self.pattern.findall(c)) for c in first] + [(c, self.later, self.pattern.findall(" " + c)) for c in later]
-        words = sorted({w for _, _, found in cut for w in found})
-        ids = dict(zip(words, self.vocabulary.replay([w.encode() for w in words])))
-        for chunk, held, found in cut:
-            held[chunk] = b"".join(map(ids.__getitem__, found))
-
-    def encode(self, text: str) -> bytes:
-        head, *rest = chunks(text)
-        return self.first[head] + b"".join(map(self.later.__getitem__, rest))
-
-    def forget_long(self) -> None:
-        for held in (self.first, self.later):
-            for chunk in [c for c in held if len(c) > KEPT_CHARS]:
-                del held[chunk]
-
-
 @lru_cache(maxsize=1)
 def lexicon(path: str, pattern: str) -> Lexicon:
-    return Lexicon(path, pattern)
+    words, split = vocabulary(path), split_pattern(pattern)
+
+    def ids_of(texts: list[str]) -> list[bytes]:
+        """Replay the merges over all distinct pieces of the texts."""
+        found = list(map(split.findall, texts))
+        distinct = list({w for pieces in found for w in pieces})
+        ids = dict(zip(distinct, words.replay([w.encode() for w in distinct])))
+        return [b"".join(map(ids.__getitem__, pieces)) for pieces in found]
+
+    return Lexicon(ids_of, LEXICON_ENTRIES)
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
@@ -209,11 +181,7 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         known = lexicon(path, pattern)
 
         def work(piece: pa.RecordBatch) -> list:
-            texts = [t or "" for t in piece.column(text).to_pylist()]
-            known.learn(texts)
-            out = [known.encode(t) for t in texts]
-            known.forget_long()
-            return [out]
+            return [known.encode([t or "" for t in piece.column(text).to_pylist()])]
 
         return work
 
