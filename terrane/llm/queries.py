@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, flac, hilbert, mixing, pii, secrets, shuffle, tokenfile
+from terrane.llm import bpe, flac, hilbert, langid, mixing, pii, secrets, shuffle, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,13 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(langid.remainder("doc_id") == 2, F.lit(False))
+    model = langid.fit(docs, ~held_out)
+    return langid.predicted(docs.select("doc_id", "text"), model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     # The first four kinds are the base kinds.
@@ -98,6 +105,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_langid": op3_langid,
     "op4_pii": op4_pii,
     "op5_shuffle": op5_shuffle,
     "op6_hilbert": op6_hilbert,
