@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import random
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -58,6 +59,7 @@ class Model:
     """Labels, the index of features and lexicon words, and the weights."""
 
     def __init__(self, labels: list[str], index: dict[str, int]):
+        self.name = uuid.uuid4().hex
         self.labels, self.index = labels, index
         self.weights = np.zeros((len(index) + 1, len(labels)))  # the last row is the bias
         self.moves = np.zeros((len(labels), len(labels)))
@@ -227,7 +229,8 @@ def fit(df: DataFrame, usable: Column, text: str = "text", lang: str = "lang", d
     return train([(r["t"], r["l"]) for r in picked])
 
 
-_labellers: dict[int, Labeller] = {}
+#: This worker's labeller, by its model's name.
+_labellers: dict[str, Labeller] = {}
 
 
 def predicted(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -238,10 +241,11 @@ def predicted(df: DataFrame, model: Model | None, text: str = "text") -> DataFra
     sent = df.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        if sent.id not in _labellers:
+        model = sent.value
+        if model.name not in _labellers:
             _labellers.clear()
-            _labellers[sent.id] = Labeller(sent.value)
-        labeller = _labellers[sent.id]
+            _labellers[model.name] = Labeller(model)
+        labeller = _labellers[model.name]
 
         def work(piece: pa.RecordBatch) -> list:
             return list(labeller.predict(piece.column(text).to_pylist()))
