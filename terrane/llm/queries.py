@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, flac, hilbert, langid, mixing, pii, secrets, shuffle, tokenfile
+from terrane.llm import bpe, flac, hilbert, langid, mixing, pii, secrets, shuffle, simhash, tokenfile
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.grouped(docs, size=3, keep_text=False).select("doc_id", "fingerprint", "component_id")
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = F.coalesce(langid.remainder("doc_id") == 2, F.lit(False))
@@ -105,6 +110,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_simhash": op2_simhash,
     "op3_langid": op3_langid,
     "op4_pii": op4_pii,
     "op5_shuffle": op5_shuffle,
