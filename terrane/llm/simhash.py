@@ -58,11 +58,23 @@ def shingle_hashes(text: str, size: int) -> list[int]:
     return [hashed(line[a : b - 1], seed) for a, b in zip(starts, ends[size - 1 :])]
 
 
+def word_hashes(text: str, seed: int) -> list[int]:
+    """XXH64 of each distinct word."""
+    return [xxhash.xxh64_intdigest(w, seed) for w in set(text.encode().lower().split())]
+
+
 def fingerprints(texts: list[str | None], size: int) -> np.ndarray:
-    """A bit is 1 if it is set in over half of the text's shingle hashes."""
-    lists = [shingle_hashes(t or "", size) for t in texts]
+    return majorities([shingle_hashes(t or "", size) for t in texts])
+
+
+def word_fingerprints(texts: list[str | None], seed: int) -> np.ndarray:
+    return majorities([word_hashes(t or "", seed) for t in texts])
+
+
+def majorities(lists: list[list[int]]) -> np.ndarray:
+    """One fingerprint a list: a bit is 1 if it is set in over half of the list's hashes."""
     counts = np.array([len(x) for x in lists], dtype=np.int64)
-    out = np.zeros(len(texts), dtype=np.uint64)
+    out = np.zeros(len(lists), dtype=np.uint64)
     full = np.flatnonzero(counts)
     if not len(full):
         return out
@@ -222,7 +234,7 @@ def _hung(batches):
 def links(prints: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (long column `print`) that connect just what chains of pairs within
     three bits connect."""
-    keyed = saved(prints.mapInArrow(_keyed, "key long, print long"), "keys")
+    keyed = prints.mapInArrow(_keyed, "key long, print long")  # cheaper to make twice than to store
     counts = keyed.groupBy("key").count().where(F.col("count") > MOST).select("key")
     hot = saved(counts, "hot")
     rest = keyed
@@ -250,23 +262,56 @@ def grouped(df: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc
 
     Columns of `df` with those names are replaced. `keep_text=False` drops the texts once they are hashed.
     """
-    return _named(df, size, text, doc_id, keep_text).drop("__row", "__kept")
+    return _named(df, size, text, doc_id, keep_text).drop("__row")
+
 
+def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row of each group of near-duplicates, that of the least id; of rows with the same id any one, but only one.
 
-def deduplicated(df: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row of each component, that of the least id; of rows with the same id any one, but only one."""
-    return _named(df, size, text, doc_id, True).where(F.col("__row") == F.col("__kept")).select(*df.columns)
+    For copies that differ in some words. A fingerprint over the text's distinct words moves less than one over its
+    shingles: a changed word touches one word but up to five shingles. At a similarity of 0.8 over shingles of five
+    words such a fingerprint moves by about four bits, so several, of different seeds, are taken, and texts are
+    linked if any of these differ in three bits or fewer.
+    """
+    prints = [f"__print{i}" for i in range(len(seeds))]
+
+    def make():
+        def work(piece: pa.RecordBatch) -> list:
+            texts = piece.column(text).to_pylist()
+            return [pa.array(word_fingerprints(texts, seed).view(np.int64)) for seed in seeds]
+
+        return work
+
+    hashed = extend(df, text, [T.StructField(p, T.LongType(), False) for p in prints], make)
+    hashed = saved(hashed.withColumn("__row", F.monotonically_increasing_id()), "prints")
+    nodes = saved(hashed.groupBy(*prints).agg(F.min(_place(doc_id)).alias("least")).withColumn("node", F.col("least.row")), "nodes")
+    edges = None
+    for p in prints:
+        each = saved(nodes.groupBy(p).agg(F.min("node").alias("home"), F.count("*").alias("n")), "homes")
+        same = nodes.join(each.where("n > 1"), p).where("node <> home").select(F.col("node").alias("a"), F.col("home").alias("b"))
+        near = links(each.select(F.col(p).alias("print")))
+        ends = each.select(F.col(p).alias("print"), "home")
+        near = near.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        own = saved(same.union(near), "links")
+        edges = own if edges is None else edges.union(own)
+    roots = components(edges)
+    homes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = homes.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row"))
+    return hashed.join(kept, "__row", "left_semi").select(*df.columns)
+
+
+def _place(doc_id: str):
+    return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
 
 
 def _named(df: DataFrame, size: int, text: str, doc_id: str, keep_text: bool) -> DataFrame:
     hashed = printed(df.drop("fingerprint", "component_id"), size, text)
     # The numbers are stored with the rows, so they stay the same ever after.
     hashed = saved((hashed if keep_text else hashed.drop(text)).withColumn("__row", F.monotonically_increasing_id()), "prints")
-    place = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
-    nodes = saved(hashed.groupBy("__print").agg(F.min(place).alias("__least")), "nodes")
+    nodes = saved(hashed.groupBy("__print").agg(F.min(_place(doc_id)).alias("__least")), "nodes")
     roots = components(links(nodes.select(F.col("__print").alias("print"))))
     # The least id of each component, over its distinct fingerprints.
     homes = nodes.join(roots.withColumnRenamed("node", "__print"), "__print", "left").withColumn("root", F.coalesce("root", "__print"))
     least = homes.groupBy("root").agg(F.min("__least").alias("least"))
-    named = homes.join(least, "root").select("__print", F.col("least.id").alias("component_id"), F.col("least.row").alias("__kept"))
+    named = homes.join(least, "root").select("__print", F.col("least.id").alias("component_id"))
     return hashed.join(named, "__print", "left").withColumn("fingerprint", F.lower(F.lpad(F.hex("__print"), 16, "0"))).drop("__print")
