@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.plans import statistics
+from terrane.plans import statistics, texts
 from terrane.plans.registry_type import Query
 
-_ALL: list[Query] = [*statistics.QUERIES]
+_ALL: list[Query] = [*statistics.QUERIES, *texts.QUERIES]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
