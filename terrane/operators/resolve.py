@@ -11,17 +11,18 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrane.functions.text import project_core, project_name, trailing_number
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp similarity of two texts, the first as the source; 0 if either is empty."""
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """The best ratio, in percent, between the shared words of two texts and either text's words in order."""
 
