@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+#: An open element of these ends where the next of its kind starts.
+_ENDED = frozenset("p li td th tr dt dd option".split())
 _SILENT = frozenset(("script", "style"))
 _STEP = re.compile(r"([a-zA-Z][\w-]*|\*)|#([\w-]+)|\.([\w-]+)|\[@?([\w-]+)(?:=['\"]?([^'\"\]]*)['\"]?)?\]")
 
@@ -62,6 +64,9 @@ class _Page(HTMLParser):
         return self.lines[line - 1] + column
 
     def handle_starttag(self, tag, attrs):
+        if tag in _ENDED and self.open and self.open[-1].tag == tag:
+            last = self.open.pop()
+            last.end, last.text_to = self._at(), len(self.texts)
         e = _Element(tag, {k: v or "" for k, v in attrs}, self.open[-1] if self.open else None, self._at() + len(self.get_starttag_text()), text_from=len(self.texts))
         self.elements.append(e)
         if tag in _VOID:
