@@ -136,3 +136,38 @@ def region_of_address(addresses: DataFrame, aliases: DataFrame) -> DataFrame:
     parts = addresses.select("id", F.posexplode(F.split("address", ",")).alias("at", "part"))
     parts = parts.withColumn("alias", F.regexp_replace(norm(F.col("part")), r"^(thanh pho|tp|tinh)\b\s*", ""))
     return parts.join(aliases, "alias").groupBy("id").agg(F.max_by("region", "at").alias("region"))
+
+
+def proposals(src: DataFrame, dim: DataFrame, least: float = 0.88, length: int = 5) -> DataFrame:
+    """For names that are spelt otherwise: of the same parent's names of about the same length the most similar one, if
+    its ratio is above `least`. Columns of both: id, parent, name."""
+    pairs = src.alias("s").join(dim.alias("d"), F.col("s.parent") == F.col("d.parent")).where(F.abs(F.char_length("s.name") - F.char_length("d.name")) <= length)
+    scored_pairs = pairs.select(F.col("s.id").alias("id"), F.col("d.id").alias("target"), ratio("s.name", "d.name").alias("score")).where(F.col("score") > least)
+    best = scored_pairs.groupBy("id").agg(F.max_by(F.struct("target", "score"), F.struct("score", -F.col("target"))).alias("b"))
+    return best.select("id", "b.target", "b.score")
+
+
+def contained(src: DataFrame, dim: DataFrame, least: int = 4) -> DataFrame:
+    """Pairs under the same parent of which one name, of at least `least` characters, contains the other."""
+    pairs = src.alias("s").join(dim.alias("d"), F.col("s.parent") == F.col("d.parent"))
+    long = (F.char_length("s.name") >= least) & (F.char_length("d.name") >= least)
+    return pairs.where(long & (F.col("s.name").contains(F.col("d.name")) | F.col("d.name").contains(F.col("s.name")))).select(F.col("s.id").alias("id"), F.col("d.id").alias("target"))
+
+
+def with_aliases(src: DataFrame, dim: DataFrame, aliases: DataFrame, newer: DataFrame) -> DataFrame:
+    """`target` of each name: the dimension's of the same name under the same parent, else that of its alias there, else
+    that of the same name anywhere; then the newer id that replaced it. Columns: id, parent, name; name, alias; old, new."""
+    local = dim.groupBy("parent", "name").agg(F.min("id").alias("local"))
+    other = dim.groupBy("parent", F.col("name").alias("alias")).agg(F.min("id").alias("by_alias"))
+    anywhere = dim.groupBy("name").agg(F.min("id").alias("anywhere"))
+    rows = src.join(local, ["parent", "name"], "left").join(aliases, "name", "left").join(other, ["parent", "alias"], "left").join(anywhere, "name", "left")
+    rows = rows.withColumn("old", F.coalesce("local", "by_alias", "anywhere")).join(newer, "old", "left")
+    return rows.select("id", F.coalesce("new", "old").alias("target"))
+
+
+def neighbours_mapped(edges: DataFrame, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges (a, b) of a neighbour graph by the ids that they map to, and the ids that map to none. Columns: id, target."""
+    to = lambda name: mapping.select(F.col("id").alias(name), F.col("target").alias(f"{name}_target"))
+    mapped = edges.join(to("a"), "a").join(to("b"), "b").select(F.col("a_target").alias("a"), F.col("b_target").alias("b")).where("a <> b").distinct()
+    ids = edges.select(F.col("a").alias("id")).union(edges.select(F.col("b").alias("id"))).distinct()
+    return mapped, ids.join(mapping, "id", "left_anti")

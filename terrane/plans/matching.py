@@ -65,6 +65,44 @@ QUERIES += [
             table(spark, d, "nation").selectExpr("'nation ' || n_nationkey AS alias", "n_regionkey AS region")),
         """SELECT s_suppkey AS id, coalesce(b.n_regionkey, a.n_regionkey) AS region FROM supplier JOIN nation a ON s_nationkey = a.n_nationkey LEFT JOIN nation b ON s_nationkey + 1 = b.n_nationkey""",
     ),
+    Query(
+        "places_proposed",
+        lambda spark, d: resolve.proposals(
+            table(spark, d, "customer").selectExpr("c_custkey AS id", "c_nationkey % 5 AS parent", "'natiom_' || c_nationkey AS name"),
+            table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_regionkey AS parent", "lower(n_name) AS name"), 0.8).select("id", "target"),
+        """WITH p AS (SELECT c_custkey AS id, n_nationkey AS target, CASE WHEN c_nationkey = n_nationkey THEN 2.0 ELSE 0 END AS same, c_nationkey, n_nationkey FROM customer JOIN nation ON c_nationkey % 5 = n_regionkey)
+        SELECT id, target FROM p WHERE same = 2.0""",
+    ),
+    Query(
+        "places_contained",
+        lambda spark, d: resolve.contained(
+            table(spark, d, "customer").selectExpr("c_custkey AS id", "c_nationkey % 5 AS parent", "'ward nation_' || c_nationkey AS name"),
+            table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_regionkey AS parent", "lower(n_name) AS name")),
+        "SELECT c_custkey AS id, n_nationkey AS target FROM customer JOIN nation ON c_nationkey % 5 = n_regionkey WHERE contains('ward nation_' || c_nationkey, lower(n_name))",
+    ),
+    Query(
+        "places_by_alias",
+        lambda spark, d: resolve.with_aliases(
+            table(spark, d, "customer").selectExpr("c_custkey AS id", "c_nationkey % 5 AS parent", "CASE c_custkey % 3 WHEN 0 THEN 'n' || c_nationkey ELSE 'NATION_' || c_nationkey END AS name"),
+            table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_regionkey AS parent", "n_name AS name"),
+            table(spark, d, "nation").selectExpr("'n' || n_nationkey AS name", "n_name AS alias"),
+            table(spark, d, "nation").where("n_nationkey % 4 = 0").selectExpr("n_nationkey AS old", "n_nationkey + 100 AS new")),
+        """SELECT c_custkey AS id, t + CASE WHEN t % 4 = 0 THEN 100 ELSE 0 END AS target FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 AND n_regionkey <> c_nationkey % 5 THEN NULL ELSE c_nationkey END AS t FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
+    ),
+    Query(
+        "neighbours_mapped",
+        lambda spark, d: resolve.neighbours_mapped(
+            table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).selectExpr("c_nationkey AS a", "(c_nationkey + o_orderkey % 3 + 1) % 30 AS b"),
+            table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_nationkey div 2 AS target"))[0].select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")),
+        """SELECT DISTINCT CAST(c_nationkey // 2 AS BIGINT) AS a, CAST(((c_nationkey + o_orderkey % 3 + 1) % 30) // 2 AS BIGINT) AS b FROM orders JOIN customer ON o_custkey = c_custkey
+        WHERE (c_nationkey + o_orderkey % 3 + 1) % 30 < 25 AND c_nationkey // 2 <> ((c_nationkey + o_orderkey % 3 + 1) % 30) // 2""",
+    ),
+    Query(
+        "neighbours_unmapped",
+        lambda spark, d: resolve.neighbours_mapped(
+            table(spark, d, "customer").selectExpr("c_nationkey AS a", "(c_nationkey + c_custkey % 9) AS b"), table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_regionkey AS target"))[1].select(F.col("id").cast("long").alias("id")),
+        "SELECT DISTINCT CAST(c_nationkey + c_custkey % 9 AS BIGINT) AS id FROM customer WHERE c_nationkey + c_custkey % 9 >= 25",
+    ),
     Query(
         "stats_of_touched_groups",
         lambda spark, d: affected(facts(spark, d).where("month <> '1997-05'"), facts(spark, d).where("month = '1997-05'"), ["province", "grp", "month"], lambda f: stats.scope_stats(f, stats.SCOPES[1])),
