@@ -14,6 +14,18 @@ from pyspark.sql import types as T
 SLICE_BYTES = 4 << 20
 
 
+_state: dict[str, object] = {}
+
+
+def worker_state(name: str, make: Callable[[], object]) -> object:
+    """What an operator keeps between the tasks of one Python worker. A worker serves one operator after another and
+    holds the state of the latest alone."""
+    if name not in _state:
+        _state.clear()
+        _state[name] = make()
+    return _state[name]
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the values of `column` in each slice hold at most `limit` bytes, or one value."""
     size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)

@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from terrane.llm.arrow import extend
+from terrane.llm.arrow import extend, worker_state
 from terrane.llm.pieces import Lexicon
 
 #: Entries of a worker's lexicon; beyond them it starts anew (speed only, never the result).
@@ -150,19 +149,13 @@ class Vocabulary:
         return out
 
 
-@lru_cache(maxsize=2)
-def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
-
-
 def split_pattern(pattern: str) -> regex.Pattern:
     r"""The pattern with `\s` spelt out as Unicode's White_Space, as the Rust engine of tiktoken has it."""
     return regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}").replace(r"\s", r"\p{White_Space}"))
 
 
-@lru_cache(maxsize=1)
-def lexicon(path: str, pattern: str) -> Lexicon:
-    words, split = vocabulary(path), split_pattern(pattern)
+def lexicon(words: Vocabulary, pattern: str) -> Lexicon:
+    split = split_pattern(pattern)
 
     def ids_of(texts: list[str]) -> list[bytes]:
         """Replay the merges over all distinct pieces of the texts."""
@@ -174,14 +167,31 @@ def lexicon(path: str, pattern: str) -> Lexicon:
     return Lexicon(ids_of, LEXICON_ENTRIES)
 
 
+class Codec:
+    """A worker's vocabulary and, once it encodes, its lexicon of a pattern."""
+
+    def __init__(self, path: str):
+        self.vocabulary = Vocabulary(path)
+        self.lexicons: dict[str, Lexicon] = {}
+
+    def encode(self, texts: list[str], pattern: str) -> list[bytes]:
+        if pattern not in self.lexicons:
+            self.lexicons = {pattern: lexicon(self.vocabulary, pattern)}
+        return self.lexicons[pattern].encode(texts)
+
+
+def codec(path: str) -> Codec:
+    return worker_state(f"bpe {path}", lambda: Codec(path))
+
+
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the binary column `ids`: the ids of the whole text. `path`: a tiktoken rank file that workers can read."""
 
     def make():
-        known = lexicon(path, pattern)
+        known = codec(path)
 
         def work(piece: pa.RecordBatch) -> list:
-            return [known.encode([t or "" for t in piece.column(text).to_pylist()])]
+            return [known.encode([t or "" for t in piece.column(text).to_pylist()], pattern)]
 
         return work
 
@@ -193,7 +203,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     not of the vocabulary is an error."""
 
     def make():
-        tokens = vocabulary(path).tokens
+        tokens = codec(path).vocabulary.tokens
 
         def work(piece: pa.RecordBatch) -> list:
             return [[b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", dtype="<u4").tolist())) for x in piece.column(ids).to_pylist()]]

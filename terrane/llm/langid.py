@@ -30,12 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrane.llm.arrow import extend
+from terrane.llm.arrow import extend, worker_state
 
 UND = "und"
 MOST_LABELS, DOCS, CHARS, WINDOW = 64, 400, 20_000, 60
 FEATURES, LEXICON = 60_000, 20_000
 ROUNDS, RATE, RIDGE = 60, 0.15, 1e-4
+#: Bytes of text that run through the recursion together.
+SLICE = 2 << 20
 #: Words whose scores a worker keeps.
 KEPT_WORDS = 300_000
 
@@ -229,10 +231,6 @@ def fit(df: DataFrame, usable: Column, text: str = "text", lang: str = "lang", d
     return train([(r["t"], r["l"]) for r in picked])
 
 
-#: This worker's labeller, by its model's name.
-_labellers: dict[str, Labeller] = {}
-
-
 def predicted(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """Add `lang_pred` and `score`. Columns of `df` with those names are replaced."""
     fields = [T.StructField("lang_pred", T.StringType(), False), T.StructField("score", T.DoubleType(), False)]
@@ -242,14 +240,11 @@ def predicted(df: DataFrame, model: Model | None, text: str = "text") -> DataFra
 
     def make():
         model = sent.value
-        if model.name not in _labellers:
-            _labellers.clear()
-            _labellers[model.name] = Labeller(model)
-        labeller = _labellers[model.name]
+        labeller = worker_state(f"language {model.name}", lambda: Labeller(model))
 
         def work(piece: pa.RecordBatch) -> list:
             return list(labeller.predict(piece.column(text).to_pylist()))
 
         return work
 
-    return extend(df, text, fields, make)
+    return extend(df, text, fields, make, SLICE)

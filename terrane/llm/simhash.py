@@ -265,7 +265,7 @@ def grouped(df: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc
     return _named(df, size, text, doc_id, keep_text).drop("__row")
 
 
-def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44, 45), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each group of near-duplicates, that of the least id; of rows with the same id any one, but only one.
 
     For copies that differ in some words. A fingerprint over the text's distinct words moves less than one over its

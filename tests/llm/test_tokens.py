@@ -40,20 +40,18 @@ def test_chunks_join_back():
 
 
 def test_replay_is_tiktoken():
-    enc, lexicon = reference(), bpe.lexicon(RANKS, public_tokenizers.PATTERN)
+    enc, lexicon = reference(), bpe.lexicon(bpe.Vocabulary(RANKS), public_tokenizers.PATTERN)
     texts = odd_texts()
     for text, ids in zip(texts, lexicon.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == enc.encode_ordinary(text)
 
 
-def test_replay_of_a_merge_to_a_lower_rank():
+def test_replay_of_a_merge_to_a_lower_rank(tmp_path):
     """A vocabulary in which joining b and c makes a pair of lower rank than theirs."""
     tokens = [bytes([b]) for b in range(256)] + [b"xy", b"abc", b"bc", b"aa", b"aaa"]
-    vocabulary = bpe.Vocabulary.__new__(bpe.Vocabulary)
-    path = __import__("tempfile").NamedTemporaryFile(delete=False)
-    path.write(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(tokens)))
-    path.close()
-    vocabulary = bpe.Vocabulary(path.name)
+    path = tmp_path / "ranks"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % i for i, t in enumerate(tokens)))
+    vocabulary = bpe.Vocabulary(str(path))
     rng = random.Random(1)
     words = [bytes(rng.choice(b"abcx") for _ in range(rng.randrange(1, 12))) for _ in range(500)]
     enc = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
