@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrane.llm.arrow import extend
+from terrane.llm.arrow import extend, slices
 from terrane.llm.components import components
 from terrane.llm.storage import saved
 
@@ -265,13 +265,13 @@ def grouped(df: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc
     return _named(df, size, text, doc_id, keep_text).drop("__row")
 
 
-def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44, 45), text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44, 45), size: int = 5, least: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each group of near-duplicates, that of the least id; of rows with the same id any one, but only one.
 
-    For copies that differ in some words. A fingerprint over the text's distinct words moves less than one over its
-    shingles: a changed word touches one word but up to five shingles. At a similarity of 0.8 over shingles of five
-    words such a fingerprint moves by about four bits, so several, of different seeds, are taken, and texts are
-    linked if any of these differ in three bits or fewer.
+    Texts are near-duplicates if the Jaccard similarity of their sets of shingles of `size` words (A-Z in lower case) is
+    `least` or more. Candidates come from fingerprints over the distinct words of a text, which move less than those
+    over shingles, as a changed word touches one word but up to five shingles: by about four bits at a similarity of 0.8.
+    So several, of different seeds, are taken, and texts of which any two differ in three bits or fewer are compared.
     """
     prints = [f"__print{i}" for i in range(len(seeds))]
 
@@ -283,8 +283,9 @@ def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44, 45), text:
         return work
 
     hashed = extend(df, text, [T.StructField(p, T.LongType(), False) for p in prints], make)
-    hashed = saved(hashed.withColumn("__row", F.monotonically_increasing_id()), "prints")
-    nodes = saved(hashed.groupBy(*prints).agg(F.min(_place(doc_id)).alias("least")).withColumn("node", F.col("least.row")), "nodes")
+    same_text = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    hashed = saved(hashed.withColumns({"__row": F.monotonically_increasing_id(), "__text": same_text}), "prints")
+    nodes = saved(hashed.groupBy(*prints, "__text").agg(F.min(_place(doc_id)).alias("least")).withColumn("node", F.col("least.row")), "nodes")
     edges = None
     for p in prints:
         each = saved(nodes.groupBy(p).agg(F.min("node").alias("home"), F.count("*").alias("n")), "homes")
@@ -292,14 +293,44 @@ def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44, 45), text:
         near = links(each.select(F.col(p).alias("print")))
         ends = each.select(F.col(p).alias("print"), "home")
         near = near.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-        own = saved(same.union(near), "links")
+        own = saved(same.union(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
         edges = own if edges is None else edges.union(own)
-    roots = components(edges)
+    roots = components(similar(saved(edges.distinct(), "candidates"), hashed.select("__row", text), text, size, least))
     homes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = homes.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row"))
     return hashed.join(kept, "__row", "left_semi").select(*df.columns)
 
 
+#: Rows whose ids are broadcast at most, as eight bytes each, to fetch their texts; more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def similar(edges: DataFrame, texts: DataFrame, text: str, size: int, least: float) -> DataFrame:
+    """The edges (a, b), of row numbers, whose texts' sets of shingles have a Jaccard similarity of `least` or more."""
+    ids = saved(edges.select(F.col("a").alias("__row")).union(edges.select("b")).distinct(), "ends")
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    def shingled(batches):
+        for batch in batches:
+            for piece in slices(batch, text):
+                lists = [shingle_hashes(t or "", size) for t in piece.column(text).to_pylist()]
+                sets = [np.unique(np.array(x, dtype=np.uint64).astype(np.uint32)).tobytes() for x in lists]
+                yield pa.RecordBatch.from_arrays([piece.column("__row"), pa.array(sets, pa.binary())], names=["row", "shingles"])
+
+    def compared(batches):
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                a, b = np.frombuffer(x, dtype=np.uint32), np.frombuffer(y, dtype=np.uint32)
+                both = len(np.intersect1d(a, b, assume_unique=True))
+                keep.append(both >= least * (len(a) + len(b) - both))
+            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+    sets = saved(texts.join(wanted, "__row", "left_semi").mapInArrow(shingled, "row long, shingles binary"), "shingles")
+    pairs = edges.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    return pairs.select("a", "b", "x", "y").mapInArrow(compared, "a long, b long")
+
+
 def _place(doc_id: str):
     return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("__row").alias("row"))
 

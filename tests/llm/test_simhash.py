@@ -122,10 +122,33 @@ def test_edges(spark):
     assert simhash.deduplicated(twice).count() == 1
 
 
+def jaccard(a, b):
+    x, y = ({tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (a, b))
+    return len(x & y) / len(x | y)
+
+
 def test_near_copies_go(spark):
     rng = random.Random(2)
     base = [f"w{rng.randrange(10**9)}" for _ in range(400)]
     near = [*base[:200], "changed", *base[201:]]
+    far = [w if i % 25 else f"other{i}" for i, w in enumerate(base)]
     other = [f"w{rng.randrange(10**9)}" for _ in range(400)]
-    df = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(other))], "doc_id long, text string")
-    assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == [1, 3]
+    assert jaccard(base, near) > 0.95 and 0.6 < jaccard(base, far) < 0.75
+    rows = [(1, base), (2, near), (3, other), (4, far), (5, [w.upper() for w in base]), (6, base[::-1])]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows] + [(7, None), (8, " ")], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.deduplicated(df).collect()) == [1, 3, 4, 6, 7]
+
+
+def test_similarity_is_exact(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abc") for _ in range(rng.randrange(4, 14))) for _ in range(40)]
+    pairs = [(i, j) for i in range(40) for j in range(i)]
+    edges = spark.createDataFrame(pairs, "a long, b long")
+    got = simhash.similar(edges, spark.createDataFrame(list(enumerate(texts)), "__row long, text string"), "text", 5, 0.8).collect()
+
+    def sets(t):
+        w = t.split()
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+    want = {(i, j) for i, j in pairs if len(sets(texts[i]) & sets(texts[j])) >= 0.8 * len(sets(texts[i]) | sets(texts[j]))}
+    assert {(r["a"], r["b"]) for r in got} == want
