@@ -42,6 +42,8 @@ DISTANCE = 3
 SEED = 42
 #: Fingerprints of one key that a task compares with one another.
 MOST = 2048
+#: Bits in which the prints of candidates that share a key may differ, where exact similarity decides.
+FAR = 10
 #: Fixed value: the generator polynomial of the Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GENERATOR = 0b101011100011
 
@@ -158,8 +160,8 @@ def golay_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), np.concatenate(keys)
 
 
-def linked_trees(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links (each of two values within `DISTANCE`) that join what is linked within each run of equal keys, as trees.
+def linked_trees(key: np.ndarray, value: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (each of two values within `distance`) that join what is linked within each run of equal keys, as trees.
 
     `key` is sorted. Runs of two or three are done together; longer ones one at a time.
     """
@@ -170,7 +172,7 @@ def linked_trees(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.nda
     third = starts[sizes == 3]
     for p, i, j in ((few, 0, 1), (third, 0, 2), (third, 1, 2)):
         x, y = value[p + i], value[p + j]
-        near = np.bitwise_count(x ^ y) <= DISTANCE
+        near = np.bitwise_count(x ^ y) <= distance
         left.append(x[near])
         right.append(y[near])
     for s, n in zip(starts[sizes > 3].tolist(), sizes[sizes > 3].tolist()):
@@ -183,7 +185,7 @@ def linked_trees(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.nda
                 rest = np.flatnonzero(todo)
                 if not len(rest):
                     break
-                near = np.bitwise_count(own[front[:256], None] ^ own[rest]) <= DISTANCE
+                near = np.bitwise_count(own[front[:256], None] ^ own[rest]) <= distance
                 hit = near.any(axis=0)
                 left.append(own[front[:256]][near[:, hit].argmax(axis=0)])
                 right.append(own[rest[hit]])
@@ -192,18 +194,21 @@ def linked_trees(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.concatenate(left or [value[:0]]), np.concatenate(right or [value[:0]])
 
 
-def _links(batches):
-    """Links within the runs of equal keys of a partition that is sorted by key."""
-    held_key, held = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    for batch in batches:
-        key = np.concatenate((held_key, batch.column(0).to_numpy()))
-        value = np.concatenate((held, batch.column(1).to_numpy().view(np.uint64)))
-        cut = int(np.searchsorted(key, key[-1], side="left")) if len(key) else 0
-        held_key, held = key[cut:], value[cut:]  # the last run may go on; it has MOST members at most
-        if cut:
-            yield _edges(*linked_trees(key[:cut], value[:cut]))
-    if len(held):
-        yield _edges(*linked_trees(held_key, held))
+def _linker(distance: int):
+    def run(batches):
+        """Links within the runs of equal keys of a partition that is sorted by key."""
+        held_key, held = np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        for batch in batches:
+            key = np.concatenate((held_key, batch.column(0).to_numpy()))
+            value = np.concatenate((held, batch.column(1).to_numpy().view(np.uint64)))
+            cut = int(np.searchsorted(key, key[-1], side="left")) if len(key) else 0
+            held_key, held = key[cut:], value[cut:]  # the last run may go on; it has MOST members at most
+            if cut:
+                yield _edges(*linked_trees(key[:cut], value[:cut], distance))
+        if len(held):
+            yield _edges(*linked_trees(held_key, held, distance))
+
+    return run
 
 
 def _edges(x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
@@ -231,9 +236,9 @@ def _hung(batches):
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(np.full(len(word), v.view(np.int64))), pa.array(one)], names=["word", "print", "one"])
 
 
-def links(prints: DataFrame) -> DataFrame:
+def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (long column `print`) that connect just what chains of pairs within
-    three bits connect."""
+    three bits connect. With a larger `distance` pairs up to it are linked too, if they share a key."""
     keyed = prints.mapInArrow(_keyed, "key long, print long")  # cheaper to make twice than to store
     counts = keyed.groupBy("key").count().where(F.col("count") > MOST).select("key")
     hot = saved(counts, "hot")
@@ -244,7 +249,7 @@ def links(prints: DataFrame) -> DataFrame:
         hung = members.repartition("print").mapInArrow(_hung, "word long, print long, one boolean")
         centre = hung.groupBy("word").agg(F.min(F.when(F.col("one"), F.col("print"))).alias("a"), F.count("*").alias("n")).where("n > 1 AND a IS NOT NULL")
         stars = hung.join(centre, "word").where("a <> print").select("a", F.col("print").alias("b")).distinct()
-    near = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_links, "a long, b long")
+    near = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_linker(distance), "a long, b long")
     return near.union(stars) if rest is not keyed else near
 
 
@@ -271,7 +276,8 @@ def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44, 45), size:
     Texts are near-duplicates if the Jaccard similarity of their sets of shingles of `size` words (A-Z in lower case) is
     `least` or more. Candidates come from fingerprints over the distinct words of a text, which move less than those
     over shingles, as a changed word touches one word but up to five shingles: by about four bits at a similarity of 0.8.
-    So several, of different seeds, are taken, and texts of which any two differ in three bits or fewer are compared.
+    So several, of different seeds, are taken. Texts are compared if two prints of a seed differ in three bits or fewer,
+    or share a key and differ in `FAR` bits or fewer.
     """
     prints = [f"__print{i}" for i in range(len(seeds))]
 
@@ -290,7 +296,7 @@ def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44, 45), size:
     for p in prints:
         each = saved(nodes.groupBy(p).agg(F.min("node").alias("home"), F.count("*").alias("n")), "homes")
         same = nodes.join(each.where("n > 1"), p).where("node <> home").select(F.col("node").alias("a"), F.col("home").alias("b"))
-        near = links(each.select(F.col(p).alias("print")))
+        near = links(each.select(F.col(p).alias("print")), FAR)
         ends = each.select(F.col(p).alias("print"), "home")
         near = near.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
         own = saved(same.union(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
