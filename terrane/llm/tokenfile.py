@@ -22,7 +22,6 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terrane.llm.arrow import slices
+from terrane.llm.arrow import slices, worker_state
 from terrane.llm.pieces import Lexicon
 from terrane.llm.storage import new_path, open_store, saved
 
@@ -145,7 +144,6 @@ class Reader:
             yield doc_id, a, b - a, crc
 
 
-@lru_cache(maxsize=1)
 def lexicon(path: str) -> Lexicon:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
@@ -190,7 +188,7 @@ def write_files(df: DataFrame, path: str, vocabulary: int, folder: str | None =
     end = b"" if end_id is None else struct.pack("<I", end_id)
 
     def run(batches):
-        known, store, writer = lexicon(path), None, None
+        known, store, writer = worker_state(f"tokenizer {path}", lambda: lexicon(path)), None, None
         part = TaskContext.get().partitionId()
         fs, root = open_store(folder)
         name, passing = f"{root}/part-{part:06d}.ids", f"{root}/.{part:06d}-{uuid.uuid4().hex}"
