@@ -52,8 +52,9 @@ def shuffled(df: DataFrame, shards: int, seed: int = 17, key: str = "doc_id", te
     heavy = df.groupBy(digest.alias("__digest")).agg(F.sum(size).alias("__bytes")).where(F.col("__bytes") > bucket_bytes // 2)
     tagged = df.withColumn("__digest", digest)
     if heavy.take(1):
-        number = F.when(F.col("__bytes").isNotNull(), F.xxhash64(F.lit(seed), F.monotonically_increasing_id()))
-        tagged = tagged.join(heavy, "__digest", "left").withColumn("__bucket", F.coalesce(F.pmod(number, F.lit(buckets)), F.pmod(F.xxhash64(F.lit(seed), F.col("__digest")), F.lit(buckets)))).drop("__bytes")
+        number = F.when(F.col("__bytes").isNotNull(), F.xxhash64(F.lit(seed), F.col("__number")))
+        # Numbered as they are read, so that a task that runs again gives the same numbers.
+        tagged = tagged.withColumn("__number", F.monotonically_increasing_id()).join(heavy, "__digest", "left").withColumn("__bucket", F.coalesce(F.pmod(number, F.lit(buckets)), F.pmod(F.xxhash64(F.lit(seed), F.col("__digest")), F.lit(buckets)))).drop("__bytes", "__number")
     else:
         tagged = tagged.withColumn("__bucket", home)
 
