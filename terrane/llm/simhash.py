@@ -24,6 +24,7 @@ results; null ids are in no component's name unless the component has no other.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 from itertools import combinations
 
@@ -42,8 +43,6 @@ DISTANCE = 3
 SEED = 42
 #: Fingerprints of one key that a task compares with one another.
 MOST = 2048
-#: Bits in which the prints of candidates that share a key may differ, where exact similarity decides.
-FAR = 10
 #: Fixed value: the generator polynomial of the Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1.
 GENERATOR = 0b101011100011
 
@@ -60,19 +59,10 @@ def shingle_hashes(text: str, size: int) -> list[int]:
     return [hashed(line[a : b - 1], seed) for a, b in zip(starts, ends[size - 1 :])]
 
 
-def word_hashes(text: str, seed: int) -> list[int]:
-    """XXH64 of each distinct word."""
-    return [xxhash.xxh64_intdigest(w, seed) for w in set(text.encode().lower().split())]
-
-
 def fingerprints(texts: list[str | None], size: int) -> np.ndarray:
     return majorities([shingle_hashes(t or "", size) for t in texts])
 
 
-def word_fingerprints(texts: list[str | None], seed: int) -> np.ndarray:
-    return majorities([word_hashes(t or "", seed) for t in texts])
-
-
 def majorities(lists: list[list[int]]) -> np.ndarray:
     """One fingerprint a list: a bit is 1 if it is set in over half of the list's hashes."""
     counts = np.array([len(x) for x in lists], dtype=np.int64)
@@ -270,43 +260,193 @@ def grouped(df: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc
     return _named(df, size, text, doc_id, keep_text).drop("__row")
 
 
-def deduplicated(df: DataFrame, seeds: tuple[int, ...] = (42, 43, 44, 45), size: int = 5, least: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each group of near-duplicates, that of the least id; of rows with the same id any one, but only one.
 
     Texts are near-duplicates if the Jaccard similarity of their sets of shingles of `size` words (A-Z in lower case) is
-    `least` or more. Candidates come from fingerprints over the distinct words of a text, which move less than those
-    over shingles, as a changed word touches one word but up to five shingles: by about four bits at a similarity of 0.8.
-    So several, of different seeds, are taken. Texts are compared if two prints of a seed differ in three bits or fewer,
-    or share a key and differ in `FAR` bits or fewer.
+    `least` or more; groups are what chains of such pairs connect. The pairs are found by exact prefix filtering: with
+    all shingles in one order, the first shingle that two similar sets share stands among the first
+    n - ceil(least * n) + 1 of each. Any order will do; the common ones of a sample of texts stand last, so that a line
+    that many texts hold brings few of them together. Texts of equal sets are one from the start.
+
+    In a group of up to `FEW` texts of one key all pairs are compared. In a larger one they are compared with a few of
+    them for some rounds; what verified pairs connect by then needs no more comparing, and all other pairs are compared.
     """
-    prints = [f"__print{i}" for i in range(len(seeds))]
+    common, ranks = common_shingles(df, text, size)
 
     def make():
         def work(piece: pa.RecordBatch) -> list:
-            texts = piece.column(text).to_pylist()
-            return [pa.array(word_fingerprints(texts, seed).view(np.int64)) for seed in seeds]
+            sets = [shingle_set(t, size) for t in piece.column(text).to_pylist()]
+            digests = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64)
+            return [pa.array(digests.view(np.int64)), pa.array([len(s) for s in sets], pa.int32()), pa.array([leading(s, common, ranks, least).tobytes() for s in sets], pa.binary())]
 
         return work
 
-    hashed = extend(df, text, [T.StructField(p, T.LongType(), False) for p in prints], make)
-    same_text = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    hashed = saved(hashed.withColumns({"__row": F.monotonically_increasing_id(), "__text": same_text}), "prints")
-    nodes = saved(hashed.groupBy(*prints, "__text").agg(F.min(_place(doc_id)).alias("least")).withColumn("node", F.col("least.row")), "nodes")
-    edges = None
-    for p in prints:
-        each = saved(nodes.groupBy(p).agg(F.min("node").alias("home"), F.count("*").alias("n")), "homes")
-        same = nodes.join(each.where("n > 1"), p).where("node <> home").select(F.col("node").alias("a"), F.col("home").alias("b"))
-        near = links(each.select(F.col(p).alias("print")), FAR)
-        ends = each.select(F.col(p).alias("print"), "home")
-        near = near.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-        own = saved(same.union(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-        edges = own if edges is None else edges.union(own)
-    roots = components(similar(saved(edges.distinct(), "candidates"), hashed.select("__row", text), text, size, least))
+    hashed = extend(df, text, [T.StructField("__set", T.LongType()), T.StructField("__size", T.IntegerType()), T.StructField("__keys", T.BinaryType())], make)
+    hashed = saved(hashed.withColumn("__row", F.monotonically_increasing_id()), "prints")
+    nodes = saved(hashed.groupBy("__set", "__size").agg(F.min(_place(doc_id)).alias("least")).withColumn("node", F.col("least.row")), "nodes")
+    keyed = hashed.select("__row", "__size", "__keys").join(nodes.select(F.col("node").alias("__row")), "__row", "left_semi").mapInArrow(_led, _KEYED)
+    met = saved(_by_key(keyed, _met(least, FEW), _KEYED + ", other long"), "met")
+    texts = hashed.select("__row", text)
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        return saved(similar(saved(pairs, "candidates"), texts, text, size, least), "similar")
+
+    edges = verified(met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    roots = components(edges)
+    large = met.where("other IS NULL").drop("other")
+    if large.take(1):
+        for i in range(ROUNDS + 1):
+            labelled = large.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).select("key", "node", "size", "place", "label")
+            edges = edges.union(verified(_by_key(labelled, _apart(least, i if i < ROUNDS else None), "a long, b long")))
+            roots = components(edges)
     homes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = homes.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row"))
     return hashed.join(kept, "__row", "left_semi").select(*df.columns)
 
 
+#: Texts of one key all of whose pairs are compared at once.
+FEW = 64
+#: Rounds in which the texts of a larger group are compared with `PIVOTS` of them, before all pairs that are still apart.
+ROUNDS, PIVOTS = 3, 2
+#: One text in `PART` tells which shingles are common: those in `COMMON` of these texts, `MOST_COMMON` shingles at most.
+PART, COMMON, MOST_COMMON = 32, 3, 1 << 18
+#: Pairs that a task looks at or gives out at once.
+PAIRS = 1 << 20
+
+_KEYED = "key long, node long, size int, place int"
+
+
+def shingle_set(text: str | None, size: int) -> np.ndarray:
+    return np.unique(np.array(shingle_hashes(text or "", size), dtype=np.uint64))
+
+
+def common_shingles(df: DataFrame, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Common shingles of a sample, sorted, and the place of each in the order of their counts. They decide how many
+    candidates there are, but not which pairs are found."""
+
+    def run(batches):
+        for batch in batches:
+            for piece in slices(batch, text):
+                sets = [shingle_set(t, size).view(np.int64) for t in piece.column(text).to_pylist()]
+                owner = np.repeat(piece.column("t").to_numpy(), [len(s) for s in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets)), pa.array(owner)], names=["key", "t"])
+
+    sample = df.select(F.col(text), F.xxhash64(text).alias("t")).where(F.pmod("t", F.lit(PART)) == 0)
+    counts = sample.mapInArrow(run, "key long, t long").groupBy("key").agg(F.count("*").alias("n"), F.min("t").alias("x"), F.max("t").alias("y"))
+    rows = counts.where((F.col("n") >= COMMON) & (F.col("x") != F.col("y"))).orderBy(F.desc("n"), "key").limit(MOST_COMMON).select("key").toPandas()
+    keys = rows["key"].to_numpy(dtype=np.int64).view(np.uint64)[::-1]
+    order = np.argsort(keys)
+    return keys[order], order
+
+
+def leading(own: np.ndarray, common: np.ndarray, ranks: np.ndarray, least: float) -> np.ndarray:
+    """The first shingles of a sorted set, of which a set of similarity `least` or more shares one with its own first."""
+    if not len(own):
+        return own
+    want = len(own) - math.ceil(least * len(own) - 1e-9) + 1
+    if not len(common):
+        return own[:want]
+    at = np.minimum(np.searchsorted(common, own), len(common) - 1)
+    known = common[at] == own
+    rare = own[~known]
+    if len(rare) < want:
+        rare = np.concatenate((rare, own[known][np.argsort(ranks[at[known]])]))
+    return rare[:want]
+
+
+def _led(batches):
+    """A row for each leading shingle of a text, with its place among them."""
+    for batch in batches:
+        for piece in slices(batch, "__keys"):
+            lists = [np.frombuffer(x, dtype=np.int64) for x in piece.column("__keys").to_pylist()]
+            counts = [len(x) for x in lists]
+            places = np.concatenate([np.arange(n, dtype=np.int32) for n in counts])
+            columns = [np.concatenate(lists), np.repeat(piece.column("__row").to_numpy(), counts), np.repeat(piece.column("__size").to_numpy(), counts), places]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "node", "size", "place"])
+
+
+def _by_key(keyed: DataFrame, run, schema: str) -> DataFrame:
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, schema)
+
+
+def _whole_runs(batches):
+    """The columns of a partition that is sorted by its first, cut where that changes; with the starts and sizes of its runs."""
+    held: list[list[np.ndarray]] = []
+
+    def joined():
+        columns = [np.concatenate(c) for c in zip(*held)]
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(columns[0])) + 1))
+        return columns, starts, np.diff(np.concatenate((starts, [len(columns[0])])))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy() for c in batch.columns]
+        cut = int(np.searchsorted(columns[0], columns[0][-1], side="left"))
+        if held and cut == 0 and held[-1][0][-1] != columns[0][0]:
+            yield joined()
+            held = []
+        if cut:
+            held.append([c[:cut] for c in columns])
+            yield joined()
+            held = []
+        held.append([c[cut:] for c in columns])
+    if held:
+        yield joined()
+
+
+def _may(size, place, i, j, least: float) -> np.ndarray:
+    """Whether the sets, if this is the first shingle that they share, are large enough behind it to be similar."""
+    need = least / (1 + least) * (size[i].astype(np.int64) + size[j]) - 1e-6
+    return np.minimum(size[i] - place[i], size[j] - place[j]) >= need
+
+
+def _met(least: float, few: int):
+    def run(batches):
+        """Pairs (node, other) of the runs of up to `few`; the rows of larger ones as they are, with `other` null."""
+        for (key, node, size, place), starts, sizes in _whole_runs(batches):
+            for n in np.unique(sizes[(sizes > 1) & (sizes <= few)]).tolist():
+                left, right = np.triu_indices(n, 1)
+                own = starts[sizes == n]
+                step = max(1, PAIRS // len(left))
+                for s in range(0, len(own), step):
+                    i, j = (own[s : s + step, None] + left).ravel(), (own[s : s + step, None] + right).ravel()
+                    good = _may(size, place, i, j, least)
+                    i, j = i[good], j[good]
+                    yield pa.RecordBatch.from_arrays([pa.array(c[i]) for c in (key, node, size, place)] + [pa.array(node[j])], names=["key", "node", "size", "place", "other"])
+            many = np.repeat(sizes > few, sizes)
+            if many.any():
+                columns = [pa.array(c[many]) for c in (key, node, size, place)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(int(many.sum()), pa.int64())], names=["key", "node", "size", "place", "other"])
+
+    return run
+
+
+def _apart(least: float, turn: int | None):
+    def run(batches):
+        """Pairs of different labels in each run: those with the pivots of this turn, or all without one."""
+        for (_, node, size, place, label), starts, sizes in _whole_runs(batches):
+            for s, n in zip(starts.tolist(), sizes.tolist()):
+                every = np.arange(s, s + n)
+                if turn is None:
+                    # Those of the most frequent label need no comparing with one another.
+                    names, at, counts = np.unique(label[every], return_inverse=True, return_counts=True)
+                    first = every[at != counts.argmax()]
+                else:
+                    mixed = (node[every].astype(np.uint64) + np.uint64(turn * 0x632BE59BD9B4E019 & (1 << 64) - 1)) * np.uint64(0x9E3779B97F4A7C15)
+                    mixed ^= mixed >> np.uint64(29)
+                    first = every[np.argsort(mixed * np.uint64(0xBF58476D1CE4E5B9))[:PIVOTS]]
+                step = max(1, PAIRS // n)
+                for f in range(0, len(first), step):
+                    i, j = np.repeat(first[f : f + step], n), np.tile(every, len(first[f : f + step]))
+                    good = (label[i] != label[j]) & _may(size, place, i, j, least)
+                    yield _edges(node[i[good]], node[j[good]])
+
+    return run
+
+
 #: Rows whose ids are broadcast at most, as eight bytes each, to fetch their texts; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -320,14 +460,14 @@ def similar(edges: DataFrame, texts: DataFrame, text: str, size: int, least: flo
         for batch in batches:
             for piece in slices(batch, text):
                 lists = [shingle_hashes(t or "", size) for t in piece.column(text).to_pylist()]
-                sets = [np.unique(np.array(x, dtype=np.uint64).astype(np.uint32)).tobytes() for x in lists]
+                sets = [np.unique(np.array(x, dtype=np.uint64)).tobytes() for x in lists]
                 yield pa.RecordBatch.from_arrays([piece.column("__row"), pa.array(sets, pa.binary())], names=["row", "shingles"])
 
     def compared(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                a, b = np.frombuffer(x, dtype=np.uint32), np.frombuffer(y, dtype=np.uint32)
+                a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(both >= least * (len(a) + len(b) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])

@@ -152,3 +152,33 @@ def test_similarity_is_exact(spark):
 
     want = {(i, j) for i, j in pairs if len(sets(texts[i]) & sets(texts[j])) >= 0.8 * len(sets(texts[i]) | sets(texts[j]))}
     assert {(r["a"], r["b"]) for r in got} == want
+
+
+def brute_kept(texts):
+    """Ids that stay, by all pairs: the least of each group that chains of pairs at 0.8 or more connect."""
+    sets = [set(simhash.shingle_hashes(t or "", 5)) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if min(len(a), len(b)) >= 0.8 * max(len(a), len(b)) and len(a & b) >= 0.8 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return sorted({find(i) for i in range(len(texts))})
+
+
+def kept_ids(spark, texts):
+    return sorted(r["doc_id"] for r in simhash.deduplicated(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+
+
+def test_near_copies_with_the_words_of_an_earlier_text(spark):
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(300)]
+    swapped = [*base[:100], base[101], base[100], *base[102:]]
+    assert kept_ids(spark, [" ".join(w) for w in (sorted(base), base, swapped)]) == [0, 1]
