@@ -226,9 +226,9 @@ def _hung(batches):
             yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(np.full(len(word), v.view(np.int64))), pa.array(one)], names=["word", "print", "one"])
 
 
-def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def links(prints: DataFrame) -> DataFrame:
     """Edges (a, b) between distinct fingerprints (long column `print`) that connect just what chains of pairs within
-    three bits connect. With a larger `distance` pairs up to it are linked too, if they share a key."""
+    `DISTANCE` bits connect; the keys and the way of hot ones hold for that distance alone."""
     keyed = prints.mapInArrow(_keyed, "key long, print long")  # cheaper to make twice than to store
     counts = keyed.groupBy("key").count().where(F.col("count") > MOST).select("key")
     hot = saved(counts, "hot")
@@ -239,7 +239,7 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         hung = members.repartition("print").mapInArrow(_hung, "word long, print long, one boolean")
         centre = hung.groupBy("word").agg(F.min(F.when(F.col("one"), F.col("print"))).alias("a"), F.count("*").alias("n")).where("n > 1 AND a IS NOT NULL")
         stars = hung.join(centre, "word").where("a <> print").select("a", F.col("print").alias("b")).distinct()
-    near = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_linker(distance), "a long, b long")
+    near = rest.repartition("key").sortWithinPartitions("key").mapInArrow(_linker(DISTANCE), "a long, b long")
     return near.union(stars) if rest is not keyed else near
 
 

@@ -182,3 +182,21 @@ def test_near_copies_with_the_words_of_an_earlier_text(spark):
     base = [f"w{rng.randrange(10**9)}" for _ in range(300)]
     swapped = [*base[:100], base[101], base[100], *base[102:]]
     assert kept_ids(spark, [" ".join(w) for w in (sorted(base), base, swapped)]) == [0, 1]
+
+
+def test_a_large_group_is_compared_like_a_small_one(spark, monkeypatch):
+    """Copies that differ from the first text by a few words each, about as far as 0.8 from one another."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**9)}" for _ in range(120)]
+    texts = []
+    for i in range(150):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice((1, 2, 3, 6))):
+            words[at] = f"w{rng.randrange(10**9)}"
+        texts.append(" ".join(words))
+    want = brute_kept(texts)
+    assert 1 < len(want) < 75
+    for most, few in ((simhash.MOST, 64), (2, 4)):
+        monkeypatch.setattr(simhash, "MOST", most)
+        monkeypatch.setattr(simhash, "FEW", few, raising=False)
+        assert kept_ids(spark, texts) == want
