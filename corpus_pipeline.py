@@ -44,11 +44,12 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it: its share of taken words, rounded half up (0, 1 or 2 times)."""
+    """Each document as often as the mix takes it (0, 1 or 2 times): its share of taken words, rounded so that the words
+    of each source stay what the mix takes of it."""
     names = {c: f"__{c}" for c in ("size", "source_size", "target", "taken") if c in docs.columns}
-    mixed = mixing.mixed(docs.withColumnsRenamed(names))
+    mixed = mixing.mixed(docs.withColumnsRenamed(names), copies="__copies")
     # A document without words is no burden to the mix and stays.
-    times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(1).cast("int")
+    times = F.when(F.col("size") > 0, F.col("__copies")).otherwise(1)
     out = mixed.withColumn("__times", times).where("__times > 0").withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times"))))
     return out.select(*[F.col(names.get(c, c)).alias(c) for c in docs.columns])
 

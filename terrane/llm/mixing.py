@@ -27,6 +27,8 @@ WEIGHTS = (3, 1, 2)
 SHARD_WORDS = 1 << 20
 #: A block has this many words at most, and so few that the mix of a small table has `LEAST_BLOCKS` blocks.
 BLOCK_WORDS, LEAST_BLOCKS = 1024, 40_000
+#: Fractions of a document are counted in this many parts.
+PARTS = 1 << 20
 
 
 def _hash(*parts: Column | str) -> Column:
@@ -74,10 +76,12 @@ def apportion(parties: DataFrame, groups: list[str], weight: str, seats: str, li
     return rows.join(won, [*{*groups, tie}], "left").withColumn("__seats", F.col("__low") + F.coalesce("__won", F.lit(0))).drop("__all", "__half", "__low", "__high", "__open", "__won")
 
 
-def mixed(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 29, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep_text: bool = True) -> DataFrame:
+def mixed(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 29, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep_text: bool = True, copies: str | None = None) -> DataFrame:
     """All rows of `df` with `size`, `source_size`, `target` (its source's) and `taken` words.
 
     Columns of `df` with those names are replaced. `keep_text=False` drops the texts once they are measured.
+    `copies` names a column for whole documents in place of words: taken / size, rounded down or up. In each shard, in
+    order of size, the fractions are summed, and whoever brings the sum over a whole number is rounded up.
     """
     df = df.drop("size", "source_size", "target", "taken")
     sized = df.withColumn("size", F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long"))
@@ -120,8 +124,15 @@ def mixed(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int,
     chosen = lambda x: f"(({x}) + __from) * __more div __held"
     words = lambda x: f"(({chosen(f'({x}) div __block')}) * __block + (({x}) % __block) * (({chosen(f'({x}) div __block + 1')}) - ({chosen(f'({x}) div __block')})))"
     taken = F.coalesce(F.expr(f"__full * size + {words('__end')} - {words('__end - size')}"), F.lit(0)).cast("long")
-    return dealt.withColumns({"source_size": F.col("__size"), "target": F.col("__target"), "taken": taken}).drop(
-        "__index", "__shard", "__size", "__target", "__block", "__shards", "__order", "__end", "__held", "__from", "__full", "__more"
+    dealt = dealt.withColumn("__taken", taken)
+    if copies:
+        part = F.expr(f"coalesce((__taken % nullif(size, 0)) * {PARTS} div size, 0L)")
+        by_size = Window.partitionBy("__index", "__shard").orderBy("size", "__order", doc_id).rowsBetween(Window.unboundedPreceding, 0)
+        first = F.pmod(_hash(F.lit(str(seed)), F.lit("copies"), F.col("__index").cast("string"), F.col("__shard").cast("string")), F.lit(PARTS))
+        dealt = dealt.withColumn("__part", part).withColumn("__sum", F.sum("__part").over(by_size) + first)
+        dealt = dealt.withColumn(copies, F.expr(f"coalesce(__taken div nullif(size, 0), 0L) + __sum div {PARTS} - (__sum - __part) div {PARTS}").cast("int")).drop("__part", "__sum")
+    return dealt.withColumns({"source_size": F.col("__size"), "target": F.col("__target"), "taken": F.col("__taken")}).drop(
+        "__index", "__taken", "__shard", "__size", "__target", "__block", "__shards", "__order", "__end", "__held", "__from", "__full", "__more"
     )
 
 

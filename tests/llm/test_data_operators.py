@@ -242,3 +242,23 @@ def test_pipeline(spark):
     assert mixed.columns == docs.columns
     assert abs(words / hidden.select(F.sum(F.regexp_count("text", F.lit(mixing.WORD))).alias("n")).first()["n"] - 1.5) < 0.1
     assert p.run(spark, SMALL).count() > 0
+
+
+def test_pipeline_mix_meets_its_targets(spark):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = [(i, " ".join(["w"] * (150 + i % 100)), "en", f"s{i % 3}", 1) for i in range(600)]
+    long = spark.createDataFrame(rows, docs.schema)
+    size = F.regexp_count("text", F.lit(mixing.WORD))
+    targets = {r["source"]: (r["target"], r["most"]) for r in mixing.mixed(long).groupBy("source").agg(F.first("target").alias("target"), F.max("size").alias("most")).collect()}
+    got = {r["source"]: r["n"] for r in p.mix_sources(spark, long, SMALL).groupBy("source").agg(F.sum(size).alias("n")).collect()}
+    assert len(got) == 3 and all(abs(got[s] - target) <= 2 * most for s, (target, most) in targets.items())
+
+
+def test_documents_without_words_stay_in_the_mix(spark):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20)
+    blank = spark.createDataFrame([(10_001, " ", "en", "src0", 1), (10_002, None, None, None, None)], docs.schema)
+    assert {10_001, 10_002} <= {r["doc_id"] for r in p.mix_sources(spark, docs.unionByName(blank), SMALL).collect()}
