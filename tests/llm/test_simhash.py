@@ -200,3 +200,14 @@ def test_a_large_group_is_compared_like_a_small_one(spark, monkeypatch):
         monkeypatch.setattr(simhash, "MOST", most)
         monkeypatch.setattr(simhash, "FEW", few, raising=False)
         assert kept_ids(spark, texts) == want
+
+
+def test_short_near_copies_are_all_found(spark):
+    rng = random.Random(8)
+    texts = []
+    for words in (5, 12, 25, 60):
+        for _ in range(60):
+            one = [f"w{rng.randrange(10**9)}" for _ in range(words)]
+            near = {5: one, 12: [*one, "more"], 25: [*one[:-2], "other", one[-1]], 60: [*one[:-6], "other", *one[-5:]]}[words]
+            texts += [" ".join(one), " ".join(near)]
+    assert kept_ids(spark, texts) == brute_kept(texts) == list(range(0, len(texts), 2))
