@@ -174,7 +174,7 @@ class Codec:
         self.vocabulary = Vocabulary(path)
         self.lexicons: dict[str, Lexicon] = {}
 
-    def encode(self, texts: list[str], pattern: str) -> list[bytes]:
+    def encode(self, texts: pa.Array, pattern: str) -> tuple[np.ndarray, np.ndarray]:
         if pattern not in self.lexicons:
             self.lexicons = {pattern: lexicon(self.vocabulary, pattern)}
         return self.lexicons[pattern].encode(texts)
@@ -191,7 +191,8 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", ids: str
         known = codec(path)
 
         def work(piece: pa.RecordBatch) -> list:
-            return [known.encode([t or "" for t in piece.column(text).to_pylist()], pattern)]
+            ids, cuts = known.encode(piece.column(text), pattern)
+            return [pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * 4).astype(np.int32)), pa.py_buffer(ids)])]
 
         return work
 

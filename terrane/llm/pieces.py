@@ -2,57 +2,85 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
-_CUT = re.compile(r"(?<=\S) ")
-#: A space after white space: there the text must not be cut.
-_ASCII = [c + " " for c in map(chr, range(128)) if c.isspace()]
-_OTHER = [c + " " for c in map(chr, range(128, 0x3001)) if c.isspace()]
+import numpy as np
+import pyarrow as pa
 
+#: Bytes that are white space by themselves.
+_SPACE = np.array([b < 128 and chr(b).isspace() for b in range(256)])
+#: Other white space, as the bytes of UTF-8.
+_WIDE = [chr(c).encode() for c in range(128, 0x3001) if chr(c).isspace()]
 
-def chunks(text: str) -> list[str]:
-    """The text cut at each single space that follows a non-space; every chunk but the first lost that space.
 
-    The splitting pattern looks ahead only over white space and takes a space only together with what follows
-    it, so each chunk (with its space put back) splits into the same pieces alone as inside the text.
+def chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The texts cut before each single space that follows a non-space, and the number of chunks of each text; null is
+    like an empty text, which has none.
+
+    The splitting pattern looks ahead only over white space and takes a space only together with what follows it, so each
+    chunk splits into the same pieces alone as inside the text. Only offsets are made; the bytes are shared.
     """
-    pairs = _ASCII if text.isascii() else _ASCII + _OTHER
-    return _CUT.split(text) if text[:1] == " " or any(p in text for p in pairs) else text.split(" ")
+    texts = texts.cast(pa.string()).fill_null("")
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    low = int(ends[0])
+    own = np.frombuffer(data, dtype=np.uint8)[low : int(ends[-1])] if data else np.zeros(0, np.uint8)
+    at = np.flatnonzero(own == 32)
+    at = at[at > 0]
+    before = own[at - 1]
+    keep = ~_SPACE[before]
+    wide = np.flatnonzero(before >= 128)
+    if len(wide):
+        p, spaces = at[wide], np.zeros(len(wide), dtype=bool)
+        for mark in _WIDE:
+            hit = p >= len(mark)
+            for j, byte in enumerate(reversed(mark)):
+                hit &= own[np.maximum(p - 1 - j, 0)] == byte
+            spaces |= hit
+        keep[wide[spaces]] = False
+    cut = np.zeros(len(own) + 1, dtype=bool)
+    cut[at[keep]] = True
+    cut[ends - low] = True
+    bounds = np.flatnonzero(cut)
+    counts = np.diff(np.searchsorted(bounds, ends - low))
+    return pa.Array.from_buffers(pa.string(), len(bounds) - 1, [None, pa.py_buffer((bounds + low).astype(np.int32)), data]), counts
 
 
 class Lexicon:
-    """Ids of the chunks that a worker has met, as little-endian unsigned 32-bit integers.
+    """Ids of the chunks that a worker has met.
 
-    `ids_of` gives the ids of a list of strings. The first chunk of a text has no space before it and is kept
-    apart. Long chunks are forgotten at once, and all when there are more than `entries`: this bounds memory and
-    changes no result.
+    `ids_of` gives the ids of a list of strings, as little-endian unsigned 32-bit integers. Long chunks are forgotten
+    at once, and when there are more than `entries`, those that were not met lately: this bounds memory and changes no result.
     """
 
     LONG = 200
 
     def __init__(self, ids_of: Callable[[list[str]], list[bytes]], entries: int):
         self.ids_of, self.entries = ids_of, entries
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > self.entries:
-            self.first, self.later = {}, {}
-        heads, rests, later = [], [], set()
-        for text in texts:
-            rest = chunks(text)
-            heads.append(rest.pop(0))
-            later.update(rest)
-            rests.append(rest)
-        first = list(set(heads).difference(self.first))
-        later = list(later.difference(self.later))
-        self.first.update(zip(first, self.ids_of(first)))
-        self.later.update(zip(later, self.ids_of([" " + x for x in later])))
-        known = self.later.__getitem__
-        out = [self.first[head] + b"".join(map(known, rest)) for head, rest in zip(heads, rests)]
-        for held, new in ((self.first, first), (self.later, later)):
-            for x in new:
-                if len(x) > self.LONG:
-                    del held[x]
-        return out
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one text after another, and where each text's begin (and, last, their number)."""
+        if len(self.known) > self.entries // 2:
+            self.known, self.older = {}, self.known
+        parts, counts = chunks(texts)
+        coded = parts.dictionary_encode()
+        words, known = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), self.known
+        new = [w for w in words if w not in known]
+        if self.older:
+            older = self.older
+            known.update((w, older[w]) for w in new if w in older)
+            new = [w for w in new if w not in known]
+        known.update(zip(new, self.ids_of(new)))
+        each = [known[w] for w in words]
+        for w in new:
+            if len(w) > self.LONG:
+                del known[w]
+        sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each)) // 4
+        flat, which = np.frombuffer(b"".join(each), dtype="<u4"), coded.indices.to_numpy()
+        held = sizes[which]
+        ends = np.concatenate(([0], np.cumsum(held)))
+        # The ids of the words, in the order in which these stand in the texts.
+        place = np.repeat((np.cumsum(sizes) - sizes)[which] - ends[:-1], held) + np.arange(ends[-1])
+        return flat[place], ends[np.concatenate(([0], np.cumsum(counts)))]

@@ -17,6 +17,7 @@ of equal doc_id stand in the order of their texts; null doc_ids come first. An e
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import uuid
@@ -39,7 +40,7 @@ BLOCK_IDS = 1 << 16
 #: Entries of a worker's lexicon; beyond them it starts anew (speed only, never the result).
 LEXICON_ENTRIES = 1_300_000
 #: Chunks that the library encodes at a time.
-JOINT = 1000
+JOINT = 200
 READ_BLOCKS = 16
 
 
@@ -74,24 +75,23 @@ class Writer:
         self.doc_ids: list[int | None] = []
         self.first = [0]
 
-    def add(self, doc_id: int | None, ids: bytes) -> None:
-        """`ids`: little-endian unsigned 32-bit integers."""
+    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.doc_ids.append(doc_id)
-        self.first.append(self.first[-1] + len(ids) // 4)
+        self.first.append(self.first[-1] + len(ids))
         self.rest.append(ids)
-        self.held += len(ids) // 4
+        self.held += len(ids)
         if self.held >= 4 * BLOCK_IDS:
             self._flush(False)
 
     def _flush(self, end: bool) -> None:
-        ids = np.frombuffer(b"".join(self.rest), dtype="<u4")
+        ids = np.concatenate(self.rest) if self.rest else np.zeros(0, dtype="<u4")
         whole = len(ids) if end else len(ids) // BLOCK_IDS * BLOCK_IDS
         for i in range(0, whole, BLOCK_IDS):
             data = pack(ids[i : min(whole, i + BLOCK_IDS)], self.bits)
             self.out.write(data)
             self.at += len(data)
             self.offsets.append(self.at)
-        self.rest, self.held = [ids[whole:].tobytes()], len(ids) - whole
+        self.rest, self.held = [ids[whole:].copy()], len(ids) - whole
 
     def close(self) -> None:
         self._flush(True)
@@ -145,15 +145,25 @@ class Reader:
 
 
 def lexicon(path: str) -> Lexicon:
+    """The library's ids, by its defaults but for `add_special_tokens=False`: the text of an added token is that token.
+
+    Only for byte-level files whose added tokens stand by themselves; others raise ValueError, as texts must not be cut there.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    # Bytes of each id's token: byte-level vocabularies write one character for each byte.
+    with open(path, encoding="utf-8") as f:
+        described = json.load(f)
+    cutter, added = described.get("pre_tokenizer") or {}, tokenizer.get_added_tokens_decoder()
+    if described.get("normalizer") or cutter.get("type") != "ByteLevel" or cutter.get("add_prefix_space") or not cutter.get("use_regex", True):
+        raise ValueError(f"{path}: only plain byte-level tokenizers")
+    if any(t.lstrip or t.rstrip or t.single_word or any(map(str.isspace, t.content)) for t in added.values()):
+        raise ValueError(f"{path}: an added token depends on what stands around it")
+    # Bytes of each id's token: byte-level vocabularies write one character for each byte, added tokens are as they are.
     width = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), dtype=np.int64)
     for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
-        width[i] = len(token)
+        width[i] = len(added[i].content.encode()) if i in added else len(token)
 
     def ids_of(texts: list[str]) -> list[bytes]:
         """The library encodes many chunks as one text, and their bytes tell which ids are whose. Chunks that could
@@ -185,7 +195,7 @@ def write_files(df: DataFrame, path: str, vocabulary: int, folder: str | None =
     """
     folder = folder or new_path(df.sparkSession, "tokens")
     bits = bits_for(vocabulary)
-    end = b"" if end_id is None else struct.pack("<I", end_id)
+    end = np.array([] if end_id is None else [end_id], dtype="<u4")
 
     def run(batches):
         known, store, writer = worker_state(f"tokenizer {path}", lambda: lexicon(path)), None, None
@@ -198,8 +208,9 @@ def write_files(df: DataFrame, path: str, vocabulary: int, folder: str | None =
                     fs.create_dir(root, recursive=True)
                     store = fs.open_output_stream(passing)
                     writer = Writer(store, bits)
-                for d, ids in zip(piece.column(doc_id).to_pylist(), known.encode([t or "" for t in piece.column(text).to_pylist()])):
-                    writer.add(d, ids + end)
+                ids, cuts = known.encode(piece.column(text))
+                for d, a, b in zip(piece.column(doc_id).to_pylist(), cuts.tolist(), cuts[1:].tolist()):
+                    writer.add(d, np.concatenate((ids[a:b], end)))
         if writer is not None:
             writer.close()
             store.close()

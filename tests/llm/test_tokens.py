@@ -35,15 +35,26 @@ def odd_texts(n=400):
 
 
 def test_chunks_join_back():
-    for t in odd_texts():
-        assert " ".join(chunks(t)) == t
+    texts = [*odd_texts(), None, "x é y", "a\u2028 b", "\u3000 c", "d\xa0 e"]
+    for own in (pa.array(texts), pa.array(["lead", None, *texts])[2:]):
+        parts, counts = chunks(own)
+        ends = np.cumsum(counts)
+        parts = parts.to_pylist()
+        assert ["".join(parts[e - n : e]) for e, n in zip(ends, counts)] == [t or "" for t in texts]
+    for text, cut in (("x é y", ["x", " é", " y"]), ("a\u2028 b", ["a\u2028 b"]), ("\u3000 c", ["\u3000 c"]), ("  a  b", ["  a", "  b"]), ("d\xa0 e", ["d\xa0 e"])):
+        assert chunks(pa.array([text]))[0].to_pylist() == cut
+
+
+def encoded(lexicon, texts):
+    ids, cuts = lexicon.encode(pa.array(texts))
+    return [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])]
 
 
 def test_replay_is_tiktoken():
     enc, lexicon = reference(), bpe.lexicon(bpe.Vocabulary(RANKS), public_tokenizers.PATTERN)
     texts = odd_texts()
-    for text, ids in zip(texts, lexicon.encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == enc.encode_ordinary(text)
+    for text, ids in zip(texts, encoded(lexicon, texts)):
+        assert ids == enc.encode_ordinary(text)
 
 
 def test_replay_of_a_merge_to_a_lower_rank(tmp_path):
@@ -99,7 +110,7 @@ def test_random_access(monkeypatch):
     out = pa.BufferOutputStream()
     writer = tokenfile.Writer(out, 13)
     for d, ids in docs:
-        writer.add(d, ids.tobytes())
+        writer.add(d, ids)
     writer.close()
     reader = tokenfile.Reader(pa.BufferReader(out.getvalue()))
     every = np.concatenate([ids for _, ids in docs])
@@ -125,10 +136,33 @@ def test_file_query(spark):
 
 def test_library_on_odd_texts():
     tokenizer = Tokenizer.from_file(JSON)
-    tokenizer.encode_special_tokens = True
-    texts = odd_texts()
-    for text, ids in zip(texts, tokenfile.lexicon(JSON).encode(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    mark = "<|endoftext|>"
+    texts = [*odd_texts(), mark, f"x {mark} y", f"x  {mark}  y", f"a{mark}b{mark}", f" {mark}\n{mark} c", f"{mark} {mark} {mark}", f"q \n {mark}", f"<|end {mark}of text|>"]
+    for text, ids in zip(texts, encoded(tokenfile.lexicon(JSON), texts)):
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
+    assert 50256 in encoded(tokenfile.lexicon(JSON), [f"x {mark}"])[0]
+
+
+def test_other_tokenizer_files_are_refused(tmp_path):
+    import json
+
+    with open(JSON, encoding="utf-8") as f:
+        described = json.load(f)
+    for change in ({"normalizer": {"type": "NFC"}}, {"added_tokens": [{**described["added_tokens"][0], "lstrip": True}]}):
+        path = tmp_path / "other.json"
+        path.write_text(json.dumps(described | change))
+        with pytest.raises(ValueError):
+            tokenfile.lexicon(str(path))
+
+
+def test_file_of_repeated_rows_long_texts_and_other_columns(spark):
+    tokenizer = Tokenizer.from_file(JSON)
+    texts = ["word é " * 60_000, "b", "b", None, "  <|endoftext|> c"]
+    df = spark.createDataFrame([(i, t, "z", i) for i, t in enumerate(texts)], "doc_id long, text string, ids string, n_tokens long")
+    got = {r["doc_id"]: r for r in tokenfile.read_files(tokenfile.write_files(df, JSON, 50257)).collect()}
+    for i, t in enumerate(texts):
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]
+        assert (got[i]["n_tokens"], got[i]["ids_crc32"]) == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
 
 
 def test_file_edges(spark):
