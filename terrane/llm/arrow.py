@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,18 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return _state[name]
 
 
+def shielding(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator that uses names with two underscores inside: columns of its table that have such names keep out of
+    its way under others, and get theirs back."""
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **options) -> DataFrame:
+        own = {c: f"own {i} {c}" for i, c in enumerate(df.columns) if c.startswith("__")}
+        return operator(df.withColumnsRenamed(own), *args, **options).withColumnsRenamed({v: k for k, v in own.items()})
+
+    return run
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the values of `column` in each slice hold at most `limit` bytes, or one value."""
     size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -45,8 +58,8 @@ def extend(df: DataFrame, column: str, fields: list[T.StructField], make: Callab
     `make` runs once in each task and gives the function from a slice to the new columns' values.
     A column of `df` that has the name of a new one is replaced.
     """
-    new = {f.name for f in fields}
-    kept = [f for f in df.schema.fields if f.name not in new]
+    new = {f.name.lower() for f in fields}
+    kept = [f for f in df.schema.fields if f.name.lower() not in new]
     kept_names = [f.name for f in kept]
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -20,6 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.llm.arrow import shielding
 from terrane.llm.storage import saved
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -76,6 +77,7 @@ def apportion(parties: DataFrame, groups: list[str], weight: str, seats: str, li
     return rows.join(won, [*{*groups, tie}], "left").withColumn("__seats", F.col("__low") + F.coalesce("__won", F.lit(0))).drop("__all", "__half", "__low", "__high", "__open", "__won")
 
 
+@shielding
 def mixed(df: DataFrame, share: float = 1.5, most: int = 2, weights: tuple[int, ...] = WEIGHTS, seed: int = 29, doc_id: str = "doc_id", text: str = "text", source: str = "source", keep_text: bool = True, copies: str | None = None) -> DataFrame:
     """All rows of `df` with `size`, `source_size`, `target` (its source's) and `taken` words.
 

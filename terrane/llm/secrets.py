@@ -26,6 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.llm.arrow import shielding
 from terrane.llm.storage import saved
 
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -134,6 +135,7 @@ def limits(tested: DataFrame, column: str, rate: float = FDR) -> dict[int, int]:
     return {r["band"]: r["step"] for r in rejected.collect()}
 
 
+@shielding
 def scanned(df: DataFrame, text: str = "text", rate: float = FDR, keep_text: bool = True) -> DataFrame:
     """Add `secrets`: array of (start, kind number, stop, kind) in order; `kind` is one of KINDS.
 

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrane.llm.arrow import shielding
 from terrane.llm.storage import saved
 
 #: Bytes of text that one bucket should hold.
@@ -36,6 +37,7 @@ def fisher_yates(n: int, seed: list[int]) -> np.ndarray:
     return np.array(out, dtype=np.int64)
 
 
+@shielding
 def shuffled(df: DataFrame, shards: int, seed: int = 17, key: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All rows and columns of `df` with `shard` (0 to shards - 1) and `slot` (gapless from 0 in each shard).
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrane.llm.arrow import extend, slices
+from terrane.llm.arrow import extend, shielding, slices
 from terrane.llm.components import components
 from terrane.llm.storage import saved
 
@@ -252,6 +252,7 @@ def printed(df: DataFrame, size: int = 3, text: str = "text", out: str = "__prin
     return extend(df, text, [T.StructField(out, T.LongType(), False)], make)
 
 
+@shielding
 def grouped(df: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc_id", keep_text: bool = True) -> DataFrame:
     """All rows of `df` with `fingerprint` (16 hex digits) and `component_id`, the least id of the row's component.
 
@@ -260,49 +261,81 @@ def grouped(df: DataFrame, size: int = 3, text: str = "text", doc_id: str = "doc
     return _named(df, size, text, doc_id, keep_text).drop("__row")
 
 
+@shielding
 def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each group of near-duplicates, that of the least id; of rows with the same id any one, but only one.
 
     Texts are near-duplicates if the Jaccard similarity of their sets of shingles of `size` words (A-Z in lower case) is
-    `least` or more; groups are what chains of such pairs connect. The pairs are found by exact prefix filtering: with
-    all shingles in one order, the first shingle that two similar sets share stands among the first
-    n - ceil(least * n) + 1 of each. Any order will do; the common ones of a sample of texts stand last, so that a line
-    that many texts hold brings few of them together. Texts of equal sets are one from the start.
+    `least` or more; groups are what chains of such pairs connect. Texts of equal sets are one from the start.
+
+    Fingerprints within `DISTANCE` bits, met by their Golay keys, give the first pairs. Sets that are just similar enough
+    differ in about ten bits, so these are not all. The others are found by exact prefix filtering: with all shingles in
+    one order, the first shingle that two similar sets share stands among the first n - ceil(least * n) + 1 of each. Any
+    order will do; the common ones of a sample of texts stand last, so that a line that many texts hold brings few of them
+    together. Every pair is verified exactly; pairs that verified ones connect already are not compared.
 
     In a group of up to `FEW` texts of one key all pairs are compared. In a larger one they are compared with a few of
-    them for some rounds; what verified pairs connect by then needs no more comparing, and all other pairs are compared.
+    them for some rounds; then all pairs that are still apart are compared. There a sketch of each set, the parities of
+    its shingles in `SKETCH` classes, goes first: two sets differ in as many shingles at least as their sketches in bits.
+
+    Results: texts without words are copies of one another. Null ids stand behind all others. All columns
+    keep their names and values. An empty table gives an empty one.
     """
     common, ranks = common_shingles(df, text, size)
 
     def make():
         def work(piece: pa.RecordBatch) -> list:
-            sets = [shingle_set(t, size) for t in piece.column(text).to_pylist()]
+            lists = [shingle_hashes(t or "", size) for t in piece.column(text).to_pylist()]
+            sets = [np.unique(np.array(x, dtype=np.uint64)) for x in lists]
             digests = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64)
-            return [pa.array(digests.view(np.int64)), pa.array([len(s) for s in sets], pa.int32()), pa.array([leading(s, common, ranks, least).tobytes() for s in sets], pa.binary())]
+            return [
+                pa.array(digests.view(np.int64)),
+                pa.array([len(s) for s in sets], pa.int32()),
+                pa.array([leading(s, common, ranks, least).tobytes() for s in sets], pa.binary()),
+                pa.array(majorities(lists).view(np.int64)),
+                pa.array([sketch(s) for s in sets], pa.list_(pa.int64())),
+            ]
 
         return work
 
-    hashed = extend(df, text, [T.StructField("__set", T.LongType()), T.StructField("__size", T.IntegerType()), T.StructField("__keys", T.BinaryType())], make)
+    fields = [("__set", T.LongType()), ("__size", T.IntegerType()), ("__keys", T.BinaryType()), ("__print", T.LongType()), ("__sketch", T.ArrayType(T.LongType()))]
+    hashed = extend(df, text, [T.StructField(n, t) for n, t in fields], make)
     hashed = saved(hashed.withColumn("__row", F.monotonically_increasing_id()), "prints")
-    nodes = saved(hashed.groupBy("__set", "__size").agg(F.min(_place(doc_id)).alias("least")).withColumn("node", F.col("least.row")), "nodes")
-    keyed = hashed.select("__row", "__size", "__keys").join(nodes.select(F.col("node").alias("__row")), "__row", "left_semi").mapInArrow(_led, _KEYED)
-    met = saved(_by_key(keyed, _met(least, FEW), _KEYED + ", other long"), "met")
+    place = F.struct(_place(doc_id).alias("at"), F.col("__print").alias("print"))
+    nodes = hashed.groupBy("__set", "__size").agg(F.min(place).alias("first")).select(F.col("first.at").alias("least"), F.col("first.at.row").alias("node"), F.col("first.print").alias("print"))
+    nodes = saved(nodes, "nodes")
     texts = hashed.select("__row", text)
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def verified(pairs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+        if roots is not None:
+            for end in ("a", "b"):
+                pairs = pairs.join(roots.toDF(end, f"root_{end}"), end, "left")
+            pairs = pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
         return saved(similar(saved(pairs, "candidates"), texts, text, size, least), "similar")
 
-    edges = verified(met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    # Nodes of one fingerprint are hung on the least of them, and these on each other.
+    homes = saved(nodes.groupBy("print").agg(F.min("node").alias("home")), "homes")
+    same = nodes.join(homes, "print").select(F.col("home").alias("a"), F.col("node").alias("b"))
+    near = links(homes.select("print"))
+    for end in ("a", "b"):
+        near = near.join(homes.select(F.col("print").alias(end), F.col("home").alias(f"home_{end}")), end)
+    edges = verified(same.union(near.select("home_a", "home_b")))
+    roots = components(edges)
+
+    keyed = hashed.select("__row", "__size", "__keys").join(nodes.select(F.col("node").alias("__row")), "__row", "left_semi").mapInArrow(_led, _KEYED)
+    met = saved(_by_key(keyed, _met(least, FEW), _KEYED + ", other long"), "met")
+    edges = edges.union(verified(met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), roots))
     roots = components(edges)
     large = met.where("other IS NULL").drop("other")
     if large.take(1):
+        large = saved(large.join(hashed.select(F.col("__row").alias("node"), F.col("__sketch").alias("sketch")), "node"), "large")
         for i in range(ROUNDS + 1):
-            labelled = large.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).select("key", "node", "size", "place", "label")
+            labelled = large.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).select("key", "node", "size", "place", "label", "sketch")
             edges = edges.union(verified(_by_key(labelled, _apart(least, i if i < ROUNDS else None), "a long, b long")))
             roots = components(edges)
-    homes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = homes.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row"))
+    groups = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = groups.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row"))
     return hashed.join(kept, "__row", "left_semi").select(*df.columns)
 
 
@@ -312,6 +345,8 @@ FEW = 64
 ROUNDS, PIVOTS = 3, 2
 #: One text in `PART` tells which shingles are common: those in `COMMON` of these texts, `MOST_COMMON` shingles at most.
 PART, COMMON, MOST_COMMON = 32, 3, 1 << 18
+#: Classes of shingles in a sketch; a multiple of 64.
+SKETCH = 512
 #: Pairs that a task looks at or gives out at once.
 PAIRS = 1 << 20
 
@@ -322,6 +357,12 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(text or "", size), dtype=np.uint64))
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """Whether the number of shingles in each class is odd, as 64-bit words."""
+    odd = np.bincount((own % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def common_shingles(df: DataFrame, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Common shingles of a sample, sorted, and the place of each in the order of their counts. They decide how many
     candidates there are, but not which pairs are found."""
@@ -383,7 +424,7 @@ def _whole_runs(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [c.to_numpy() for c in batch.columns]
+        columns = [c.to_numpy() if pa.types.is_primitive(c.type) else c.flatten().to_numpy().reshape(batch.num_rows, -1) for c in batch.columns]
         cut = int(np.searchsorted(columns[0], columns[0][-1], side="left"))
         if held and cut == 0 and held[-1][0][-1] != columns[0][0]:
             yield joined()
@@ -427,7 +468,7 @@ def _met(least: float, few: int):
 def _apart(least: float, turn: int | None):
     def run(batches):
         """Pairs of different labels in each run: those with the pivots of this turn, or all without one."""
-        for (_, node, size, place, label), starts, sizes in _whole_runs(batches):
+        for (_, node, size, place, label, marks), starts, sizes in _whole_runs(batches):
             for s, n in zip(starts.tolist(), sizes.tolist()):
                 every = np.arange(s, s + n)
                 if turn is None:
@@ -442,6 +483,8 @@ def _apart(least: float, turn: int | None):
                 for f in range(0, len(first), step):
                     i, j = np.repeat(first[f : f + step], n), np.tile(every, len(first[f : f + step]))
                     good = (label[i] != label[j]) & _may(size, place, i, j, least)
+                    i, j = i[good], j[good]
+                    good = np.bitwise_count((marks[i] ^ marks[j]).view(np.uint64)).sum(axis=1) <= (1 - least) / (1 + least) * (size[i].astype(np.int64) + size[j]) + 1e-6
                     yield _edges(node[i[good]], node[j[good]])
 
     return run

@@ -120,6 +120,18 @@ def test_edges(spark):
     assert simhash.grouped(df.limit(0)).count() == 0
     twice = spark.createDataFrame([(7, "same words here", 1)] * 3, "doc_id long, text string, __x int")
     assert simhash.deduplicated(twice).count() == 1
+    assert simhash.deduplicated(df.limit(0)).collect() == [] and simhash.deduplicated(df.limit(0)).columns == df.columns
+
+
+def test_columns_with_inner_names(spark):
+    names = ["__row", "__set", "__keys", "__print", "__SIZE", "node", "root", "key", "fingerprint"]
+    rows = [(1, "one two three four five", *range(9)), (2, "One two three four five", *range(9)), (3, "x", *range(9)), (None, "y", *range(9))]
+    df = spark.createDataFrame(rows, f"doc_id long, text string, {', '.join(f'`{n}` int' for n in names)}")
+    kept = simhash.deduplicated(df)
+    assert kept.columns == df.columns
+    assert sorted(kept.collect(), key=lambda r: r[0] or 9) == [r for r in df.collect() if r[0] != 2]
+    named = {r["doc_id"]: r for r in simhash.grouped(df).collect()}
+    assert [named[i]["component_id"] for i in (1, 2, 3, None)] == [1, 1, 3, None] and named[1]["__row"] == 0 and named[1]["fingerprint"] != 8
 
 
 def jaccard(a, b):
@@ -202,6 +214,16 @@ def test_a_large_group_is_compared_like_a_small_one(spark, monkeypatch):
         assert kept_ids(spark, texts) == want
 
 
+def test_sketches_never_part_similar_sets():
+    rng = np.random.default_rng(5)
+    for n in (5, 60, 400, 3000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        b = np.unique(np.concatenate((a[n // 9 :], rng.integers(0, 2**63, n // 9).astype(np.uint64))))
+        apart = len(np.setxor1d(a, b))
+        bits = int(np.bitwise_count((np.array(simhash.sketch(a)) ^ np.array(simhash.sketch(b))).view(np.uint64)).sum())
+        assert bits <= apart and (n > 400 or bits >= apart / 3)
+
+
 def test_short_near_copies_are_all_found(spark):
     rng = random.Random(8)
     texts = []
