@@ -275,8 +275,9 @@ def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "
     together. Every pair is verified exactly; pairs that verified ones connect already are not compared.
 
     In a group of up to `FEW` texts of one key all pairs are compared. In a larger one they are compared with a few of
-    them for some rounds; then all pairs that are still apart are compared. There a sketch of each set, the parities of
-    its shingles in `SKETCH` classes, goes first: two sets differ in as many shingles at least as their sketches in bits.
+    them for some rounds; then all pairs that are still apart are compared. Sketches go first: the parities of a set's
+    shingles in classes, about as many as it has shingles. Two sets differ in as many shingles at least as their sketches
+    in bits, so only pairs that pass, nearly all of them similar, fetch their shingles.
 
     Results: texts without words are copies of one another. Null ids stand behind all others. All columns
     keep their names and values. An empty table gives an empty one.
@@ -287,24 +288,26 @@ def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "
         def work(piece: pa.RecordBatch) -> list:
             lists = [shingle_hashes(t or "", size) for t in piece.column(text).to_pylist()]
             sets = [np.unique(np.array(x, dtype=np.uint64)) for x in lists]
+            sketches = list(map(sketch, sets))
             digests = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64)
             return [
                 pa.array(digests.view(np.int64)),
                 pa.array([len(s) for s in sets], pa.int32()),
                 pa.array([leading(s, common, ranks, least).tobytes() for s in sets], pa.binary()),
                 pa.array(majorities(lists).view(np.int64)),
-                pa.array([sketch(s) for s in sets], pa.list_(pa.int64())),
+                pa.array([s.tobytes() for s in sketches], pa.binary()),
+                pa.array([folded(s, SKETCH // 64).view(np.int64) for s in sketches], pa.list_(pa.int64())),
             ]
 
         return work
 
-    fields = [("__set", T.LongType()), ("__size", T.IntegerType()), ("__keys", T.BinaryType()), ("__print", T.LongType()), ("__sketch", T.ArrayType(T.LongType()))]
+    fields = [("__set", T.LongType()), ("__size", T.IntegerType()), ("__keys", T.BinaryType()), ("__print", T.LongType()), ("__sketch", T.BinaryType()), ("__small", T.ArrayType(T.LongType()))]
     hashed = extend(df, text, [T.StructField(n, t) for n, t in fields], make)
     hashed = saved(hashed.withColumn("__row", F.monotonically_increasing_id()), "prints")
     place = F.struct(_place(doc_id).alias("at"), F.col("__print").alias("print"))
     nodes = hashed.groupBy("__set", "__size").agg(F.min(place).alias("first")).select(F.col("first.at").alias("least"), F.col("first.at.row").alias("node"), F.col("first.print").alias("print"))
     nodes = saved(nodes, "nodes")
-    texts = hashed.select("__row", text)
+    texts, marks = hashed.select("__row", text), hashed.select("__row", "__size", "__sketch")
 
     def verified(pairs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
@@ -312,7 +315,8 @@ def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "
             for end in ("a", "b"):
                 pairs = pairs.join(roots.toDF(end, f"root_{end}"), end, "left")
             pairs = pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-        return saved(similar(saved(pairs, "candidates"), texts, text, size, least), "similar")
+        near = saved(may_be_similar(pairs, marks, least), "candidates")
+        return saved(similar(near, texts, text, size, least), "similar")
 
     # Nodes of one fingerprint are hung on the least of them, and these on each other.
     homes = saved(nodes.groupBy("print").agg(F.min("node").alias("home")), "homes")
@@ -329,7 +333,7 @@ def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "
     roots = components(edges)
     large = met.where("other IS NULL").drop("other")
     if large.take(1):
-        large = saved(large.join(hashed.select(F.col("__row").alias("node"), F.col("__sketch").alias("sketch")), "node"), "large")
+        large = saved(large.join(hashed.select(F.col("__row").alias("node"), F.col("__small").alias("sketch")), "node"), "large")
         for i in range(ROUNDS + 1):
             labelled = large.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).select("key", "node", "size", "place", "label", "sketch")
             edges = edges.union(verified(_by_key(labelled, _apart(least, i if i < ROUNDS else None), "a long, b long")))
@@ -345,7 +349,7 @@ FEW = 64
 ROUNDS, PIVOTS = 3, 2
 #: One text in `PART` tells which shingles are common: those in `COMMON` of these texts, `MOST_COMMON` shingles at most.
 PART, COMMON, MOST_COMMON = 32, 3, 1 << 18
-#: Classes of shingles in a sketch; a multiple of 64.
+#: Classes of shingles in the least sketch, which stands for any set in large groups; a power of two.
 SKETCH = 512
 #: Pairs that a task looks at or gives out at once.
 PAIRS = 1 << 20
@@ -358,9 +362,34 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
 
 
 def sketch(own: np.ndarray) -> np.ndarray:
-    """Whether the number of shingles in each class is odd, as 64-bit words."""
-    odd = np.bincount((own % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH) & 1
-    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+    """Whether the number of shingles in each class is odd, as 64-bit words; the classes are a power of two, not under
+    the number of shingles."""
+    classes = max(SKETCH, 1 << max(0, len(own) - 1).bit_length())
+    odd = np.bincount((own & np.uint64(classes - 1)).astype(np.int64), minlength=classes) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(words: np.ndarray, n: int) -> np.ndarray:
+    """The same sketch with the classes of `n` words, a power of two."""
+    return np.bitwise_xor.reduce(words.reshape(-1, n), axis=0)
+
+
+def may_be_similar(edges: DataFrame, marks: DataFrame, least: float) -> DataFrame:
+    """The edges whose sizes and sketches (`__row`, `__size`, `__sketch`) allow a similarity of `least`."""
+
+    def run(batches):
+        for batch in batches:
+            sizes = batch.column("m").to_numpy() + batch.column("n").to_numpy()
+            most = (1 - least) / (1 + least) * sizes + 1e-6
+            keep = np.abs(batch.column("m").to_numpy() - batch.column("n").to_numpy()) <= most
+            for i in np.flatnonzero(keep).tolist():
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), dtype=np.uint64) for c in ("x", "y"))
+                n = min(len(x), len(y))
+                keep[i] = np.bitwise_count(folded(x, n) ^ folded(y, n)).sum() <= most[i]
+            yield batch.filter(pa.array(keep)).select(["a", "b"])
+
+    pairs = edges.join(marks.toDF("a", "m", "x"), "a").join(marks.toDF("b", "n", "y"), "b")
+    return pairs.select("a", "b", F.col("m").cast("long").alias("m"), F.col("n").cast("long").alias("n"), "x", "y").mapInArrow(run, "a long, b long")
 
 
 def common_shingles(df: DataFrame, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -38,7 +38,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once as Parquet and give the table read back, so later passes never recompute it."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 

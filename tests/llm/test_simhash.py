@@ -216,12 +216,15 @@ def test_a_large_group_is_compared_like_a_small_one(spark, monkeypatch):
 
 def test_sketches_never_part_similar_sets():
     rng = np.random.default_rng(5)
-    for n in (5, 60, 400, 3000):
-        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
-        b = np.unique(np.concatenate((a[n // 9 :], rng.integers(0, 2**63, n // 9).astype(np.uint64))))
-        apart = len(np.setxor1d(a, b))
-        bits = int(np.bitwise_count((np.array(simhash.sketch(a)) ^ np.array(simhash.sketch(b))).view(np.uint64)).sum())
-        assert bits <= apart and (n > 400 or bits >= apart / 3)
+    for n in (5, 60, 400, 3000, 5000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate((a[n // 9 :], rng.integers(0, 2**63, n // 9 * 2).astype(np.uint64))))
+        apart, words = len(np.setxor1d(a, b)), min(len(simhash.sketch(a)), len(simhash.sketch(b)))
+        for w in (words, simhash.SKETCH // 64):
+            bits = int(np.bitwise_count(simhash.folded(simhash.sketch(a), w) ^ simhash.folded(simhash.sketch(b), w)).sum())
+            assert bits <= apart and (w < words or bits >= apart / 3)
+        other = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        assert n < 60 or np.bitwise_count(simhash.sketch(a)[:words] ^ simhash.sketch(other)[:words]).sum() > (len(a) + len(other)) / 9
 
 
 def test_short_near_copies_are_all_found(spark):
