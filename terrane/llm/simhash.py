@@ -352,7 +352,7 @@ PART, COMMON, MOST_COMMON = 32, 3, 1 << 18
 #: Classes of shingles in the least sketch, which stands for any set in large groups; a power of two.
 SKETCH = 512
 #: Pairs that a task looks at or gives out at once.
-PAIRS = 1 << 20
+PAIRS = 1 << 17
 
 _KEYED = "key long, node long, size int, place int"
 
