@@ -272,10 +272,10 @@ def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "
     differ in about ten bits, so these are not all. The others are found by exact prefix filtering: with all shingles in
     one order, the first shingle that two similar sets share stands among the first n - ceil(least * n) + 1 of each. Any
     order will do; the common ones of a sample of texts stand last, so that a line that many texts hold brings few of them
-    together. Every pair is verified exactly; pairs that verified ones connect already are not compared.
+    together. Every pair is verified exactly.
 
     In a group of up to `FEW` texts of one key all pairs are compared. In a larger one they are compared with a few of
-    them for some rounds; then all pairs that are still apart are compared. Sketches go first: the parities of a set's
+    them first; then all pairs that verified ones do not connect by then are compared. Sketches go first: the parities of a set's
     shingles in classes, about as many as it has shingles. Two sets differ in as many shingles at least as their sketches
     in bits, so only pairs that pass, nearly all of them similar, fetch their shingles.
 
@@ -309,12 +309,8 @@ def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "
     nodes = saved(nodes, "nodes")
     texts, marks = hashed.select("__row", text), hashed.select("__row", "__size", "__sketch")
 
-    def verified(pairs: DataFrame, roots: DataFrame | None = None) -> DataFrame:
+    def verified(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
-        if roots is not None:
-            for end in ("a", "b"):
-                pairs = pairs.join(roots.toDF(end, f"root_{end}"), end, "left")
-            pairs = pairs.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
         near = saved(may_be_similar(pairs, marks, least), "candidates")
         return saved(similar(near, texts, text, size, least), "similar")
 
@@ -324,12 +320,11 @@ def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "
     near = links(homes.select("print"))
     for end in ("a", "b"):
         near = near.join(homes.select(F.col("print").alias(end), F.col("home").alias(f"home_{end}")), end)
-    edges = verified(same.union(near.select("home_a", "home_b")))
-    roots = components(edges)
+    linked = same.union(near.select("home_a", "home_b"))
 
     keyed = hashed.select("__row", "__size", "__keys").join(nodes.select(F.col("node").alias("__row")), "__row", "left_semi").mapInArrow(_led, _KEYED)
     met = saved(_by_key(keyed, _met(least, FEW), _KEYED + ", other long"), "met")
-    edges = edges.union(verified(met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), roots))
+    edges = verified(linked.union(met.where("other IS NOT NULL").select("node", "other")))
     roots = components(edges)
     large = met.where("other IS NULL").drop("other")
     if large.take(1):
@@ -346,7 +341,7 @@ def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "
 #: Texts of one key all of whose pairs are compared at once.
 FEW = 64
 #: Rounds in which the texts of a larger group are compared with `PIVOTS` of them, before all pairs that are still apart.
-ROUNDS, PIVOTS = 3, 2
+ROUNDS, PIVOTS = 1, 3
 #: One text in `PART` tells which shingles are common: those in `COMMON` of these texts, `MOST_COMMON` shingles at most.
 PART, COMMON, MOST_COMMON = 32, 3, 1 << 18
 #: Classes of shingles in the least sketch, which stands for any set in large groups; a power of two.
