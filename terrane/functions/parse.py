@@ -97,6 +97,16 @@ def price_two_units(x: Column) -> Column:
     return F.when(x.contains("tỷ"), high).when(x.contains("triệu"), low)
 
 
+def price_residue(x: Column, before: Column) -> Column:
+    """As `price_two_units`, but a second unit without its number counts as none, and a text without a unit leaves the
+    price that was there before."""
+    two = lambda y, n: F.round(_first(y, r"[0-9]+([.,][0-9]+)?").try_cast("decimal(24,6)"), 2).cast("decimal(15,2)") * F.lit(n)
+    rest = lambda mark, n: F.coalesce(two(F.substring_index(x, mark, -1), n), F.lit(0))
+    high = two(x, BILLION) + F.when(x.contains("triệu"), rest("tỷ", MILLION)).otherwise(F.lit(0))
+    low = two(x, MILLION) + F.when(x.rlike("nghìn|ngàn"), rest("triệu", THOUSAND)).otherwise(F.lit(0))
+    return F.when(x.contains("tỷ"), high).when(x.contains("triệu"), low).otherwise(before)
+
+
 def price_short_units(x: Column) -> Column:
     """Blanks removed; short units allowed; a missing unit counts as one; two decimals; null unless positive."""
     p = F.regexp_replace(F.lower(x), "[\\s\\u00a0]", "")
@@ -138,33 +148,48 @@ def area_first_number(x: Column) -> Column:
     return _positive(_first(F.lower(x), _NUMBER).try_cast("double"))
 
 
+def _bound(x: Column, of: Callable[[Column], Column]) -> Column:
+    """`of(x)`, with x computed once."""
+    return F.get(F.transform(F.array(x), of), 0)
+
+
+def _signed(first_parts: Callable[[Column], Column], kind: str) -> Callable[[Column], Column]:
+    """A number of groups and decimals: with both signs the one that `first_parts` denies is the decimal sign; one sign
+    alone that parts groups of three is not."""
+
+    def of(t: Column) -> Column:
+        dots, commas = F.replace(t, F.lit("."), F.lit("")), F.replace(t, F.lit(","), F.lit(""))
+        decimal = F.replace(t, F.lit(","), F.lit("."))
+        value = (
+            F.when(t.contains(".") & t.contains(","), F.when(first_parts(t), F.replace(dots, F.lit(","), F.lit("."))).otherwise(commas))
+            .when(t.contains("."), F.when(t.rlike(r"^\d{1,3}(\.\d{3})+$"), dots).otherwise(t))
+            .when(t.contains(","), F.when(t.rlike(r"^\d{1,3}(,\d{3})+$"), commas).otherwise(decimal))
+            .otherwise(t)
+        )
+        return value.try_cast(kind)
+
+    return of
+
+
 def area_last_sign(x: Column) -> Column:
     """The last of dot and comma is the decimal sign if both stand there; one alone that parts groups of three is not."""
     y = F.regexp_replace(F.lower(x), "m²|m2|㎡", "")
     t = F.nullif(F.regexp_extract(y, r"[-+]?\d[\d.,]*", 0), F.lit(""))
-    dots, commas = F.replace(t, F.lit("."), F.lit("")), F.replace(t, F.lit(","), F.lit(""))
-    comma_decimal = F.replace(dots, F.lit(","), F.lit("."))
-    last_comma = F.char_length(F.substring_index(t, ",", -1)) < F.char_length(F.substring_index(t, ".", -1))
-    value = (
-        F.when(t.contains(".") & t.contains(","), F.when(last_comma, comma_decimal).otherwise(commas))
-        .when(t.contains("."), F.when(t.rlike(r"^\d{1,3}(\.\d{3})+$"), dots).otherwise(t))
-        .when(t.contains(","), F.when(t.rlike(r"^\d{1,3}(,\d{3})+$"), commas).otherwise(F.replace(t, F.lit(","), F.lit("."))))
-        .otherwise(t)
-    )
-    return _positive(value.try_cast("double"))
+    last_comma = lambda t: F.char_length(F.substring_index(t, ",", -1)) < F.char_length(F.substring_index(t, ".", -1))
+    return _bound(_bound(t, _signed(last_comma, "double")), _positive)
 
 
 def area_first_sign(x: Column) -> Column:
     """As `area_last_sign`, but the sign that stands first parts groups; blanks within the number are dropped; zero is kept."""
     t = F.nullif(F.regexp_replace(F.regexp_extract(x, r"\d[\d\s.,]*", 0), r"\s+", ""), F.lit(""))
-    dots, commas = F.replace(t, F.lit("."), F.lit("")), F.replace(t, F.lit(","), F.lit(""))
-    value = (
-        F.when(t.contains(".") & t.contains(","), F.when(F.instr(t, ".") < F.instr(t, ","), F.replace(dots, F.lit(","), F.lit("."))).otherwise(commas))
-        .when(t.contains("."), F.when(t.rlike(r"^\d{1,3}(\.\d{3})+$"), dots).otherwise(t))
-        .when(t.contains(","), F.when(t.rlike(r"^\d{1,3}(,\d{3})+$"), commas).otherwise(F.replace(t, F.lit(","), F.lit("."))))
-        .otherwise(t)
-    )
-    return value.try_cast("decimal(24,6)")
+    return _bound(t, _signed(lambda t: F.instr(t, ".") < F.instr(t, ","), "decimal(24,6)"))
+
+
+def area_sides(x: Column) -> Column:
+    """Struct (width, length) of an area text such as "80 m2 (4,5x18)", with two decimals; null without such sides."""
+    side = r"\(\s*([0-9]+(?:[.,][0-9]+)?)\s*[xX]\s*([0-9]+(?:[.,][0-9]+)?)\s*\)"
+    number = lambda i: F.round(F.replace(F.nullif(F.regexp_extract(x, side, i), F.lit("")), F.lit(","), F.lit(".")).try_cast("decimal(24,6)"), 2).try_cast("decimal(10,2)")
+    return F.when(x.rlike(side), F.struct(number(1).alias("width"), number(2).alias("length")))
 
 
 def area_strict(x: Column, scale: int = 2) -> Column:

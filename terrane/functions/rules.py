@@ -25,10 +25,14 @@ class Groups:
     rent: tuple[str, ...] = ("u",)
     fold: bool = False
     any_trade: bool = False
+    #: Categories that stay without a group, where all others that are sold belong to group 4.
+    others: tuple[str, ...] | None = None
 
     def of(self, category: Column, trade: Column) -> Column:
         c = words_only(category) if self.fold else category
         group = F.when(c.isin(*self.houses), 1).when(c.isin(*self.flats), 2).when(c.isin(*self.land), 3)
+        if self.others is not None:
+            group = group.when(c.isNotNull() & ~c.isin(*self.others), 4)
         group = group if self.any_trade else F.when(trade == "s", group)
         return F.when(trade.isin(*self.rent), 4).otherwise(group)
 
@@ -37,6 +41,8 @@ class Groups:
 GROUPS = {
     "numbers": Groups(("1", "2", "3"), ("5", "56"), ("8", "10", "11")),
     "codes": Groups(("1020",), ("1010",), ("1040",)),
+    "codes_all": Groups(("1020",), ("1010",), ("1040",), rent=("u", "r"), others=("1030",)),
+    "plain": Groups(("Nhà riêng",), ("Căn hộ chung cư",), ("Đất", "Kho, nhà xưởng")),
     "names": Groups(
         ("Nhà hẻm ngõ", "Nhà mặt tiền phố", "Nhà biệt thự, liền kề", "Đường nội bộ"),
         ("Căn hộ chung cư", "Căn hộ dịch vụ", "Căn hộ tập thể, cư xá", "Căn hộ Penthouse", "Căn hộ Officetel"),
@@ -110,6 +116,7 @@ def _shares(land: tuple[str, ...], houses: tuple[str, ...], share: float = 0.85)
 
 #: Fixed values.
 LAND_PRICES = {
+    "plain": LandPrice(_shares(("Đất",), ("Nhà riêng", "Kho, nhà xưởng")), cut=True),
     "numbers": LandPrice(_shares(("8", "10", "11", "57"), ("1", "2", "3", "13", "14"))),
     "codes": LandPrice(_shares(("1040",), ("1020",))),
     "ids": LandPrice(_shares(("58", "79"), ("56", "62", "63", "66"))),
@@ -141,3 +148,64 @@ def price_m2_by_unit(price: Column, area: Column, unit: Column, least_total: int
     by_area = F.when((price > 0) & (area > 0), price / area)
     value = F.when((unit == "m2") & (price > 0), F.when(price < least_total, price.cast("double")).otherwise(by_area)).when(unit.isin("md", "thang"), by_area)
     return F.when(value <= LARGEST_PRICE_M2, value)
+
+
+def price_m2_if_plausible(price: Column, area: Column, unit: Column, least_total: int, least_m2: int) -> Column:
+    """The price of a square metre, cut to a whole number, where the unit is m2, the price at least `least_total`, the area
+    a plain positive number and the result at least `least_m2`; else the price as it is. `area` is a text."""
+    size = F.when(area.rlike(r"^[0-9]+([.,][0-9]+)?$"), F.round(F.replace(area, F.lit(","), F.lit(".")).try_cast("decimal(28,8)"), 4).cast("double"))
+    value = F.when((unit == "m2") & (price >= least_total) & (size > 0), price / size)
+    return F.when(value >= least_m2, value.cast("long")).otherwise(price)
+
+
+#: What a kind of home is called when it is sold or let, and its number there; the first phrase that the
+#: category holds wins.
+SALE_TYPES = (
+    (("Nhà riêng", "Nhà hẻm"), 2), (("Nhà phố", "Mặt tiền", "Đường nội bộ"), 1), (("Biệt thự",), 3), (("Chung cư", "Tập thể", "Penthouse", "Officetel"), 5),
+    (("Mini", "Căn hộ dịch vụ"), 56), (("Khách sạn", "Nhà hàng"), 13), (("Kho", "Xưởng", "Đất kho xưởng"), 14), (("Đất nền",), 8), (("Đất thổ cư",), 11),
+    (("Nông nghiệp", "Lâm nghiệp"), 10),
+)
+RENT_TYPES = (
+    (("Nhà phố", "Mặt tiền"), 1), (("Nhà riêng", "Nhà hẻm"), 2), (("Biệt thự",), 3), (("Chung cư", "Tập thể", "Penthouse", "Officetel"), 5), (("Văn phòng",), 6),
+    (("Mặt bằng",), 12), (("Khách sạn", "Nhà hàng", "Căn hộ dịch vụ"), 13), (("Kho", "Xưởng"), 14), (("Phòng trọ", "Nhà trọ"), 15), (("Công nghiệp",), 57),
+)
+SALE_NAMES = {
+    "Nhà hẻm ngõ": "Bán nhà riêng", "Nhà mặt tiền phố": "Bán nhà riêng", "Căn hộ chung cư": "Bán căn hộ chung cư", "Đất thổ cư": "Bán đất thổ cư",
+    "Nhà biệt thự, liền kề": "Bán biệt thự", "Đường nội bộ": "Bán nhà phố dự án", "Đất nền dự án": "Bán đất nền dự án", "Đất nông nghiệp": "Bán đất nông, lâm nghiệp",
+    "Căn hộ dịch vụ": "Bán căn hộ Mini, Dịch vụ", "Căn hộ tập thể, cư xá": "Bán căn hộ chung cư", "Căn hộ Penthouse": "Bán căn hộ chung cư",
+    "Đất kho xưởng": "Bán đất thổ cư", "Căn hộ Officetel": "Bán căn hộ chung cư",
+}
+RENT_NAMES = {
+    "Căn hộ chung cư": "Căn hộ chung cư", "Nhà mặt tiền phố": "Nhà phố", "Căn hộ dịch vụ": "Nhà hàng - Khách sạn", "Phòng trọ, nhà trọ": "Phòng trọ", "Nhà hẻm ngõ": "Nhà riêng",
+    "Nhà biệt thự, liền kề": "Biệt thự", "Văn phòng": "Văn phòng", "Nhà xưởng, kho bãi": "Nhà Kho - Xưởng", "Đường nội bộ": "Nhà phố", "Căn hộ Penthouse": "Căn hộ chung cư",
+    "Căn hộ tập thể, cư xá": "Căn hộ chung cư", "Căn hộ Officetel": "Căn hộ chung cư",
+}
+#: Papers of ownership by phrase.
+PAPERS = ((("sổ hồng", "sổ đỏ", "đã có sổ"), 1), (("hợp đồng mua bán", "hđmb"), 2), (("đang chờ sổ",), 3), (("giấy tờ hợp lệ",), 4))
+
+
+def first_phrase(text: Column, phrases: tuple[tuple[tuple[str, ...], int], ...], default: Column) -> Column:
+    """The number of the first entry of which the text, whatever its case, holds a phrase."""
+    low, out = F.lower(text), None
+    for names, number in phrases:
+        hit = low.rlike("|".join(n.lower() for n in names))
+        out = F.when(hit, number) if out is None else out.when(hit, number)
+    return out.otherwise(default)
+
+
+def renamed_by_pair(pairs: dict[tuple[str, str], str], first: Column, second: Column, default: Column) -> Column:
+    """The entry of a small map whose key is a pair of values, else the default."""
+    mapping = F.create_map(*[F.lit(x) for (a, b), v in pairs.items() for x in (f"{a}\t{b}", v)])
+    return F.coalesce(F.try_element_at(mapping, F.concat_ws("\t", first, second)), default)
+
+
+def property_columns(category: Column, trade: Column, papers: Column) -> dict[str, Column]:
+    """property_type, type_id, cat_id (1 homes, 2 land, 3 rent) and stratum_id of a listing; trades are mua, bán and thuê."""
+    names = {(t, c): n for t in ("mua", "bán") for c, n in SALE_NAMES.items()} | {("thuê", c): n for c, n in RENT_NAMES.items()}
+    rent, two = trade == "thuê", F.lit(2)
+    return {
+        "property_type": renamed_by_pair(names, trade, category, category),
+        "type_id": F.when(rent, first_phrase(category, RENT_TYPES, two)).otherwise(first_phrase(category, SALE_TYPES, two)),
+        "cat_id": F.when(rent, 3).otherwise(first_phrase(category, ((("Đất thổ cư", "Đất nền", "Nông nghiệp", "Lâm nghiệp"), 2),), F.lit(1))),
+        "stratum_id": first_phrase(papers, PAPERS, F.lit(None).cast("int")),
+    }

@@ -14,12 +14,15 @@ KEYS = ["scope", "period_type", "period_value", "province", "ward", "street", "g
 
 
 def spread_out(facts: DataFrame) -> DataFrame:
-    """Each price once for every period (month, quarter, year) and scope (ward, region, street), land prices as group 5."""
+    """Each price for every period (month, quarter, year) and scope (ward, region, street), land prices as group 5, with
+    the number of rows (`copies`) that have it."""
     price = F.array(
         F.struct(F.col("grp").cast("int").alias("grp"), F.col("price").alias("value")),
         F.struct(F.lit(5).alias("grp"), F.col("land_price").alias("value")),
     )
     rows = facts.where("province IS NOT NULL").withColumn("p", F.explode(price)).where("p.value > 0 AND p.grp IS NOT NULL")
+    # Counted at the finest keys; periods and scopes are made of the counts.
+    rows = rows.groupBy("province", "ward", "street", "street_source", "month", "p").agg(F.count("*").alias("copies"))
     period = F.array(
         F.struct(F.lit("month").alias("t"), F.col("month").alias("v")),
         F.struct(F.lit("quarter").alias("t"), quarter_key(F.col("month")).alias("v")),
@@ -33,10 +36,10 @@ def spread_out(facts: DataFrame) -> DataFrame:
             F.when(F.col("street_source") & (F.col("street") > 0), F.struct(F.lit("street").alias("s"), none.alias("w"), F.col("street").cast("long").alias("x"))),
         )
     )
-    rows = rows.select("province", "p", F.explode(period).alias("period"), scope.alias("scopes")).withColumn("scope", F.explode("scopes"))
+    rows = rows.select("province", "p", "copies", F.explode(period).alias("period"), scope.alias("scopes")).withColumn("scope", F.explode("scopes"))
     return rows.select(
         F.col("scope.s").alias("scope"), F.col("period.t").alias("period_type"), F.col("period.v").alias("period_value"), "province",
-        F.col("scope.w").alias("ward"), F.col("scope.x").alias("street"), F.col("p.grp").alias("grp"), F.col("p.value").alias("value"),
+        F.col("scope.w").alias("ward"), F.col("scope.x").alias("street"), F.col("p.grp").alias("grp"), F.col("p.value").alias("value"), "copies",
     )
 
 
@@ -46,7 +49,7 @@ def index(facts: DataFrame, medians: DataFrame | None = None) -> DataFrame:
     `medians`: stored medians of months (the same keys without period_type, `period_value` the month, and `stored`); a
     positive one replaces the computed median.
     """
-    stats = trimmed_stats(spread_out(facts), KEYS, "value").select(*KEYS, F.col("total_rows").alias("raw_rows"), "trimmed_rows", "median", "stddev")
+    stats = trimmed_stats(spread_out(facts), KEYS, "value", "copies").select(*KEYS, F.col("total_rows").alias("raw_rows"), "trimmed_rows", "median", "stddev")
     stats = stats.withColumn("median_source", F.lit("computed"))
     if medians is not None:
         keys = [k for k in KEYS if k != "period_type"]

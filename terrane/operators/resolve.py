@@ -1,7 +1,9 @@
 """Entity resolution: names matched exactly, normalised, by their core, then by blocked fuzzy scores.
 
-Names are compared once each: equal names of a side are one row until the end. Blocking joins on shared tokens, so
-candidates are found by an equi-join, and only the string ratio, which Spark lacks, runs in Python, over Arrow batches.
+Names are compared once each: equal names of a side are one row until the end. A score that is high enough needs a certain
+overlap of words, so candidates are found by prefix filtering: with all words in order of rarity, names that overlap that
+much share one among the first few words of each. Only the string ratio, which Spark lacks, runs in Python, over Arrow
+batches, for the candidates whose words and lengths still allow the score.
 """
 
 from __future__ import annotations
@@ -22,6 +24,23 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)], dtype="float64")
 
 
+@F.pandas_udf("ratio double, place int")
+def best_ratio(name: pd.Series, core: pd.Series, variants: pd.Series, cores: pd.Series) -> pd.DataFrame:
+    """The best ratio of a name to the variants and of its core to theirs, and the place of the variant that has it
+    (-1: a core, or none). The first of several wins."""
+
+    def one(s: str, c: str, names, bare) -> tuple[float, int]:
+        best, place = 0.0, -1
+        for at, source, target in [*((i, s, v) for i, v in enumerate(names)), *((-1, c, v) for v in bare)]:
+            if source and target:
+                match = SequenceMatcher(None, source, target)
+                if match.quick_ratio() > best and (r := match.ratio()) > best:
+                    best, place = r, at
+        return best, place
+
+    return pd.DataFrame([one(*x) for x in zip(name, core, variants, cores)], columns=["ratio", "place"]).astype({"ratio": "float64", "place": "int32"})
+
+
 @F.pandas_udf(T.DoubleType())
 def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """The best ratio, in percent, between the shared words of two texts and either text's words in order."""
@@ -38,57 +57,107 @@ def token_set_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([float(one(x, y)) for x, y in zip(a, b)], dtype="float64")
 
 
-def named(df: DataFrame, name: str = "name") -> DataFrame:
-    """Add norm, core and tokens of the name."""
-    norm = project_name(F.col(name))
-    return df.withColumns({"norm": norm, "core": project_core(F.col(name))}).withColumn("tokens", F.array_distinct(F.filter(F.split("norm", " "), lambda t: t != "")))
+def _words(name: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(name, " "), lambda t: t != ""))
+
+
+def named(df: DataFrame, name: str = "name", variants: tuple[str, ...] = ()) -> DataFrame:
+    """Add norm, core and tokens of the name; `variants`, the norms of the name and of the columns so called, and `cores`,
+    what is left of these without leading generic words. Blank ones are left out."""
+    own = df.withColumns({"norm": project_name(F.col(name)), "core": project_core(F.col(name))}).withColumn("tokens", _words(F.col("norm")))
+    every = F.filter(F.array("norm", *[project_name(F.col(v)) for v in variants]), lambda v: v != "")
+    own = own.withColumn("variants", F.array_distinct(every))
+    return own.withColumn("cores", F.array_distinct(F.filter(F.transform("variants", project_core), lambda v: v != "")))
+
+
+def _near(s_region: str = "s_region", d_region: str = "d_region") -> Column:
+    """Two known regions must be equal."""
+    return F.col(s_region).isNull() | F.col(d_region).isNull() | (F.col(s_region) == F.col(d_region))
+
+
+def _with_regions(pairs: DataFrame, src: DataFrame, dst: DataFrame) -> DataFrame:
+    """Pairs of names with the regions in which their sides have them."""
+    s = src.select(F.col("norm").alias("s_norm"), F.col("region").alias("s_region")).distinct()
+    d = dst.select(F.col("norm").alias("d_norm"), F.col("variants").alias("d_variants"), F.col("region").alias("d_region")).distinct()
+    return pairs.join(s, "s_norm").join(d, ["d_norm", "d_variants"]).where(_near())
+
+
+def _enough(hits: Column, size: Column, least_hits: int) -> Column:
+    """Shared words that a pair needs: one if the source has two or fewer, else `least_hits`."""
+    return hits >= F.when(size <= 2, 1).otherwise(least_hits)
 
 
 def candidates(src: DataFrame, dst: DataFrame, least_hits: int = 2) -> DataFrame:
-    """Pairs of distinct names (src.norm, dst.norm and their regions) that share enough tokens: one if the source has
-    two or fewer, else `least_hits`. Two known regions must be equal."""
-    side = lambda d: d.select("norm", "core", "region", "tokens").where(F.size("tokens") > 0).dropDuplicates(["norm", "region"])
-    s, d = side(src), side(dst)
-    left = s.select(F.col("norm").alias("s_norm"), F.col("region").alias("s_region"), F.size("tokens").alias("s_size"), F.explode("tokens").alias("token"))
-    right = d.select(F.col("norm").alias("d_norm"), F.col("region").alias("d_region"), F.explode("tokens").alias("token"))
-    near = F.col("s_region").isNull() | F.col("d_region").isNull() | (F.col("s_region") == F.col("d_region"))
-    hits = left.join(right, "token").where(near).groupBy("s_norm", "s_region", "d_norm", "d_region", "s_size").agg(F.count("*").alias("hits"))
-    enough = F.when(F.col("s_size") <= 2, 1).otherwise(least_hits)
-    return hits.where(F.col("hits") >= enough).select("s_norm", "s_region", "d_norm", "d_region")
-
-
-def pair_score(s_norm: Column, d_norm: Column, same_region: Column, number_penalty: float = 0.18) -> Column:
-    """0.65 ratio + 0.3 Jaccard of tokens + 0.05 for the region + 0.05 for containment - the penalty for other numbers."""
-    split = lambda x: F.filter(F.split(x, " "), lambda t: t != "")
-    s, d = split(s_norm), split(d_norm)
-    jaccard = F.coalesce(F.try_divide(F.size(F.array_intersect(s, d)), F.size(F.array_union(s, d))), F.lit(0.0))
-    contained = (F.char_length(s_norm) >= 8) & (d_norm.contains(s_norm) | s_norm.contains(d_norm))
-    a, b = trailing_number(s_norm), trailing_number(d_norm)
-    score = F.lit(0.65) * ratio(s_norm, d_norm) + F.lit(0.3) * jaccard
-    score = score + F.when(same_region, 0.05).otherwise(0.0) + F.when(contained, 0.05).otherwise(0.0)
-    score = score - F.when(a.isNotNull() & b.isNotNull() & (a != b), number_penalty).otherwise(0.0)
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), score))
-
-
-def scored(src: DataFrame, dst: DataFrame, number_penalty: float = 0.18) -> DataFrame:
-    pairs = candidates(src, dst)
-    same = F.coalesce(F.col("s_region") == F.col("d_region"), F.lit(False))
-    return pairs.withColumn("score", pair_score(F.col("s_norm"), F.col("d_norm"), same, number_penalty))
+    """Pairs of distinct names (s_norm, d_norm, d_variants and their regions) that share enough words."""
+    left = src.select(F.col("norm").alias("s_norm"), F.size("tokens").alias("size"), F.explode("tokens").alias("word")).distinct()
+    every = F.array_distinct(F.flatten(F.transform("variants", _words)))
+    right = dst.select(F.col("norm").alias("d_norm"), F.col("variants").alias("d_variants"), F.explode(every).alias("word")).distinct()
+    hits = left.join(right, "word").groupBy("s_norm", "d_norm", "d_variants", "size").agg(F.count("*").alias("hits"))
+    return _with_regions(hits.where(_enough(F.col("hits"), F.col("size"), least_hits)).select("s_norm", "d_norm", "d_variants"), src, dst)
+
+
+def overlapping(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """(a, b) of the names of two tables (`name`, distinct, and `words`) whose sets of words have a Jaccard similarity of
+    `least` or more, which must be positive."""
+    counts = left.select(F.explode("words").alias("word")).unionAll(right.select(F.explode("words").alias("word"))).groupBy("word").agg(F.count("*").alias("n"))
+
+    def leading(side: DataFrame, name: str, words: str) -> DataFrame:
+        rows = side.select("name", "words", F.explode("words").alias("word")).join(counts, "word")
+        rows = rows.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("n", "word"))).alias("order"), F.first("words").alias(words))
+        want = F.size(words) - F.ceil(F.size(words) * least - 1e-9) + 1
+        return rows.select(F.col("name").alias(name), words, F.explode(F.slice("order", F.lit(1), want.cast("int")))).select(name, words, F.col("col.word").alias("word"))
+
+    met = leading(left, "a", "x").join(leading(right, "b", "y"), "word")
+    size_x, size_y = F.size("x"), F.size("y")
+    met = met.where(F.least(size_x, size_y) >= F.greatest(size_x, size_y) * least - 1e-9)
+    shared = F.size(F.array_intersect("x", "y"))
+    return met.where(shared >= (size_x + size_y - shared) * least - 1e-9).select("a", "b").distinct()
+
+
+def scored(src: DataFrame, dst: DataFrame, least: float, number_penalty: float = 0.18, least_hits: int = 2) -> DataFrame:
+    """Pairs of names (s_norm, d_norm, d_variants and their regions) with a `score` of `least` or more: 0.65 of the best
+    ratio, 0.3 of the Jaccard similarity with the words of what has it, 0.05 for the region, 0.05 for containment, less the
+    penalty for a number that no variant has. `least` must be above 0.75, below which words need not overlap."""
+    bonus = 0.1
+    least_jaccard, least_ratio = (least - bonus - 0.65) / 0.3 - 1e-9, (least - bonus - 0.3) / 0.65 - 1e-9
+    if least_jaccard <= 0:
+        raise ValueError("a least score of 0.75 or below allows names without a common word")
+    s = src.where(F.size("tokens") > 0).select(F.col("norm").alias("s_norm"), F.col("core").alias("s_core"), F.col("tokens").alias("s_words")).dropDuplicates(["s_norm"])
+    d = dst.select(F.col("norm").alias("d_norm"), F.col("variants").alias("d_variants"), F.col("cores").alias("d_cores")).dropDuplicates(["d_norm", "d_variants"])
+    parts = d.select("*", F.explode("d_variants").alias("b"))
+    sides = s.select(F.col("s_norm").alias("name"), F.col("s_words").alias("words")), parts.select(F.col("b").alias("name"), _words(F.col("b")).alias("words")).dropDuplicates(["name"])
+    pairs = overlapping(*sides, least_jaccard).withColumnRenamed("a", "s_norm").join(parts, "b").drop("b").dropDuplicates(["s_norm", "d_norm", "d_variants"]).join(s, "s_norm")
+    hits = F.size(F.array_intersect("s_words", F.flatten(F.transform("d_variants", _words))))
+    near = lambda name: lambda v: 2 * F.least(F.char_length(name), F.char_length(v)) >= least_ratio * (F.char_length(name) + F.char_length(v))
+    pairs = pairs.where(_enough(hits, F.size("s_words"), least_hits) & (F.exists("d_variants", near("s_norm")) | F.exists("d_cores", near("s_core"))))
+    pairs = pairs.withColumn("best", best_ratio("s_norm", "s_core", "d_variants", "d_cores")).where(F.col("best.ratio") >= least_ratio)
+    words = _words(F.when(F.col("best.place") >= 0, F.get("d_variants", F.col("best.place"))).otherwise(F.col("d_norm")))
+    jaccard = F.coalesce(F.try_divide(F.size(F.array_intersect("s_words", words)), F.size(F.array_union("s_words", words))), F.lit(0.0))
+    contained = (F.char_length("s_norm") >= 8) & F.exists("d_variants", lambda v: v.contains(F.col("s_norm")) | F.col("s_norm").contains(v))
+    number = trailing_number(F.when(F.col("s_core") != "", F.col("s_core")).otherwise(F.col("s_norm")))
+    numbers = F.filter(F.transform(F.concat("d_variants", "d_cores"), trailing_number), lambda n: n.isNotNull())
+    other = number.isNotNull() & (F.size(numbers) > 0) & ~F.array_contains(numbers, F.coalesce(number, F.lit("")))
+    score = F.lit(0.65) * F.col("best.ratio") + F.lit(0.3) * jaccard
+    pairs = pairs.select("s_norm", "d_norm", "d_variants", score.alias("base"), F.when(contained, 0.05).otherwise(0.0).alias("inside"), F.when(other, number_penalty).otherwise(0.0).alias("penalty"))
+    rows = _with_regions(pairs, src, dst)
+    same = F.when(F.coalesce(F.col("s_region") == F.col("d_region"), F.lit(False)), 0.05).otherwise(0.0)
+    score = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("base") + same + F.col("inside") - F.col("penalty")))
+    return rows.withColumn("score", score).where(F.col("score") >= least).drop("base", "inside", "penalty")
 
 
 def review(src: DataFrame, dst: DataFrame, low: float = 0.85, high: float = 0.91, k: int = 5) -> DataFrame:
     """For each source name the k best candidates whose scores lie in [low, high), with their places."""
-    order = Window.partitionBy("s_norm", "s_region").orderBy(F.desc("score"), "d_norm", "d_region")
-    return scored(src, dst).where((F.col("score") >= low) & (F.col("score") < high)).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
+    order = Window.partitionBy("s_norm", "s_region").orderBy(F.desc("score"), "d_norm", "d_region", "d_variants")
+    return scored(src, dst, low).where(F.col("score") < high).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
 
 
-def matched(src: DataFrame, dst: DataFrame, accept: float = 0.91) -> DataFrame:
+def matched(src: DataFrame, dst: DataFrame, accept: float = 0.91, variants: tuple[str, ...] = ()) -> DataFrame:
     """(id, target, kind, score) of the sources that match: by name and region, by normalised name, by core, by score.
 
-    Columns of both: id, name, region. Of several targets of one key the greatest id wins; the source's own region goes
-    before any region.
+    Columns of both: id, name, region; `variants`: columns of `dst` with other names of the same. Of several targets of one
+    key the greatest id wins; the source's own region goes before any region.
     """
-    s, d = named(src), named(dst)
+    s, d = named(src), named(dst, variants=variants)
     out, rest = None, s
 
     def take(kind: str, keys: list[str]) -> None:
@@ -108,50 +177,122 @@ def matched(src: DataFrame, dst: DataFrame, accept: float = 0.91) -> DataFrame:
     for kind in ("norm", "core"):
         take(f"{kind}_region", [kind, "region"])
         take(kind, [kind])
-    best = scored(rest, d).where(F.col("score") >= accept)
-    top = best.groupBy("s_norm", "s_region").agg(F.max_by(F.struct("d_norm", "d_region", "score"), F.struct("score", "d_norm")).alias("b"))
-    ids = d.groupBy("norm", "region").agg(F.max("id").alias("target"))
+    best = scored(rest, d, accept)
+    top = best.groupBy("s_norm", "s_region").agg(F.max_by(F.struct("d_norm", "d_variants", "d_region", "score"), F.struct("score", "d_norm", "d_variants")).alias("b"))
+    ids = d.groupBy("norm", "variants", "region").agg(F.max("id").alias("target"))
     fuzzy = rest.alias("r").join(top.alias("t"), F.col("r.norm").eqNullSafe(F.col("t.s_norm")) & F.col("r.region").eqNullSafe(F.col("t.s_region")))
-    fuzzy = fuzzy.join(ids.alias("i"), (F.col("t.b.d_norm") == F.col("i.norm")) & F.col("t.b.d_region").eqNullSafe(F.col("i.region")))
+    fuzzy = fuzzy.join(ids.alias("i"), (F.col("t.b.d_norm") == F.col("i.norm")) & (F.col("t.b.d_variants") == F.col("i.variants")) & F.col("t.b.d_region").eqNullSafe(F.col("i.region")))
     return out.unionByName(fuzzy.select(F.col("r.id").alias("id"), F.col("i.target").alias("target"), F.lit("fuzzy").alias("kind"), F.col("t.b.score").alias("score")))
 
 
-def places(src: DataFrame, dim: DataFrame, accept: float = 0.8) -> DataFrame:
-    """Best place for each name within its parent: 1.0 for the same name, 0.9 where one contains the other, then the
-    same name under any other parent at 0.7, if that is above `accept`. Columns of both: id, parent, name."""
-    within = src.alias("s").join(dim.alias("d"), F.col("s.parent") == F.col("d.parent"))
-    score = F.when(F.col("s.name") == F.col("d.name"), 1.0).when(F.col("d.name").contains(F.col("s.name")) | F.col("s.name").contains(F.col("d.name")), 0.9)
-    near = within.select(F.col("s.id").alias("id"), F.col("d.id").alias("target"), score.alias("score"))
+def _parts(name: Column) -> Column:
+    """All distinct substrings of a text."""
+    n = F.char_length(name)
+    starts = F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(name, i, k)))
+    return F.when(n > 0, F.array_distinct(F.flatten(starts)))
+
+
+def containing(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(parent, a, b): distinct names of two tables (`parent`, `name`) of one parent of which one contains the other. The
+    substrings of each are joined with the names of the other side, so no names are paired off."""
+    a, b = (d.select("parent", "name").where("name <> ''").distinct() for d in (left, right))
+    inside = lambda d, one, other: d.select("parent", F.col("name").alias(one), F.explode(_parts(F.col("name"))).alias(other))
+    above = inside(a, "a", "b").join(b.select("parent", F.col("name").alias("b")), ["parent", "b"])
+    below = inside(b, "b", "a").join(a.select("parent", F.col("name").alias("a")), ["parent", "a"])
+    return above.select("parent", "a", "b").union(below.select("parent", "a", "b")).distinct()
+
+
+def respelt(name: Column, spellings: dict[str, str]) -> Column:
+    for old, new in spellings.items():
+        name = F.replace(name, F.lit(old), F.lit(new))
+    return name
+
+
+def places(src: DataFrame, dim: DataFrame, accept: float = 0.8, length: int = 3, spellings: dict[str, str] | None = None, within: str | None = None) -> DataFrame:
+    """(id, target, score): the best place for each name. Columns of both: id, parent, name.
+
+    Under the same parent: 1.0 for the same name, 0.95 for the name with `spellings` changed, 0.9 where one contains the
+    other and the source's has more than `length` characters. Under other parents: 0.95 for the same name, 0.9 for the
+    changed one; with `within`, a column of both, only where that is equal. Scores below `accept`, which must be above 0.7,
+    count for nothing; of equal ones the least id wins.
+    """
     if accept <= 0.7:
-        far = src.alias("s").join(dim.alias("d"), F.col("s.name") == F.col("d.name")).where("s.parent <> d.parent")
-        near = near.union(far.select(F.col("s.id"), F.col("d.id"), F.lit(0.7)))
-    best = near.where(F.col("score") >= accept).groupBy("id").agg(F.max_by(F.struct("target", "score"), F.struct("score", -F.col("target"))).alias("b"))
-    return best.select("id", F.col("b.target").alias("target"), F.col("b.score").alias("score"))
+        raise ValueError("containment under other parents is not looked for")
+    keys = ["name", *([within] if within else [])]
+    names = src.select("parent", *keys).distinct()
+    targets = dim.groupBy("parent", *keys).agg(F.min("id").alias("target")).withColumnRenamed("parent", "d_parent")
+    own = F.col("parent").eqNullSafe(F.col("d_parent"))
+    near = names.join(targets, keys).withColumn("score", F.when(own, 1.0).otherwise(0.95))
+    if spellings:
+        changed = names.withColumn("old", F.col("name")).withColumn("name", respelt(F.col("name"), spellings)).where("name <> old")
+        changed = changed.join(targets, keys).withColumn("score", F.when(own, 0.95).otherwise(0.9))
+        near = near.unionByName(changed.withColumn("name", F.col("old")).drop("old"))
+    inside = containing(names.where(F.char_length("name") > length), dim).where("a <> b")
+    inside = inside.join(dim.groupBy("parent", F.col("name").alias("b")).agg(F.min("id").alias("target")), ["parent", "b"])
+    inside = names.join(inside.withColumnRenamed("a", "name"), ["parent", "name"]).withColumn("score", F.lit(0.9))
+    cols = ["parent", *keys, "target", "score"]
+    best = near.select(cols).unionByName(inside.select(cols)).where(F.col("score") >= accept)
+    best = best.groupBy("parent", *keys).agg(F.max_by(F.struct("target", "score"), F.struct("score", -F.col("target"))).alias("b"))
+    rows = src.alias("s").join(best.alias("t"), F.col("s.parent").eqNullSafe(F.col("t.parent")) & F.expr(" AND ".join(f"s.{k} = t.{k}" for k in keys)))
+    return rows.select(F.col("s.id").alias("id"), F.col("t.b.target").alias("target"), F.col("t.b.score").alias("score"))
 
 
 def region_of_address(addresses: DataFrame, aliases: DataFrame) -> DataFrame:
-    """(id, region): the last part of the address that is an alias of a region. Columns: id, address; alias, region."""
-    from terrane.functions.text import project_name as norm
-
-    parts = addresses.select("id", F.posexplode(F.split("address", ",")).alias("at", "part"))
-    parts = parts.withColumn("alias", F.regexp_replace(norm(F.col("part")), r"^(thanh pho|tp|tinh)\b\s*", ""))
-    return parts.join(aliases, "alias").groupBy("id").agg(F.max_by("region", "at").alias("region"))
+    """(id, region): the last part of the address that is an alias of a region, with or without the kind of place before
+    it; else the longest alias that stands anywhere in it. Columns: id, address; alias, region. Aliases are one row each,
+    and as few as regions: the addresses left over meet all of them."""
+    parts = addresses.select("id", F.posexplode(F.split("address", ",")).alias("at", "part")).withColumn("part", project_name(F.col("part"))).where("part NOT IN ('', 'viet nam')")
+    bare = F.trim(F.regexp_replace("part", r"^(thanh pho|tp|tinh)\b\s*", ""))
+    hit = aliases.select("alias", "region")
+    full = parts.join(hit.withColumnsRenamed({"alias": "part", "region": "full"}), "part", "left").withColumn("bare", bare)
+    found = full.join(hit.withColumnsRenamed({"alias": "bare", "region": "cut"}), "bare", "left").withColumn("region", F.coalesce("full", "cut")).where("region IS NOT NULL")
+    last = found.groupBy("id").agg(F.max_by("region", "at").alias("region"))
+    rest = addresses.join(last.select("id"), "id", "left_anti").select("id", project_name(F.col("address")).alias("whole"))
+    # Every run of words of the address that could be an alias, joined by equality.
+    words = F.filter(F.split("whole", " "), lambda w: w != "")
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(RUN_WORDS), F.size(words) - i + 1)), lambda k: F.array_join(F.slice(words, i, k), " "))))
+    loose = rest.where("whole <> ''").select("id", F.explode(F.array_distinct(runs)).alias("alias")).join(hit, "alias")
+    longest = loose.groupBy("id").agg(F.max_by("region", F.struct(F.char_length("alias"), "alias")).alias("region"))
+    return last.unionByName(longest)
+
+
+#: Words of an alias at most.
+RUN_WORDS = 6
 
 
 def proposals(src: DataFrame, dim: DataFrame, least: float = 0.88, length: int = 5) -> DataFrame:
     """For names that are spelt otherwise: of the same parent's names of about the same length the most similar one, if
     its ratio is above `least`. Columns of both: id, parent, name."""
-    pairs = src.alias("s").join(dim.alias("d"), F.col("s.parent") == F.col("d.parent")).where(F.abs(F.char_length("s.name") - F.char_length("d.name")) <= length)
-    scored_pairs = pairs.select(F.col("s.id").alias("id"), F.col("d.id").alias("target"), ratio("s.name", "d.name").alias("score")).where(F.col("score") > least)
-    best = scored_pairs.groupBy("id").agg(F.max_by(F.struct("target", "score"), F.struct("score", -F.col("target"))).alias("b"))
-    return best.select("id", "b.target", "b.score")
+    names, targets = src.select("parent", "name").distinct(), dim.groupBy("parent", "name").agg(F.min("id").alias("target"))
+    pairs = names.alias("s").join(targets.alias("d"), F.col("s.parent") == F.col("d.parent")).where(F.abs(F.char_length("s.name") - F.char_length("d.name")) <= length)
+    # The ratio is at most twice the shared characters by all; as many are shared as the lesser counts add up to.
+    letters = lambda x: F.filter(F.split(x, ""), lambda c: c != "")
+    differ = F.size(F.array_except(letters(F.col("s.name")), letters(F.col("d.name"))))
+    pairs = pairs.where(2 * (F.char_length("s.name") - differ) > least * (F.char_length("s.name") + F.char_length("d.name")))
+    scored_pairs = pairs.select("s.parent", "s.name", "target", ratio("s.name", "d.name").alias("score")).where(F.col("score") > least)
+    best = scored_pairs.groupBy("parent", "name").agg(F.max_by(F.struct("target", "score"), F.struct("score", -F.col("target"))).alias("b"))
+    return src.join(best, ["parent", "name"]).select("id", "b.target", "b.score")
+
+
+def proposals_of_wards(src: DataFrame, dim: DataFrame, least: float = 0.88, district: float = 0.6, length: int = 5) -> DataFrame:
+    """As `proposals` under one province (`parent`), of targets whose district is about the source's: its name's ratio is
+    `district` or more. Columns of both: id, parent, name, district."""
+    both = ["parent", "name", "district"]
+    names, targets = src.select(both).distinct(), dim.groupBy(both).agg(F.min("id").alias("target"))
+    districts = names.select("parent", "district").distinct().join(targets.select("parent", F.col("district").alias("other")).distinct(), "parent")
+    districts = districts.where(ratio("district", "other") >= district)
+    pairs = names.join(districts, ["parent", "district"]).join(targets.withColumnsRenamed({"name": "d_name", "district": "other"}), ["parent", "other"])
+    pairs = pairs.where(F.abs(F.char_length("name") - F.char_length("d_name")) <= length).withColumn("score", ratio("name", "d_name")).where(F.col("score") > least)
+    best = pairs.groupBy(both).agg(F.max_by(F.struct("target", "score"), F.struct("score", -F.col("target"))).alias("b"))
+    return src.join(best, both).select("id", "b.target", "b.score")
 
 
 def contained(src: DataFrame, dim: DataFrame, least: int = 4) -> DataFrame:
     """Pairs under the same parent of which one name, of at least `least` characters, contains the other."""
-    pairs = src.alias("s").join(dim.alias("d"), F.col("s.parent") == F.col("d.parent"))
-    long = (F.char_length("s.name") >= least) & (F.char_length("d.name") >= least)
-    return pairs.where(long & (F.col("s.name").contains(F.col("d.name")) | F.col("d.name").contains(F.col("s.name")))).select(F.col("s.id").alias("id"), F.col("d.id").alias("target"))
+    long = lambda d: d.where(F.char_length("name") >= least)
+    pairs = containing(long(src), long(dim))
+    rows = src.select("parent", F.col("name").alias("a"), "id").join(pairs, ["parent", "a"])
+    return rows.join(dim.select("parent", F.col("name").alias("b"), F.col("id").alias("target")), ["parent", "b"]).select("id", "target")
 
 
 def with_aliases(src: DataFrame, dim: DataFrame, aliases: DataFrame, newer: DataFrame) -> DataFrame:

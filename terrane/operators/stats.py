@@ -19,10 +19,10 @@ def round2(x: Column, digits: int = 2) -> Column:
     return F.floor(x * 10**digits + 0.5) / float(10**digits)
 
 
-def weighted(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+def weighted(df: DataFrame, keys: list[str], value: str, copies: str | None = None) -> DataFrame:
     """Distinct values of each group: `value`, `copies`, `kept` copies after the trim, and the group's `total` of copies
-    and `least` value."""
-    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("copies"))
+    and `least` value. `copies`: a column that says for how many rows a row stands."""
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg((F.sum(copies) if copies else F.count("*")).alias("copies"))
     group = Window.partitionBy(*keys)
     upto = F.sum("copies").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
     rows = counted.withColumns({"upto": upto, "total": F.sum("copies").over(group), "least": F.min(value).over(group)})
@@ -31,11 +31,11 @@ def weighted(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return rows.withColumn("kept", kept).drop("upto")
 
 
-def trimmed_stats(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+def trimmed_stats(df: DataFrame, keys: list[str], value: str, copies: str | None = None) -> DataFrame:
     """avg, median, min, max of the trimmed values, stddev of their population, total_rows, trimmed_rows, and avg_all,
     the mean before the trim. Groups without values are absent."""
     v, kept = F.col(value).cast("double"), F.col("kept")
-    rows = weighted(df, keys, value)
+    rows = weighted(df, keys, value, copies)
     mean = F.sum(v * kept) / F.sum(kept)
     sums = rows.groupBy(*keys).agg(
         mean.alias("avg"),
@@ -92,13 +92,24 @@ def scope_stats(facts: DataFrame, scope: Scope, land: bool = False) -> DataFrame
 
 
 def all_scopes(facts: DataFrame) -> DataFrame:
-    """Every level of prices and land prices."""
-    out = None
+    """Every level of prices and land prices, from one pass over the facts: each row is counted at the finest keys first,
+    and only the counts are dealt to the levels."""
+    keys = ("province", "ward", "street", "project", "grp", "month")
+    prices = F.array(F.struct(F.lit(False).alias("land"), F.col("price").alias("value")), F.struct(F.lit(True).alias("land"), F.col("land_price").alias("value")))
+    fine = facts.select(*keys, "street_source", F.explode(prices).alias("p")).where("p.value > 0")
+    fine = fine.groupBy(*keys, "street_source", F.col("p.land").alias("land"), F.col("p.value").alias("value")).agg(F.count("*").alias("copies"))
+    levels = []
     for land in (False, True):
         for scope in SCOPES:
-            one = scope_stats(facts, scope, land)
-            out = one if out is None else out.unionByName(one)
-    return out
+            used = [k for k in scope.keys if not (land and k == "grp")]
+            where = scope.where.replace(" AND grp IS NOT NULL", "").replace("grp IS NOT NULL AND ", "") if land else scope.where
+            group = F.lit(5) if land else (F.lit(scope.group) if scope.group is not None else F.col("grp"))
+            place = [(F.col(k) if k in used else F.lit(0)).cast("long").alias(k) for k in ("province", "ward", "street", "project")]
+            levels.append(F.when(F.expr(f"land = {land} AND {where}"), F.struct(F.lit(scope.name).alias("scope"), *place, group.cast("int").alias("grp"))))
+    rows = fine.select("month", "land", "value", "copies", F.explode(F.array_compact(F.array(*levels))).alias("l")).select("l.*", "month", "land", "value", "copies")
+    by = ["scope", "province", "ward", "street", "project", "grp", "month", "land"]
+    stats = trimmed_stats(rows, by, "value", "copies")
+    return stats.select(*by[:-1], *[round2(F.col(c)).alias(c) for c in ("avg", "median", "min", "max")], "total_rows", "trimmed_rows")
 
 
 def first_generation(facts: DataFrame, keys: list[str], value: str = "price") -> DataFrame:

@@ -17,15 +17,18 @@ QUERIES: list[Query] = []
 
 def _sides(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Project names as two sources would write them, from the parts."""
-    part = table(spark, d, "part").where("p_partkey % 2 = 0 OR p_size < 25")
+    part = table(spark, d, "part")
     a = part.selectExpr("p_partkey AS id", "initcap(p_name) || ' ' || p_size || CASE WHEN p_partkey % 3 = 0 THEN ' Tower' ELSE '' END AS name", "CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_brand END AS region")
     b = part.selectExpr("p_partkey AS id", "CASE WHEN p_partkey % 4 = 0 THEN 'Khu đô thị ' ELSE '' END || p_name || ' ' || p_size || CASE WHEN p_partkey % 7 = 0 THEN ' towers' ELSE '' END AS name", "p_brand AS region")
     return a, b
 
 
-_SIDES_SQL = """part2 AS (SELECT * FROM part WHERE p_partkey % 2 = 0 OR p_size < 25),
-a AS (SELECT p_partkey AS id, p_name || ' ' || p_size || CASE WHEN p_partkey % 3 = 0 THEN ' tower' ELSE '' END AS norm, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_brand END AS region FROM part2),
-b AS (SELECT p_partkey AS id, p_name || ' ' || p_size || CASE WHEN p_partkey % 7 = 0 THEN ' towers' ELSE '' END AS norm, p_brand AS region FROM part2)"""
+_SIDES_SQL = """a AS (SELECT p_partkey AS id, p_name || ' ' || p_size || CASE WHEN p_partkey % 3 = 0 THEN ' tower' ELSE '' END AS norm, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE p_brand END AS region FROM part),
+b AS (SELECT p_partkey AS id, p_name || ' ' || p_size || CASE WHEN p_partkey % 7 = 0 THEN ' towers' ELSE '' END AS norm, p_brand AS region FROM part)"""
+
+#: Names of places as another source writes them: right, with a kind before it, misspelt, cut short, or unknown.
+_PLACE = """CASE c_custkey % 5 WHEN 0 THEN 'ward nation_' || c_nationkey WHEN 1 THEN 'natiom_' || c_nationkey WHEN 2 THEN 'nation_' || (c_nationkey % 7)
+  WHEN 3 THEN 'nation_' || c_nationkey ELSE 'town_' || c_nationkey END"""
 
 QUERIES += [
     Query(
@@ -51,27 +54,29 @@ QUERIES += [
     Query(
         "places_matched",
         lambda spark, d: resolve.places(
-            table(spark, d, "customer").selectExpr("c_custkey AS id", "c_nationkey % 5 AS parent", "CASE WHEN c_custkey % 3 = 0 THEN 'ward ' ELSE '' END || 'nation_' || c_nationkey AS name"),
-            table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_regionkey AS parent", "lower(n_name) AS name"), 0.7),
-        """WITH s AS (SELECT c_custkey AS id, c_nationkey % 5 AS parent, CASE WHEN c_custkey % 3 = 0 THEN 'ward ' ELSE '' END || 'nation_' || c_nationkey AS name FROM customer),
+            table(spark, d, "customer").selectExpr("c_custkey AS id", "c_nationkey % 5 AS parent", f"{_PLACE} AS name"),
+            table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_regionkey AS parent", "lower(n_name) AS name"), 0.8, 8, {"natiom": "nation"}),
+        f"""WITH s AS (SELECT c_custkey AS id, c_nationkey % 5 AS parent, {_PLACE} AS name FROM customer),
         t AS (SELECT n_nationkey AS id, n_regionkey AS parent, lower(n_name) AS name FROM nation),
-        p AS (SELECT s.id, t.id AS target, CASE WHEN s.parent = t.parent THEN CASE WHEN s.name = t.name THEN 1.0 WHEN contains(t.name, s.name) OR contains(s.name, t.name) THEN 0.9 END WHEN s.name = t.name THEN 0.7 END AS score FROM s JOIN t ON s.parent = t.parent OR s.name = t.name)
-        SELECT id, target, CAST(score AS DOUBLE) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, target) AS rn FROM p WHERE score IS NOT NULL) WHERE rn = 1""",
+        p AS (SELECT s.id, t.id AS target, greatest(CASE WHEN s.name = t.name THEN CASE WHEN s.parent = t.parent THEN 1.0 ELSE 0.95 END
+            WHEN s.parent = t.parent AND (contains(t.name, s.name) OR contains(s.name, t.name)) AND length(s.name) > 8 THEN 0.9 ELSE 0 END,
+            CASE WHEN contains(s.name, 'natiom') AND replace(s.name, 'natiom', 'nation') = t.name THEN CASE WHEN s.parent = t.parent THEN 0.95 ELSE 0.9 END ELSE 0 END) AS score FROM s, t)
+        SELECT id, target, CAST(score AS DOUBLE) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, target) AS rn FROM p WHERE score >= 0.8) WHERE rn = 1""",
     ),
     Query(
         "regions_of_addresses",
         lambda spark, d: resolve.region_of_address(
-            table(spark, d, "supplier").selectExpr("s_suppkey AS id", "'12 Main, Tỉnh Nation ' || s_nationkey || ', TP Nation ' || (s_nationkey + 1) || ', Việt Nam' AS address"),
+            table(spark, d, "supplier").selectExpr("s_suppkey AS id", "CASE s_suppkey % 3 WHEN 0 THEN 'gần Nation ' || s_nationkey || ' và xa, xx' WHEN 1 THEN 'nowhere' ELSE '12 Main, Tỉnh Nation ' || s_nationkey || ', TP Nation ' || (s_nationkey + 1) || ', Việt Nam' END AS address"),
             table(spark, d, "nation").selectExpr("'nation ' || n_nationkey AS alias", "n_regionkey AS region")),
-        """SELECT s_suppkey AS id, coalesce(b.n_regionkey, a.n_regionkey) AS region FROM supplier JOIN nation a ON s_nationkey = a.n_nationkey LEFT JOIN nation b ON s_nationkey + 1 = b.n_nationkey""",
+        """SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN a.n_regionkey ELSE coalesce(b.n_regionkey, a.n_regionkey) END AS region FROM supplier JOIN nation a ON s_nationkey = a.n_nationkey LEFT JOIN nation b ON s_nationkey + 1 = b.n_nationkey WHERE s_suppkey % 3 <> 1""",
     ),
     Query(
         "places_proposed",
         lambda spark, d: resolve.proposals(
             table(spark, d, "customer").selectExpr("c_custkey AS id", "c_nationkey % 5 AS parent", "'natiom_' || c_nationkey AS name"),
-            table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_regionkey AS parent", "lower(n_name) AS name"), 0.8).select("id", "target"),
+            table(spark, d, "nation").selectExpr("n_nationkey AS id", "n_regionkey AS parent", "lower(n_name) AS name"), 0.8).select("id", "target", stats.round2(F.col("score"), 4).alias("score")),
         """WITH p AS (SELECT c_custkey AS id, n_nationkey AS target, CASE WHEN c_nationkey = n_nationkey THEN 2.0 ELSE 0 END AS same, c_nationkey, n_nationkey FROM customer JOIN nation ON c_nationkey % 5 = n_regionkey)
-        SELECT id, target FROM p WHERE same = 2.0""",
+        SELECT id, target, floor(2.0 * (length('nation_' || n_nationkey) - 1) / (2 * length('nation_' || n_nationkey)) * 10000 + 0.5) / 10000.0 AS score FROM p WHERE same = 2.0""",
     ),
     Query(
         "places_contained",

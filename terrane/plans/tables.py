@@ -154,15 +154,15 @@ def _(spark, d):
     return s.join(c, "k").select("s_suppkey", "c_custkey")
 
 
-@_add("semi_joined", "SELECT count(*) AS n FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+@_add("semi_joined", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
 def _(spark, d):
     returned = table(spark, d, "lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
-    return table(spark, d, "orders").join(returned, "o_orderkey", "left_semi").agg(F.count("*").alias("n"))
+    return table(spark, d, "orders").join(returned, "o_orderkey", "left_semi").select("o_orderkey", "o_totalprice")
 
 
-@_add("anti_joined", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@_add("anti_joined", "SELECT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')")
 def _(spark, d):
-    return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    return table(spark, d, "customer").join(table(spark, d, "orders").where("o_orderpriority = '1-URGENT'"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 @_add("greatest_of_group_joined", "SELECT o_custkey, max(o_orderkey) AS last_order, arg_max(o_totalprice, o_orderkey) AS price FROM orders GROUP BY 1")
@@ -261,9 +261,9 @@ def _(spark, d):
     return table(spark, d, "nation").select("n_nationkey", "n_name", F.row_number().over(Window.orderBy(*order)).alias("place"))  # one row a nation
 
 
-@_add("sampled_rows", None)
+@_add("sampled_rows", "SELECT o_orderkey, o_custkey FROM orders ORDER BY md5('5:' || o_orderkey) LIMIT 20")
 def _(spark, d):
-    return table(spark, d, "orders").orderBy(F.xxhash64("o_orderkey", F.lit(5))).limit(20)
+    return table(spark, d, "orders").select("o_orderkey", "o_custkey").orderBy(F.md5(F.concat(F.lit("5:"), F.col("o_orderkey")))).limit(20)
 
 
 # Upserts, duplicates, queues
@@ -274,10 +274,10 @@ def _(spark, d):
     return state.first_rows(_events(spark, d).select("event_id", "user_id", "event_type"), _EVENT_KEYS, [F.col("event_id")])
 
 
-@_add("insert_ignored", f"WITH {_OLD_SQL} SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM new) WHERE rn = 1 AND user_id NOT IN (SELECT user_id FROM old WHERE event_type = 'purchase')")
+@_add("insert_ignored", f"WITH {_OLD_SQL} SELECT event_id, user_id FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM new) WHERE rn = 1 AND user_id NOT IN (SELECT user_id FROM old WHERE event_type = 'purchase' AND value > 50)")
 def _(spark, d):
     old, new = _halves(spark, d)
-    return state.insert_ignore(old.where("event_type = 'purchase'"), new, ["user_id"], [F.col("event_id")]).select("event_id", "user_id")
+    return state.insert_ignore(old.where("event_type = 'purchase' AND value > 50"), new, ["user_id"], [F.col("event_id")]).select("event_id", "user_id")
 
 
 @_add("upserted_last_wins", f"WITH {_OLD_SQL} SELECT event_id, user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1")
@@ -327,10 +327,10 @@ def _(spark, d):
     return state.ready_parents(table(spark, d, "orders").select("o_orderkey"), lines, "o_orderkey", F.col("l_linestatus") == "F")
 
 
-@_add("pairs_unique_on_both_sides", "SELECT p_partkey, s_suppkey FROM (SELECT p_partkey, CAST(p_size AS BIGINT) AS k, count(*) OVER (PARTITION BY p_size) AS n FROM part WHERE p_partkey < 60) a JOIN (SELECT s_suppkey, s_suppkey % 50 AS k, count(*) OVER (PARTITION BY s_suppkey % 50) AS n FROM supplier) b USING (k) WHERE a.n = 1 AND b.n = 1")
+@_add("pairs_unique_on_both_sides", "SELECT p_partkey, s_suppkey FROM (SELECT p_partkey, p_partkey - p_partkey % 5 % 2 AS k, count(*) OVER (PARTITION BY p_partkey - p_partkey % 5 % 2) AS n FROM part) a JOIN (SELECT s_suppkey, s_suppkey - s_suppkey % 3 % 2 AS k, count(*) OVER (PARTITION BY s_suppkey - s_suppkey % 3 % 2) AS n FROM supplier) b USING (k) WHERE a.n = 1 AND b.n = 1")
 def _(spark, d):
-    p = table(spark, d, "part").where("p_partkey < 60").select("p_partkey", F.col("p_size").cast("long").alias("k"))
-    s = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") % 50).alias("k"))
+    p = table(spark, d, "part").select("p_partkey", F.expr("p_partkey - p_partkey % 5 % 2 AS k"))
+    s = table(spark, d, "supplier").select("s_suppkey", F.expr("s_suppkey - s_suppkey % 3 % 2 AS k"))
     return state.unique_pairs(p, s, "k").select("p_partkey", "s_suppkey")
 
 
@@ -354,9 +354,9 @@ def _(spark, d):
     return reports.zero_filled(table(spark, d, "nation").select("n_nationkey", "n_name"), counts, "n_nationkey", ["suppliers"])
 
 
-@_add("report_in_given_order", "SELECT place, id, coalesce(name, 'N/A') AS name, coalesce(n, 0) AS n FROM (SELECT CAST(s_suppkey AS INTEGER) AS place, (s_suppkey * 7) % 40 AS id FROM supplier WHERE s_suppkey < 40) l LEFT JOIN (SELECT c_nationkey, min(n_name) AS name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1) r ON l.id = r.c_nationkey")
+@_add("report_in_given_order", "SELECT place, id, coalesce(name, 'N/A') AS name, coalesce(n, 0) AS n FROM (SELECT CAST(s_suppkey AS INTEGER) AS place, (s_suppkey * 7) % 40 AS id FROM supplier) l LEFT JOIN (SELECT c_nationkey, min(n_name) AS name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1) r ON l.id = r.c_nationkey")
 def _(spark, d):
-    listed = table(spark, d, "supplier").where("s_suppkey < 40").selectExpr("CAST(s_suppkey AS INT) AS place", "(s_suppkey * 7) % 40 AS id")
+    listed = table(spark, d, "supplier").selectExpr("CAST(s_suppkey AS INT) AS place", "(s_suppkey * 7) % 40 AS id")
     counts = table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     counts = counts.groupBy(F.col("c_nationkey").cast("long").alias("id")).agg(F.min("n_name").alias("name"), F.count("*").alias("n"))
     return reports.in_order(listed, counts, "id", "place", {"name": "N/A", "n": 0})

@@ -116,7 +116,7 @@ for _name, _sql in _AREA_SQL.items():
 
 
 def _categories(g: rules.Groups) -> list[str]:
-    return [*g.houses, *g.flats, *g.land, "khác"]
+    return [*g.houses, *g.flats, *g.land, *(g.others or ()), "khác"]
 
 
 def _pick(values: list[str], index: str) -> str:
@@ -127,10 +127,53 @@ def _in(values) -> str:
     return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
+_SIDES_FORMS = ["%s m2 (4x%s)", "%s m2", "90 (%s,5x%s)", "(%s.25 X 18)", "(x3)", "%s (4x%s)x", ""]
+_PHRASES = lambda c, phrases, default: "CASE " + " ".join("WHEN " + " OR ".join(f"contains({c}, '{n.lower()}')" for n in names) + f" THEN {v}" for names, v in phrases) + f" ELSE {default} END"
+_KINDS = [*rules.SALE_NAMES, "Phòng trọ, nhà trọ", "Văn phòng", "Nhà xưởng, kho bãi", "Đất lâm nghiệp", "Nhà hàng", "khác"]
+_PAPERS = ["Sổ hồng", "đã có sổ", "HĐMB", "Đang chờ sổ", "giấy tờ hợp lệ", "không"]
+_TRADES = ["mua", "bán", "thuê", "khác"]
+
+QUERIES += [
+    Query(
+        "area_sides",
+        lambda spark, d: _texts(spark, d, _SIDES_FORMS).select("x", parse.area_sides(F.col("x")).alias("s")).select("x", F.col("s.width").cast("double").alias("width"), F.col("s.length").cast("double").alias("length")).groupBy("x", "width", "length").agg(F.count("*").alias("n")),
+        "SELECT x, CAST(replace(nullif(regexp_extract(x, '\\(\\s*([0-9]+(?:[.,][0-9]+)?)\\s*[xX]\\s*([0-9]+(?:[.,][0-9]+)?)\\s*\\)', 1), ''), ',', '.') AS DOUBLE) AS width, CAST(replace(nullif(regexp_extract(x, '\\(\\s*([0-9]+(?:[.,][0-9]+)?)\\s*[xX]\\s*([0-9]+(?:[.,][0-9]+)?)\\s*\\)', 2), ''), ',', '.') AS DOUBLE) AS length, count(*) AS n "
+        f"FROM ({_texts_sql(_SIDES_FORMS)}) GROUP BY ALL",
+    ),
+    Query(
+        "price_residue",
+        lambda spark, d: _texts(spark, d, _PRICE_FORMS).select("x", parse.price_residue(F.col("x"), F.lit(7).cast("decimal(28,2)")).cast("double").alias("price")).groupBy("x", "price").agg(F.count("*").alias("n")),
+        f"""SELECT x, CAST(CASE WHEN x LIKE '%tỷ%' THEN {_num('x', '[0-9]+([.,][0-9]+)?', 'DECIMAL(15,2)')} * 1000000000
+          + CASE WHEN x LIKE '%triệu%' THEN coalesce({_num("list_last(string_split(x, 'tỷ'))", '[0-9]+([.,][0-9]+)?', 'DECIMAL(15,2)')}, 0) * 1000000 ELSE 0 END
+          WHEN x LIKE '%triệu%' THEN {_num('x', '[0-9]+([.,][0-9]+)?', 'DECIMAL(15,2)')} * 1000000 + CASE WHEN x LIKE '%nghìn%' OR x LIKE '%ngàn%' THEN coalesce({_num("list_last(string_split(x, 'triệu'))", '[0-9]+([.,][0-9]+)?', 'DECIMAL(15,2)')}, 0) * 1000 ELSE 0 END
+          ELSE 7 END AS DOUBLE) AS price, count(*) AS n FROM ({_texts_sql(_PRICE_FORMS)}) GROUP BY ALL""",
+    ),
+    Query(
+        "price_m2_if_plausible",
+        lambda spark, d: _texts(spark, d, _AREA_FORMS).select("x", F.floor("l_extendedprice").cast("long").alias("p"), F.when(F.col("l_returnflag") == "A", "md").otherwise("m2").alias("u"))
+        .groupBy("x", "u", rules.price_m2_if_plausible(F.col("p"), F.col("x"), F.col("u"), 20_000, 900).alias("v")).agg(F.count("*").alias("n")),
+        f"""SELECT x, u, CASE WHEN u = 'm2' AND p >= 20000 AND a > 0 AND p / a >= 900 THEN CAST(trunc(p / a) AS BIGINT) ELSE p END AS v, count(*) AS n FROM (
+          SELECT x, CASE WHEN l_returnflag = 'A' THEN 'md' ELSE 'm2' END AS u, CAST(floor(l_extendedprice) AS BIGINT) AS p, CASE WHEN regexp_full_match(x, '[0-9]+([.,][0-9]+)?') THEN CAST(replace(x, ',', '.') AS DOUBLE) END AS a
+          FROM ({_texts_sql(_AREA_FORMS)})) GROUP BY ALL""",
+    ),
+    Query(
+        "property_columns",
+        lambda spark, d: table(spark, d, "lineitem").select(F.expr(_pick(_KINDS, "l_partkey")).alias("c"), F.expr(_pick(_TRADES, "l_orderkey")).alias("t"), F.expr(_pick(_PAPERS, "l_suppkey")).alias("p"))
+        .withColumns(rules.property_columns(F.col("c"), F.col("t"), F.col("p"))).groupBy("c", "t", "p", "property_type", "type_id", "cat_id", "stratum_id").agg(F.count("*").alias("n")),
+        f"""SELECT c, t, p, CASE WHEN t IN ('mua', 'bán') THEN CASE c {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.SALE_NAMES.items())} ELSE c END WHEN t = 'thuê' THEN CASE c {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in rules.RENT_NAMES.items())} ELSE c END ELSE c END AS property_type,
+        CASE WHEN t = 'thuê' THEN {_PHRASES('lower(c)', rules.RENT_TYPES, 2)} ELSE {_PHRASES('lower(c)', rules.SALE_TYPES, 2)} END AS type_id,
+        CASE WHEN t = 'thuê' THEN 3 WHEN regexp_matches(lower(c), 'đất thổ cư|đất nền|nông nghiệp|lâm nghiệp') THEN 2 ELSE 1 END AS cat_id,
+        {_PHRASES('lower(p)', rules.PAPERS, 'NULL')} AS stratum_id, count(*) AS n
+        FROM (SELECT {_pick(_KINDS, 'l_partkey')} AS c, {_pick(_TRADES, 'l_orderkey')} AS t, {_pick(_PAPERS, 'l_suppkey')} AS p FROM lineitem) GROUP BY ALL""",
+    ),
+]
+
 _TRADE = "CASE l_returnflag WHEN 'A' THEN 's' WHEN 'R' THEN 'u' ELSE 'x' END"
 for _name, _g in rules.GROUPS.items():
     _c = "trim(regexp_replace(lower(replace(replace(strip_accents(c), 'đ', 'd'), 'Đ', 'D')), '[^a-z0-9]+', ' ', 'g'))" if _g.fold else "c"
     _groups = f"CASE WHEN {_c} IN {_in(_g.houses)} THEN 1 WHEN {_c} IN {_in(_g.flats)} THEN 2 WHEN {_c} IN {_in(_g.land)} THEN 3 END"
+    if _g.others is not None:
+        _groups = _groups.replace(" END", f" WHEN {_c} NOT IN {_in(_g.others)} THEN 4 END")
     _groups = _groups if _g.any_trade else f"CASE WHEN t = 's' THEN {_groups} END"
     QUERIES.append(Query(
         f"group_{_name}",
@@ -180,9 +223,9 @@ QUERIES += [
     ),
     Query(
         "fold_accents",
-        lambda spark, d: table(spark, d, "documents").select("doc_id", F.md5(text.words_only(F.col("text"))).alias("folded"), F.md5(text.slug(F.substring("text", 1, 80))).alias("slug")),
+        lambda spark, d: table(spark, d, "documents").select("doc_id", F.md5(text.words_only(F.col("text"))).alias("folded"), F.md5(text.slug(F.col("text"))).alias("slug")),
         r"""SELECT doc_id, md5(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', ' ', 'g'))) AS folded,
-        md5(trim(regexp_replace(lower(strip_accents(substr(text, 1, 80))), '[^a-z0-9]+', '-', 'g'), '-')) AS slug FROM documents""",
+        md5(trim(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '-', 'g'), '-')) AS slug FROM documents""",
     ),
     Query(
         "project_names",
