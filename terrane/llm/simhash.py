@@ -341,7 +341,7 @@ def deduplicated(df: DataFrame, size: int = 5, least: float = 0.8, text: str = "
 #: Texts of one key all of whose pairs are compared at once.
 FEW = 64
 #: Rounds in which the texts of a larger group are compared with `PIVOTS` of them, before all pairs that are still apart.
-ROUNDS, PIVOTS = 1, 3
+ROUNDS, PIVOTS = 1, 24
 #: One text in `PART` tells which shingles are common: those in `COMMON` of these texts, `MOST_COMMON` shingles at most.
 PART, COMMON, MOST_COMMON = 32, 3, 1 << 18
 #: Classes of shingles in the least sketch, which stands for any set in large groups; a power of two.
