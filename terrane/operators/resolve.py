@@ -24,7 +24,7 @@ def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)], dtype="float64")
 
 
-@F.pandas_udf("ratio double, place int")
+@F.pandas_udf(T.StructType([T.StructField("ratio", T.DoubleType()), T.StructField("place", T.IntegerType())]))
 def best_ratio(name: pd.Series, core: pd.Series, variants: pd.Series, cores: pd.Series) -> pd.DataFrame:
     """The best ratio of a name to the variants and of its core to theirs, and the place of the variant that has it
     (-1: a core, or none). The first of several wins."""

@@ -83,9 +83,10 @@ def test_matching_cascade(spark):
 
 
 def test_other_numbers_cost(spark):
-    df = spark.createDataFrame([("sao mai 1", "sao mai 2"), ("sao mai 1", "sao mai 1")], "a string, b string")
-    low, high = [r[0] for r in df.select(resolve.pair_score(F.col("a"), F.col("b"), F.lit(False))).collect()]
-    assert low < 0.8 and high == pytest.approx(1.0)
+    name = "khu nha o sao mai xanh gan song hong "
+    side = lambda *rows: resolve.named(spark.createDataFrame([(i, name + n, None) for i, n in enumerate(rows)], "id long, name string, region string"))
+    score = lambda penalty: {r["d_norm"][-1]: r["score"] for r in resolve.scored(side("1"), side("1", "2"), 0.76, penalty).collect()}
+    assert score(0.0)["1"] == 1.0 and abs(score(0.0)["2"] - score(0.1)["2"] - 0.1) < 1e-9 and set(score(0.18)) == {"1"}
 
 
 def test_extraction(spark):
