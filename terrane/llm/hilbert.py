@@ -131,7 +131,7 @@ def nearest(df: DataFrame, queries, k: int = 5, vec_id: str = "vec_id", vector:
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "keys"])
 
     rows = rows.where(F.size("v") == width)
-    # Of equal vectors the least k + 1 ids; Spark applies such a limit before the shuffle too.
+    # Of equal vectors the least k + 1 ids, and those that are asked for.
     copies = F.row_number().over(Window.partitionBy("v").orderBy("id"))
     rows = saved(rows.withColumn("copy", copies).where((F.col("copy") <= k + 1) | F.col("asked")).mapInArrow(keyed, "id long, v array<double>, asked boolean, copy int, keys array<long>"), "keyed")
     counts = rows.agg(F.count(F.when(F.col("copy") <= k + 1, 1)).alias("n"), F.count(F.when(F.col("asked"), 1)).alias("q")).first()

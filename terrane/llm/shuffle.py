@@ -8,8 +8,9 @@ row g goes to shard g mod n, so that the shards' row counts are at most one apar
 A bucket is never larger than some rows beyond its share: equal rows, which any hash keeps together, are numbered
 within their input partitions and dealt over several buckets when there are many of them.
 
-Results: null texts and ids take part as such; an empty table gives an empty one. Rows that are equal in all columns
-may change places with each other, nothing else can.
+Results: null texts and ids take part as such; an empty table gives an empty one. Rows that are equal in id, text and all
+columns of whole numbers, strings, doubles and booleans may change places with each other. Rows of equal id and text that
+hold over half a bucket are numbered as they are read, so their buckets depend on the input's partitions; nothing else does.
 """
 
 from __future__ import annotations
