@@ -29,10 +29,13 @@ BLOCK = 576
 RATE = 8000
 #: Frames of one PCM block.
 BLOCK_FRAMES = 64
+#: Seek points of a table at most: its size has 24 bits, a point 18 bytes.
+MOST_POINTS = ((1 << 24) - 1) // 18
 #: Bytes of samples or streams that are worked on together.
 BATCH_BYTES = 2 << 20
 #: Fixed values of the format: the fixed predictors, and block sizes by code.
 FIXED = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
+SEEK_POINT = [("s", ">u8"), ("o", ">u8"), ("n", ">u2")]
 SIZES = np.array([0, 192, 576, 1152, 2304, 4608, 0, 0, 256, 512, 1024, 2048, 4096, 8192, 16384, 32768])
 
 
@@ -91,7 +94,7 @@ def _residuals(x: np.ndarray, coefs: tuple[int, ...], shift: int = 0) -> np.ndar
 
 def encode_many(payloads: list[bytes], linear: tuple[tuple[int, ...], int] | None = None, seek_every: int = 1) -> list[bytes]:
     """A FLAC stream of each payload. `linear` (coefficients, shift): that predictor for all whole frames instead of
-    the fixed ones; `seek_every`: frames for each seek point (0: no seek table)."""
+    the fixed ones; `seek_every`: frames for each seek point (0: no seek table), more where the table could not hold all."""
     whole = [len(p) // BLOCK for p in payloads]
     x = np.frombuffer(b"".join(p[: n * BLOCK] for p, n in zip(payloads, whole)), dtype=np.uint8).reshape(-1, BLOCK).astype(np.int32) - 128
     numbers = [i for n in whole for i in range(n)]
@@ -110,9 +113,10 @@ def encode_many(payloads: list[bytes], linear: tuple[tuple[int, ...], int] | Non
         info += (RATE << 44 | 7 << 36 | len(p)).to_bytes(8, "big") + md5
         points = b""
         if own and seek_every:
-            offsets = np.cumsum([0, *sizes[:-1]])[::seek_every]
-            table = np.zeros(len(offsets), dtype=[("s", ">u8"), ("o", ">u8"), ("n", ">u2")])
-            table["s"], table["o"], table["n"] = np.arange(0, len(own), seek_every) * BLOCK, offsets, counts[::seek_every]
+            every = max(seek_every, -(-len(own) // MOST_POINTS))
+            offsets = np.cumsum([0, *sizes[:-1]])[::every]
+            table = np.zeros(len(offsets), dtype=SEEK_POINT)
+            table["s"], table["o"], table["n"] = np.arange(0, len(own), every) * BLOCK, offsets, counts[::every]
             points = table.tobytes()
             points = b"\x83" + len(points).to_bytes(3, "big") + points
         out.append(b"fLaC" + (b"\x00" if points else b"\x80") + len(info).to_bytes(3, "big") + info + points + b"".join(own))
@@ -347,27 +351,51 @@ def _predicted(bits: _Bits, p: np.ndarray, n: int, order: int, linear: bool, dep
     return x.T, p
 
 
+def _metadata(s: bytes) -> tuple[dict, np.ndarray, int]:
+    """What STREAMINFO says, the seek points (without placeholders), and where the frames begin."""
+    _need(s[:4] == b"fLaC", "not a FLAC stream")
+    at, last, info, points = 4, False, b"", np.zeros(0, dtype=SEEK_POINT)
+    while not last:
+        _need(len(s) >= at + 4, "a stream ends in its metadata")
+        last, kind, n = s[at] >> 7, s[at] & 127, int.from_bytes(s[at + 1 : at + 4], "big")
+        body, at = s[at + 4 : at + 4 + n], at + 4 + n
+        if kind == 0:
+            info = body
+        elif kind == 3:
+            points = np.frombuffer(body, dtype=SEEK_POINT)
+            points = points[points["s"] != np.uint64(2**64 - 1)]
+    _need(len(info) == 34, "a stream lacks its STREAMINFO")
+    word = int.from_bytes(info[10:18], "big")
+    _need((word >> 41 & 7) == 0, "more than one channel")
+    return {"depth": (word >> 36 & 31) + 1, "total": word & (1 << 36) - 1, "md5": info[18:34], "frames": {}}, points, at
+
+
+def samples_from(stream: bytes, first: int, count: int) -> np.ndarray:
+    """Samples `first` to `first + count` (fewer at the stream's end), read from the last seek point before them: no
+    frame before that point is decoded."""
+    info, points, begin = _metadata(stream)
+    stop = min(first + count, info["total"])
+    if first >= stop:
+        return np.zeros(0, dtype=np.int64)
+    before = points[points["s"] <= np.uint64(first)]
+    start, at = (int(before["s"][-1]), begin + int(before["o"][-1])) if len(before) else (0, begin)
+    data, parts, end = np.frombuffer(stream, dtype=np.uint8), [], start
+    while end < stop:
+        _need(at < len(stream), "a stream ends before its last sample")
+        ends, samples, _ = decode_frames(data, np.array([at]), info["depth"])
+        parts.append(samples[0])
+        at, end = int(ends[0]), end + len(samples[0])
+    return np.concatenate(parts)[first - start : stop - start]
+
+
 def decode_many(streams: list[bytes]) -> list[tuple[np.ndarray, int]]:
     """Samples and bits a sample of each stream."""
     infos, starts, owner, base = [], [], [], 0
     for i, s in enumerate(streams):
-        _need(s[:4] == b"fLaC", "not a FLAC stream")
-        at, last, info, points = 4, False, b"", np.zeros(0, dtype=np.int64)
-        while not last:
-            _need(len(s) >= at + 4, "a stream ends in its metadata")
-            last, kind, n = s[at] >> 7, s[at] & 127, int.from_bytes(s[at + 1 : at + 4], "big")
-            body, at = s[at + 4 : at + 4 + n], at + 4 + n
-            if kind == 0:
-                info = body
-            elif kind == 3:
-                table = np.frombuffer(body, dtype=[("s", ">u8"), ("o", ">u8"), ("n", ">u2")])
-                points = table["o"][table["s"] != np.uint64(2**64 - 1)].astype(np.int64)
-        _need(len(info) == 34, "a stream lacks its STREAMINFO")
-        word = int.from_bytes(info[10:18], "big")
-        _need((word >> 41 & 7) == 0, "more than one channel")
-        infos.append({"depth": (word >> 36 & 31) + 1, "total": word & (1 << 36) - 1, "md5": info[18:34], "frames": {}})
+        info, points, at = _metadata(s)
+        infos.append(info)
         if len(s) > at:
-            known = np.unique(np.concatenate(([0], points))) + base + at
+            known = np.unique(np.concatenate(([0], points["o"].astype(np.int64)))) + base + at
             starts += known.tolist()
             owner += [i] * len(known)
         base += len(s)

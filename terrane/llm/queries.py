@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrane.llm import bpe, flac, hilbert, langid, mixing, pii, secrets, shuffle, simhash, tokenfile
+from terrane.llm.storage import saved
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,8 +90,8 @@ def op9_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("payload"))
     docs = docs.withColumn("n_bytes", F.octet_length("payload").cast("long"))
     padded = f"rpad(payload, CAST(greatest({flac.BLOCK}, ceil(n_bytes / {flac.BLOCK}) * {flac.BLOCK}) AS INT), X'FF')"
-    stored = flac.encoded(docs.withColumn("payload", F.expr(padded)), "payload").drop("payload")
-    back = flac.decoded(stored).withColumn("payload", F.expr("aggregate(blocks, X'', (all, b) -> concat(all, b.pcm))"))
+    stored = saved(flac.encoded(docs.withColumn("payload", F.expr(padded)), "payload").drop("payload"), "flac")
+    back = flac.decoded(stored).withColumn("payload", F.expr("unhex(array_join(transform(blocks, b -> hex(b.pcm)), ''))"))
     return back.select(
         "doc_id",
         "n_bytes",

@@ -119,6 +119,28 @@ def test_flac_round_trip(options):
     assert [(x + 128).astype(np.uint8).tobytes() for x, _ in back] == PAYLOADS
 
 
+@pytest.mark.parametrize("options", [{}, {"seek_every": 0}, {"seek_every": 5}, {"linear": ((40, -20, 10), 5), "seek_every": 3}])
+def test_flac_from_an_offset(options, monkeypatch):
+    for payload, stream in zip(PAYLOADS, flac.encode_many(PAYLOADS, **options)):
+        for first in (0, 1, 575, 576, 577, 1700, len(payload) - 1, len(payload), len(payload) + 5):
+            for count in (0, 1, 600):
+                want = payload[first : first + count] if first >= 0 else b""
+                if first >= 0:
+                    assert (flac.samples_from(stream, first, count) + 128).astype(np.uint8).tobytes() == want
+    # With a point for every frame a read decodes but the frames that it needs.
+    calls, plain = [], flac.decode_frames
+    monkeypatch.setattr(flac, "decode_frames", lambda *a: calls.append(1) or plain(*a))
+    flac.samples_from(flac.encode_many(PAYLOADS)[5], 576 * 100 + 3, 576)
+    assert len(calls) == 2
+
+
+def test_flac_seek_table_has_its_bound(monkeypatch):
+    monkeypatch.setattr(flac, "MOST_POINTS", 7)
+    stream = flac.encode_many([PAYLOADS[5]])[0]
+    assert len(flac._metadata(stream)[1]) <= 7
+    assert (flac.decode_many([stream])[0][0] + 128).astype(np.uint8).tobytes() == PAYLOADS[5]
+
+
 def test_flac_damage():
     stream = flac.encode_many([PAYLOADS[4]])[0]
     rng = random.Random(2)
