@@ -9,7 +9,7 @@ A bucket is never larger than some rows beyond its share: equal rows, which any
 within their input partitions and dealt over several buckets when there are many of them.
 
 Results: null texts and ids take part as such; an empty table gives an empty one. Rows that are equal in id, text and all
-columns of whole numbers, strings, doubles and booleans may change places with each other. Rows of equal id and text that
+columns but those of nested types may change places with each other. Rows of equal id and text that
 hold over half a bucket are numbered as they are read, so their buckets depend on the input's partitions; nothing else does.
 """
 
@@ -24,6 +24,8 @@ from pyspark.sql import types as T
 from terrane.llm.arrow import shielding
 from terrane.llm.storage import saved
 
+#: Types by which rows of one bucket are ordered before they are shuffled.
+SORTED = (T.NumericType, T.StringType, T.BinaryType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 #: Bytes of text that one bucket should hold.
 BUCKET_BYTES = 24 << 20
 
@@ -67,9 +69,10 @@ def shuffled(df: DataFrame, shards: int, seed: int = 17, key: str = "doc_id", te
         table = table.sort_by(keys).take(pa.array(fisher_yates(table.num_rows, [seed, bucket])))
         return table.append_column("__place", pa.array(range(table.num_rows), pa.int64()))
 
-    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.IntegralType, T.StringType, T.DoubleType, T.BooleanType)) and f.name != text]
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, SORTED) and f.name != text]
     schema = T.StructType([*tagged.schema.fields, T.StructField("__place", T.LongType())])
-    kept = saved(tagged.groupBy("__bucket").applyInArrow(shuffle, schema), "shuffled")
+    # As many tasks as buckets, so that what one task reads does not grow with the table.
+    kept = saved(tagged.repartition(buckets, "__bucket").groupBy("__bucket").applyInArrow(shuffle, schema), "shuffled")
     # One row a bucket.
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = kept.groupBy("__bucket").agg(F.count("*").alias("__n")).select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
