@@ -30,8 +30,8 @@ from terrane.llm.storage import saved
 CURVES, DIMS, BITS = 12, 12, 5
 SAMPLE, SAMPLE_QUERIES, AIM = 4096, 256, 0.92
 SHARES = (1 / 256, 1 / 128, 1 / 64, 1 / 32, 1 / 24, 1 / 16, 1 / 12, 1 / 8, 1 / 6, 1 / 4, 1 / 2, 1.0)
-#: Rows of a block, blocks of a curve at most, and queries that one task scores against one block.
-BLOCK_ROWS, MOST_BLOCKS, TASK_QUERIES = 1024, 4096, 8192
+#: Rows of a block, blocks of a curve at most, rows that one task takes of a block, and queries that it scores against it.
+BLOCK_ROWS, MOST_BLOCKS, BLOCK_MOST, TASK_QUERIES = 1024, 4096, 1 << 15, 8192
 
 
 def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
@@ -131,19 +131,24 @@ def nearest(df: DataFrame, queries, k: int = 5, vec_id: str = "vec_id", vector:
             yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=[*batch.schema.names, "keys"])
 
     rows = rows.where(F.size("v") == width)
-    # Of equal vectors the least k + 1 ids, and those that are asked for.
-    copies = F.row_number().over(Window.partitionBy("v").orderBy("id"))
-    rows = saved(rows.withColumn("copy", copies).where((F.col("copy") <= k + 1) | F.col("asked")).mapInArrow(keyed, "id long, v array<double>, asked boolean, copy int, keys array<long>"), "keyed")
-    counts = rows.agg(F.count(F.when(F.col("copy") <= k + 1, 1)).alias("n"), F.count(F.when(F.col("asked"), 1)).alias("q")).first()
+    # Of equal vectors the least k + 1 ids can be found: a plain limit by rank, which Spark applies before the shuffle
+    # too, so that a vector of very many rows meets no window whole. The queries, all of them, stand in rows of their own.
+    copy = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    found = rows.withColumn("copy", copy).where(F.col("copy") <= k + 1).select("id", "v", F.lit(False).alias("asked"))
+    both = found.unionByName(rows.where("asked").select("id", "v", "asked"))
+    rows = saved(both.mapInArrow(keyed, "id long, v array<double>, asked boolean, keys array<long>"), "keyed")
+    counts = rows.agg(F.count(F.when(~F.col("asked"), 1)).alias("n"), F.count(F.when(F.col("asked"), 1)).alias("q")).first()
     blocks = max(1, min(MOST_BLOCKS, -(-counts["n"] // BLOCK_ROWS)))
     reach = math.ceil(share * blocks / 2) if blocks > 1 else 0
     parts = max(1, -(-counts["q"] * min(blocks, 2 * reach + 1) // blocks // TASK_QUERIES))
 
-    curve = rows.select("id", "v", "asked", "copy", F.posexplode("keys").alias("curve", "key"))
+    # Beyond MOST_BLOCKS bounds a block's rows are dealt to pieces of `BLOCK_MOST` rows; its queries visit all of them.
+    pieces = max(1, -(-counts["n"] // blocks // BLOCK_MOST))
+    curve = rows.select("id", "v", "asked", F.posexplode("keys").alias("curve", "key"))
     # One row a curve, with at most MOST_BLOCKS bounds.
     if blocks > 1:
         at = [i / blocks for i in range(1, blocks)]
-        bounds = curve.where(F.col("copy") <= k + 1).groupBy("curve").agg(F.percentile_approx("key", at, 20 * blocks).alias("bounds"))
+        bounds = curve.where("NOT asked").groupBy("curve").agg(F.percentile_approx("key", at, 20 * blocks).alias("bounds"))
     else:
         bounds = curve.select("curve").distinct().withColumn("bounds", F.array().cast("array<long>"))
     curve = curve.join(F.broadcast(saved(bounds, "bounds")), "curve")
@@ -153,9 +158,11 @@ def nearest(df: DataFrame, queries, k: int = 5, vec_id: str = "vec_id", vector:
     curve = curve.withColumns({"low": low, "high": high}).drop("bounds", "key")
     home = (F.col("low") + F.pmod(F.xxhash64("id"), F.col("high") - F.col("low") + 1)).cast("int")
     all_parts = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    held = curve.where(F.col("copy") <= k + 1).select("curve", home.alias("block"), "id", "v", all_parts.alias("part"))
+    piece = F.pmod(F.xxhash64("id", F.lit(2)), F.lit(pieces)).cast("int").alias("piece")
+    held = curve.where("NOT asked").select("curve", home.alias("block"), piece, "id", "v", all_parts.alias("part"))
     visit = F.explode(F.sequence(F.greatest(F.lit(0), F.col("low") - reach), F.least(F.lit(blocks - 1), F.col("high") + reach)))
     asked = curve.where("asked").select("curve", visit.alias("block"), "id", "v", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part"))
+    asked = asked.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(pieces - 1))))
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
@@ -177,7 +184,7 @@ def nearest(df: DataFrame, queries, k: int = 5, vec_id: str = "vec_id", vector:
                     out["score"] += exact[keep].tolist()
         return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
 
-    keys = ("curve", "block", "part")
+    keys = ("curve", "block", "piece", "part")
     held = held.toDF(*held.columns)  # names of its own, as both sides come from one table
     near = asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(score, "query_id long, vec_id long, score double")
     merged = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))

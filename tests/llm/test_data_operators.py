@@ -48,6 +48,16 @@ def test_shuffle_over_many_buckets(spark):
     assert shuffle.shuffled(df.limit(0), 3).count() == 0
 
 
+def test_shuffle_order_ignores_partitions(spark):
+    import datetime
+    import decimal
+
+    rows = [(i % 5, "t", datetime.date(2020, 1, 1 + i), decimal.Decimal(i), float(i), bytearray([i])) for i in range(25)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, d date, n decimal(5,1), f float, b binary")
+    got = [sorted(map(str, shuffle.shuffled(df.repartition(n), 3).collect())) for n in (1, 4)]
+    assert got[0] == got[1]
+
+
 def test_shards_written(spark, tmp_path):
     shuffle.write_shards(spark.createDataFrame([(i, str(i)) for i in range(50)], "doc_id long, text string"), str(tmp_path / "s"), 4)
     back = spark.read.parquet(str(tmp_path / "s"))
@@ -99,6 +109,23 @@ def test_recall_in_many_blocks(spark, monkeypatch):
     assert np.mean([len(got[q] & {a for a, _ in want[q]}) / 5 for q in want]) >= 0.9
 
 
+def test_blocks_in_pieces_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr(hilbert, "BLOCK_ROWS", 64)
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(rng.normal(size=(600, 12)))], "vec_id long, embedding array<double>")
+    plain = sorted(map(tuple, hilbert.nearest(df, F.col("vec_id") % 50 == 0).collect()))
+    monkeypatch.setattr(hilbert, "BLOCK_MOST", 16)
+    assert sorted(map(tuple, hilbert.nearest(df, F.col("vec_id") % 50 == 0).collect())) == plain
+
+
+def test_copies_are_limited_before_the_shuffle(spark):
+    df = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(50)], "id long, v array<double>")
+    from pyspark.sql import Window
+
+    plan = df.withColumn("copy", F.row_number().over(Window.partitionBy("v").orderBy("id"))).where("copy <= 6")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
+
+
 def test_neighbour_edges(spark):
     rows = [(0, [1.0, 0.0]), (50, [1.0, 0.0]), (7, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 0.0]), (5, None), (6, [float("nan"), 1.0]), (8, [None, 1.0]), (9, [1.0]), (None, [1.0, 1.0]), (10, [0.0, 2.0]), (11, [float("inf"), 1.0])]
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, rank string")
