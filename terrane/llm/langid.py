@@ -4,7 +4,9 @@ A word's features are its prefixes and suffixes of one to three letters, its let
 word's edges, and, for words that the training sample has often, the word itself (the lexicon). The field labels every word
 of a text with a language; learned transitions tell how likely the language changes from one word to the next, and the
 forward-backward recursion gives each word's distribution. The text's language is the one with the largest mean.
-All texts of a slice run through the recursion in step.
+All texts of a slice run through the recursion in step. A text of over `LONG` characters runs alone: the forward pass
+keeps its state at every `CHUNK` words, the backward pass takes the chunks from the last to the first, so that besides the
+text only four bytes a word and the scores of its distinct words are held; the probabilities are the same.
 
 Training takes a bounded sample of labelled rows: for each of the `MOST_LABELS` most frequent labels about `DOCS` rows, the
 least by a hash of their id, and of each row `WINDOW` words of its first `CHARS` characters. Sequences are spliced from
@@ -21,7 +23,9 @@ from __future__ import annotations
 import random
 import re
 import uuid
+from array import array
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +42,8 @@ FEATURES, LEXICON = 60_000, 20_000
 ROUNDS, RATE, RIDGE = 60, 0.15, 1e-4
 #: Bytes of text that run through the recursion together.
 SLICE = 2 << 20
+#: A text of more characters runs through the recursion alone, `CHUNK` words at a time.
+LONG, CHUNK = 1 << 20, 1 << 14
 #: Words whose scores a worker keeps.
 KEPT_WORDS = 300_000
 
@@ -129,6 +135,39 @@ def marginals(scores: np.ndarray, moves: np.ndarray, sizes: np.ndarray) -> tuple
     return out, seen * jump, norm + np.add.reduceat(top, np.cumsum(sizes) - sizes)
 
 
+def mean_marginals(which: np.ndarray, table: np.ndarray, moves: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
+    """Mean label probabilities of one sequence, whose word t has the scores `table[which[t]]`, in memory of one chunk."""
+    jump = np.exp(moves)
+
+    def emitted(start: int) -> np.ndarray:
+        scores = table[which[start : start + chunk]]
+        return np.exp(scores - scores.max(axis=1, keepdims=True))
+
+    def forward(emit: np.ndarray, before: np.ndarray | None) -> np.ndarray:
+        alpha = np.empty_like(emit)
+        for t, e in enumerate(emit):
+            own = e if before is None else (before @ jump) * e
+            alpha[t] = before = own / own.sum()
+        return alpha
+
+    starts, entries, state = range(0, len(which), chunk), [], None
+    for start in starts:
+        entries.append(state)
+        state = forward(emitted(start), state)[-1]
+    total, back = np.zeros(len(moves)), np.ones(len(moves))
+    for start, entry in zip(reversed(starts), reversed(entries)):
+        emit = emitted(start)
+        alpha = forward(emit, entry)
+        behind = np.empty_like(emit)
+        for t in range(len(emit) - 1, -1, -1):
+            behind[t] = back
+            back = jump @ (emit[t] * back)
+            back /= back.sum()
+        each = alpha * behind
+        total += (each / each.sum(axis=1, keepdims=True)).sum(axis=0)
+    return total / len(which)
+
+
 def train(rows: list[tuple[str, str]], seed: int = 11) -> Model | None:
     """A model from (text, label) rows, or None if there are none with words."""
     rng = random.Random(seed)
@@ -188,25 +227,43 @@ class Labeller:
     def __init__(self, model: Model):
         self.model = model
         self.known: dict[str, int] = {}
-        self.table = np.zeros((0, len(model.labels)))
+        self.table = np.zeros((1024, len(model.labels)))
+
+    def _learn(self, found: set[str]) -> None:
+        new = list(found.difference(self.known))
+        start = len(self.known)
+        self.known.update(zip(new, range(start, start + len(new))))
+        if len(self.known) > len(self.table):
+            self.table = np.concatenate((self.table[:start], np.zeros((2 * len(self.known) - start, self.table.shape[1]))))
+        self.table[start : len(self.known)] = self.model.scores(new)
+
+    def _share(self, text: str) -> np.ndarray | None:
+        """Mean label probabilities of a long text, whose words are never held all at once."""
+        which = array("i")
+        found = (m[0] for m in _WORD.finditer(text.lower()))
+        while part := list(islice(found, CHUNK)):
+            self._learn(set(part))
+            which.extend(map(self.known.__getitem__, part))
+        return mean_marginals(np.frombuffer(which, dtype=np.int32), self.table, self.model.moves, CHUNK) if which else None
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        found = [words(t) if t and _LETTER.search(t) else [] for t in texts]
         if len(self.known) > KEPT_WORDS:
-            self.known, self.table = {}, self.table[:0]
-        new = list(set().union(*found).difference(self.known))
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.table = np.concatenate((self.table, self.model.scores(new)))
+            self.known, self.table = {}, self.table[:1024]
+        lettered = [bool(t and _LETTER.search(t)) for t in texts]
+        shares = {i: self._share(t) for i, t in enumerate(texts) if lettered[i] and len(t) > LONG}
+        found = [words(t) if lettered[i] and i not in shares else [] for i, t in enumerate(texts)]
+        self._learn(set().union(*found))
         full = [i for i, f in enumerate(found) if f]
-        langs, scores = [UND] * len(texts), [0.0] * len(texts)
         if full:
             get = self.known.__getitem__
             which = np.array([k for i in full for k in map(get, found[i])], dtype=np.int64)
             sizes = np.array([len(found[i]) for i in full])
             each, _, _ = marginals(self.table[which], self.model.moves, sizes)
-            share = np.add.reduceat(each, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]
-            for i, j, s in zip(full, share.argmax(axis=1).tolist(), share.max(axis=1).tolist()):
-                langs[i], scores[i] = self.model.labels[j], min(1.0, max(0.0, s))
+            shares |= dict(zip(full, np.add.reduceat(each, np.cumsum(sizes) - sizes, axis=0) / sizes[:, None]))
+        langs, scores = [UND] * len(texts), [0.0] * len(texts)
+        for i, share in shares.items():
+            if share is not None:
+                langs[i], scores[i] = self.model.labels[int(share.argmax())], min(1.0, max(0.0, float(share.max())))
         return langs, scores
 
 
