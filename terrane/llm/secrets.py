@@ -1,7 +1,7 @@
 r"""Secret scan with a randomness test battery, with DataFrame functions only.
 
 Plain kinds are found by their patterns: `assign`, `access` and `hex`. The battery adds `random`: every run of 20 or
-more characters of [A-Za-z0-9+/_-] gets the encoding that its characters allow (hex, base32, base64, each in the
+more characters of [A-Za-z0-9+/_-] gets the encoding that its characters allow (hex, base32, base36, base64, each in the
 case or dialect that fits; at least one digit and one letter, for base64 in both cases), and three tests of the
 hypothesis that its symbols are drawn at random from that alphabet:
 
@@ -9,11 +9,13 @@ hypothesis that its symbols are drawn at random from that alphabet:
 * Wald-Wolfowitz runs about the middle of the alphabet;
 * lag-one serial correlation of the symbols' places in the alphabet.
 
-Fisher's method combines them. A Benjamini-Hochberg procedure over all runs of the corpus, apart for each band of
-lengths since short runs have little power, rejects the structured ones at a false discovery rate of `FDR`: that
-share at most of the runs so put aside are random. What is not rejected is reported. P-values are counted in steps of
-a tenth of a decade, so the procedure needs one small table of counts and no global sort; a step is rejected only
-as a whole, which errs towards reporting.
+Fisher's method combines them to the p-value of randomness, which is uniform for random runs and near 0 for structured
+ones. What is reported is what exceeds a limit of its own in each band of lengths (short runs have little power), and the
+share of structured runs among the reported, the false findings, is kept at `FDR` or less: runs with a p-value above one fifth count
+as random and tell how many random runs there are (Storey's estimate), so how many of the reported are not random follows
+for every limit, and the least limit that keeps the rate is taken. Runs that the battery cannot tell from random ones
+count as such; one run more than is seen is taken for random, so that a few runs in a small table are reported. P-values
+are counted in steps of a tenth of a decade, so this needs one small table of counts and no global sort.
 
 Results: a null or empty text has no spans. Spans are in code points, ends exclusive, ordered by start, then kind.
 Rows are independent, so repeated rows give equal results; an empty table gives an empty one.
@@ -41,13 +43,18 @@ ENCODINGS = (
     ("hex", r"^(?=.*[0-9])(?=.*[a-f])[0-9a-f]+$", "0123456789abcdef"),
     ("HEX", r"^(?=.*[0-9])(?=.*[A-F])[0-9A-F]+$", "0123456789ABCDEF"),
     ("base32", r"^(?=.*[2-7])(?=.*[A-Z])[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base32 lower", r"^(?=.*[2-7])(?=.*[a-z])[a-z2-7]+=*$", "abcdefghijklmnopqrstuvwxyz234567"),
+    ("BASE36", r"^(?=.*[0-9])(?=.*[A-Z])[0-9A-Z]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("base36", r"^(?=.*[0-9])(?=.*[a-z])[0-9a-z]+$", "0123456789abcdefghijklmnopqrstuvwxyz"),
     ("base64", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9+/]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", r"^(?=.*[0-9])(?=.*[A-Z])(?=.*[a-z])[A-Za-z0-9_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
 #: Lower ends of the bands of length.
 BANDS = (20, 32, 48, 80)
-FDR = 0.01
-STEPS_A_DECADE, MOST_STEPS = 10, 3000
+#: Share of structured runs among the reported ones.
+FDR = 0.05
+#: P-values above one fifth are the first SURE_STEPS steps.
+STEPS_A_DECADE, MOST_STEPS, SURE_STEPS = 10, 3000, 7
 
 
 SPAN = "array<struct<start:int,stop:int,text:string>>"
@@ -122,17 +129,21 @@ def _step(p: str) -> str:
 
 
 def limits(tested: DataFrame, column: str, rate: float = FDR) -> dict[int, int]:
-    """For each band the first step of p-values that Benjamini-Hochberg rejects; at most one entry a band."""
+    """For each band the last step of p-values that is reported at that rate of false findings; at most one entry a band."""
     counts = tested.select(F.explode(column).alias("r")).selectExpr(f"{_band('r.n')} AS band", f"{_step('r.p')} AS step").groupBy("band", "step").count()
     # At most MOST_STEPS rows a band.
-    smaller = Window.partitionBy("band").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
-    rejected = (
-        counts.withColumns({"below": F.sum("count").over(smaller), "all": F.sum("count").over(Window.partitionBy("band"))})
-        .where(F.pow(F.lit(10.0), -F.col("step") / STEPS_A_DECADE) <= rate * F.col("below") / F.col("all"))
+    every = Window.partitionBy("band")
+    larger = every.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    upper = F.sum(F.when(F.col("step") < SURE_STEPS, F.col("count"))).over(every)
+    random = (F.coalesce(upper, F.lit(0)) + 1) / (1 - 10 ** (-SURE_STEPS / STEPS_A_DECADE))
+    above = 1 - F.pow(F.lit(10.0), -(F.col("step") + 1) / STEPS_A_DECADE)
+    kept = (
+        counts.withColumns({"reported": F.sum("count").over(larger), "random": random * above})
+        .where(F.col("reported") - F.col("random") <= rate * F.col("reported"))
         .groupBy("band")
-        .agg(F.min("step").alias("step"))
+        .agg(F.max("step").alias("step"))
     )
-    return {r["band"]: r["step"] for r in rejected.collect()}
+    return {r["band"]: r["step"] for r in kept.collect()}
 
 
 @shielding
@@ -148,9 +159,9 @@ def scanned(df: DataFrame, text: str = "text", rate: float = FDR, keep_text: boo
     found = found.withColumn("__assign", F.filter("__assign", lambda s: F.char_length(F.regexp_extract(s["text"], ASSIGN, 1)) >= 6))
     found = _tested(found, "__random", "__tested")
     found = saved(found if keep_text else found.drop(text), "scanned")
-    first = limits(found, "__tested", rate)
-    reject = "CASE " + " ".join(f"WHEN {_band('r.n')} = {b} THEN {_step('r.p')} >= {s}" for b, s in sorted(first.items())) + " ELSE false END" if first else "false"
-    found = found.withColumn("__random", F.expr(f"filter(__tested, r -> NOT {reject})"))
+    last = limits(found, "__tested", rate)
+    report = "CASE " + " ".join(f"WHEN {_band('r.n')} = {b} THEN {_step('r.p')} <= {s}" for b, s in sorted(last.items())) + " ELSE false END" if last else "false"
+    found = found.withColumn("__random", F.expr(f"filter(__tested, r -> {report})"))
     named = ", ".join(f"transform(__{k}, s -> struct(s.start AS start, {i} AS number, s.stop AS stop, '{k}' AS kind))" for i, k in enumerate(KINDS))
     return found.withColumn("secrets", F.expr(f"array_sort(concat({named}))")).drop("__assign", "__access", "__hex", "__random", "__tested")
 

@@ -2,9 +2,11 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -112,6 +114,59 @@ def test_battery_tells_random_from_structured(spark):
     assert found[0] >= 0.9 * len(drawn) and found[1] == 0 and found[2] == 0
 
 
+def plain_battery(body, letters):
+    """P-value of randomness, by the normal distribution of the mathematics library."""
+    up = lambda z: max(1e-300, math.erfc(z / math.sqrt(2)) / 2)
+    k, n, v = len(letters), len(body), [letters.index(c) for c in body]
+    bins = 16 if n >= 80 else 8 if n >= 40 else 4
+    seen = Counter(x * bins // k for x in v)
+    chi = sum((seen[j] - n / bins) ** 2 / (n / bins) for j in range(bins))
+    d = 2 / (9 * (bins - 1))
+    p = [up(((chi / (bins - 1)) ** (1 / 3) - 1 + d) / math.sqrt(d))]
+    high = [2 * x >= k for x in v]
+    ones, runs = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+    if ones in (0, n):
+        z = math.sqrt(n)
+    else:
+        mean = 2 * ones * (n - ones) / n
+        z = (runs - 1 - mean) / math.sqrt(max(1e-9, mean * (mean - 1) / (n - 1)))
+    serial = sum((a - (k - 1) / 2) * (b - (k - 1) / 2) for a, b in zip(v, v[1:])) / math.sqrt(n - 1) / ((k * k - 1) / 12)
+    p += [max(1e-300, 2 * up(abs(z))), max(1e-300, 2 * up(abs(serial)))]
+    h = -sum(map(math.log, p))
+    return min(1.0, math.exp(-h) * (1 + h + h * h / 2))
+
+
+def test_battery_against_a_plain_one(spark):
+    rng = random.Random(9)
+    by_name = {e: (p, a) for e, p, a in secrets.ENCODINGS}
+    texts = ["".join(rng.choice(a) for _ in range(rng.choice((20, 33, 47, 60, 90, 300)))) for _, a in by_name.values() for _ in range(12)]
+    texts += ["A1a" * 20, "0123456789abcdef" * 4, "Zz9" + "a" * 50, "3" + "ab" * 30, "abc", "plainlettersonlyandnothingelse"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("runs", secrets._found("text", secrets.TOKEN))
+    tested = 0
+    for r in secrets._tested(df, "runs", "out").collect():
+        name = next((e for e, (p, _) in by_name.items() if re.search(p, r["text"])), None) if len(r["text"]) >= 20 else None
+        assert [x["encoding"] for x in r["out"]] == ([name] if name else []), r["text"]
+        if name:
+            tested += 1
+            assert math.isclose(r["out"][0]["p"], plain_battery(r["text"], by_name[name][1]), rel_tol=1e-3, abs_tol=1e-6), r["text"]
+    assert tested > 80
+
+
+def test_false_findings_are_controlled(spark):
+    """Planted random runs among structured ones of half their number to three times it."""
+    rng = random.Random(10)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = ["get", "User", "Name", "from", "Table", "Index", "of", "The", "List", "data", "Base", "2", "Id", "7", "row", "Count"]
+    for many in (200, 1200):
+        drawn = [t for t in ("".join(rng.choice(letters) for _ in range(64)) for _ in range(400)) if re.search("[0-9]", t)]
+        made = ["9Aa" + "".join(rng.choice(words) for _ in range(20)) for _ in range(many)]
+        df = spark.createDataFrame([(t, k) for k, ts in enumerate((drawn, made)) for t in ts], "text string, k int")
+        got = {r["k"]: r["n"] for r in secrets.scanned(df).groupBy("k").agg(F.sum(F.expr("size(filter(secrets, s -> s.kind = 'random'))")).alias("n")).collect()}
+        recall, precision = got[0] / len(drawn), got[0] / (got[0] + got[1])
+        print(f"random runs of 64 among {many} of words: recall {recall:.3f}, precision {precision:.3f}")
+        assert recall >= 0.8 and precision >= 0.9
+
+
 def test_secret_edges(spark):
     df = spark.createDataFrame([(1, "token=abcdefg", "x")] * 2, "doc_id long, text string, secrets string")
     assert secrets.scanned(df).columns == ["doc_id", "text", "secrets"]
@@ -151,6 +206,26 @@ def test_language_query(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+@pytest.mark.parametrize("chunk", [1, 7, 50, 1000])
+def test_long_sequences_in_chunks(chunk):
+    rng = np.random.default_rng(3)
+    table, moves, which = 4 * rng.normal(size=(9, 4)), rng.normal(size=(4, 4)), rng.integers(0, 9, 50)
+    each, _, _ = langid.marginals(table[which], moves, np.array([50]))
+    assert np.allclose(langid.mean_marginals(which, table, moves, chunk), each.mean(axis=0), atol=1e-12)
+
+
+def test_long_texts_are_labelled_as_short_ones(monkeypatch):
+    rng = random.Random(5)
+    rows = [(" ".join(rng.choice(words) for _ in range(40)), k) for k, words in (("x", ["kala", "kalo"]), ("y", ["zorp", "zurp"])) for _ in range(20)]
+    model = langid.train(rows)
+    texts = ["kala zorp new words " * 300, "zurp " * 2000, None, "1 2 " * 900, "kalo"]
+    plain = langid.Labeller(model).predict(texts)
+    monkeypatch.setattr(langid, "LONG", 100)
+    monkeypatch.setattr(langid, "CHUNK", 64)
+    langs, scores = langid.Labeller(model).predict(texts)
+    assert langs == plain[0] and np.allclose(scores, plain[1])
+
+
 def test_code_switching():
     rng = random.Random(1)
     words = {"x": ["kala", "kalo", "kali"], "y": ["zorp", "zurp", "zirp"]}
