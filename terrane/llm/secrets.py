@@ -11,7 +11,7 @@ hypothesis that its symbols are drawn at random from that alphabet:
 
 Fisher's method combines them to the p-value of randomness, which is uniform for random runs and near 0 for structured
 ones. What is reported is what exceeds a limit of its own in each band of lengths (short runs have little power), and the
-share of structured runs among the reported, the false findings, is kept at `FDR` or less: runs with a p-value above one fifth count
+share of structured runs among the reported, the false findings, is estimated and held at `FDR` (above it where short structured runs look random): runs with a p-value above one fifth count
 as random and tell how many random runs there are (Storey's estimate), so how many of the reported are not random follows
 for every limit, and the least limit that keeps the rate is taken. Runs that the battery cannot tell from random ones
 count as such; one run more than is seen is taken for random, so that a few runs in a small table are reported. P-values
