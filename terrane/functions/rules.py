@@ -110,6 +110,17 @@ class LandPrice:
         return F.struct(value.alias("price_land"), F.when(value.isNotNull(), "DONE").otherwise("SKIP").alias("status"))
 
 
+#: 1 east, 2 west, 3 south, 4 north, 5 north-east, 6 south-east, 7 north-west, 8 south-west.
+DIRECTIONS = 8
+
+
+def direction_code(x: Column) -> Column:
+    """The whole part of a number if it is a direction's, else null."""
+    number = F.trim(x).try_cast("double")
+    code = F.when(F.abs(number) < 1000, number.cast("int"))
+    return F.when(code.between(1, DIRECTIONS), code)
+
+
 def _shares(land: tuple[str, ...], houses: tuple[str, ...], share: float = 0.85) -> dict[str, float]:
     return dict.fromkeys(land, 1.0) | dict.fromkeys(houses, share)
 

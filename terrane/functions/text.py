@@ -130,3 +130,14 @@ def without_markup(x: Column) -> Column:
 def filled(x: Column) -> Column:
     """Whether a text is neither null nor blank."""
     return F.coalesce(F.trim(x) != "", F.lit(False))
+
+
+def one_line(x: Column, length: int = 50) -> Column:
+    """The first characters of the text without its line breaks."""
+    return F.left(F.regexp_replace(x, r"[\n\r]", ""), F.lit(length))
+
+
+def coordinates(url: Column) -> Column:
+    """Latitude and longitude of a link to a map, as a text; null without them."""
+    number = lambda i: F.nullif(F.regexp_extract(url, r"(?i)(?:center|q)=(-?\d+\.?\d*),\s*(-?\d+\.?\d*)", i), F.lit("")).try_cast("double")
+    return F.concat(number(1).cast("string"), F.lit(","), number(2).cast("string"))

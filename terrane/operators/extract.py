@@ -155,6 +155,66 @@ def extracted(pages: DataFrame, template: list[Field], html: str = "html") -> Da
     return pages.mapInPandas(run, T.StructType([*kept, *[T.StructField(f.name, T.StringType()) for f in template]]))
 
 
+@dataclass(frozen=True)
+class Cell:
+    """A value of a table row: in its cell, the child of kind `child` at `nth` (from 0) if given, and in that the first
+    element of `selector` if given."""
+
+    name: str
+    at: int
+    child: str = ""
+    nth: int = 0
+    selector: str = ""
+
+
+def _cell_text(page: _Page, inside: dict[int, list[_Element]], cell: _Element, want: Cell) -> str | None:
+    """The text in which `want` is found, without blanks around it; None if it is empty or absent."""
+    at: _Element | None = cell
+    if want.child:
+        same = [e for e in inside.get(id(cell), []) if e.tag == want.child]
+        at = same[want.nth] if want.nth < len(same) else None
+    if at is not None and want.selector:
+        steps, below = _steps(want.selector), []
+        open_ = list(reversed(inside.get(id(at), [])))
+        while open_:
+            below.append(open_.pop())
+            open_ += reversed(inside.get(id(below[-1]), []))
+        at = next((e for e in below if _matches(e, steps)), None)
+    return (" ".join("".join(page.texts[at.text_from : at.text_to]).split()) or None) if at is not None else None
+
+
+def rows_of(html: str | None, rows: list, cells: list[Cell], least: int) -> list[list[str | None]]:
+    page, inside = _Page(html or ""), {}
+    for e in page.elements:
+        inside.setdefault(id(e.parent), []).append(e)
+    out = []
+    for e in page.elements:
+        if _matches(e, rows):
+            own = [c for c in inside.get(id(e), []) if c.tag == "td"]
+            if len(own) >= least:
+                out.append([_cell_text(page, inside, own[c.at], c) for c in cells])
+    return out
+
+
+def table_rows(pages: DataFrame, rows: str, cells: list[Cell], least: int, html: str = "html") -> DataFrame:
+    """One row for each table row of the pages that `rows` selects and that has `least` cells or more: the other columns
+    of the page, `place` among its rows, and a text column for each cell. Null pages and those without a table give none."""
+    kept = [f for f in pages.schema.fields if f.name != html]
+    steps, names = _steps(rows), [c.name for c in cells]
+    if max(c.at for c in cells) >= least:
+        raise ValueError("a cell beyond the least number of cells")
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [rows_of(h, steps, cells, least) for h in batch[html]]
+            repeated = batch[[f.name for f in kept]].loc[batch.index.repeat([len(f) for f in found])].reset_index(drop=True)
+            made = pd.DataFrame([r for f in found for r in f], columns=names, dtype=object)
+            places = pd.Series([i for f in found for i in range(len(f))], name="place", dtype="int32")
+            yield pd.concat([repeated, places, made], axis=1)
+
+    return pages.mapInPandas(run, T.StructType([*kept, T.StructField("place", T.IntegerType()), *[T.StructField(n, T.StringType()) for n in names]]))
+
+
 def by_patterns(text: Column, patterns: dict[str, str]) -> dict[str, Column]:
     """For each label all matches of its pattern's first group (or of all of it), in order."""
     return {label: F.regexp_extract_all(text, F.lit(p), F.lit(1 if re.compile(p).groups else 0)) for label, p in patterns.items()}

@@ -39,6 +39,18 @@ def profile(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), *[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in checks.items()])
 
 
+def matched_counts(left: DataFrame, right: DataFrame, key: str, by: list[str]) -> DataFrame:
+    """By groups of `left`: its `rows` that `right` has the key of, each counted once; the `ids`, each key once; and the
+    `pairs` of an inner join. Rows of `right` are counted before the join, so no pairs are made."""
+    sizes = right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("__n"))
+    return left.join(sizes, key).groupBy(*by).agg(F.count("*").alias("rows"), F.count_distinct(key).alias("ids"), F.sum("__n").alias("pairs"))
+
+
+def joined_collated(left: DataFrame, right: DataFrame, left_text: str, right_text: str, collation: str = "UNICODE_CI_AI") -> DataFrame:
+    """Inner join of texts that are the same in a collation, by default without regard to case and accents."""
+    return left.join(right, F.collate(left_text, collation) == F.collate(right_text, collation))
+
+
 def either_key(left: DataFrame, right: DataFrame, first: Column, second: Column) -> DataFrame:
     """Rows of `left` that match `right` by either condition. Two equi-joins instead of one join by OR, so both hash."""
     return left.join(right, first, "left_semi").union(left.join(right, first, "left_anti").join(right, second, "left_semi"))

@@ -65,6 +65,12 @@ def gate(steps: list[Column]) -> Column:
     return F.coalesce(*failed, F.lit(len(steps)))
 
 
+def signed_gate(steps: list[Column]) -> Column:
+    """As `gate`, but a failure is the negative number of the step that failed, counted from 1."""
+    failed = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(-i)) for i, ok in enumerate(steps, 1)]
+    return F.coalesce(*failed, F.lit(len(steps)))
+
+
 def claimed(queue: DataFrame, limit: int, now: Column, stale_minutes: int = 30) -> DataFrame:
     """What a worker would take next: pending rows and those in progress since over `stale_minutes`, newest id first."""
     stale = (F.col("status") == "IN_PROGRESS") & (F.col("since") < now - F.expr(f"INTERVAL {stale_minutes} MINUTES"))

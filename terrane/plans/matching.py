@@ -48,8 +48,10 @@ QUERIES += [
     Query("names_for_review", lambda spark, d: resolve.review(*[resolve.named(x) for x in _sides(spark, d)]).select("s_norm", "s_region", "d_norm", "d_region", "place", stats.round2(F.col("score"), 4).alias("score"))),
     Query(
         "word_set_ratios",
-        lambda spark, d: table(spark, d, "part").select("p_partkey", F.col("p_name").alias("x"), F.concat(F.col("p_type"), F.lit(" "), F.col("p_name")).alias("y")).select("p_partkey", resolve.token_set_ratio("x", "y").alias("r")),
-        "SELECT p_partkey, CAST(100 AS DOUBLE) AS r FROM part",
+        lambda spark, d: table(spark, d, "part").select("p_partkey", F.col("p_name").alias("x"), F.concat(F.substring_index("p_name", " ", 1), F.lit(" "), F.col("p_partkey")).alias("y")).select("p_partkey", resolve.token_set_ratio("x", "y").alias("r")),
+        # The first word is shared, and the number has no letter of the second one.
+        """WITH n AS (SELECT p_partkey, length(split_part(p_name, ' ', 1)) AS a, length(p_name) AS x, length(split_part(p_name, ' ', 1) || ' ' || p_partkey) AS y FROM part)
+        SELECT p_partkey, CAST(round_even(100 * greatest(2.0 * a / (a + x), 2.0 * a / (a + y), 2.0 * (a + 1) / (x + y)), 0) AS DOUBLE) AS r FROM n""",
     ),
     Query(
         "places_matched",

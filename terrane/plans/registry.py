@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from terrane.plans import cleaning, matching, statistics, tables, texts
+from terrane.plans import backfills, cleaning, matching, statistics, tables, texts
 from terrane.plans.registry_type import Query
 
-_ALL: list[Query] = [*statistics.QUERIES, *texts.QUERIES, *tables.QUERIES, *matching.QUERIES, *cleaning.QUERIES]
+_ALL: list[Query] = [*statistics.QUERIES, *texts.QUERIES, *tables.QUERIES, *matching.QUERIES, *cleaning.QUERIES, *backfills.QUERIES]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -50,6 +50,35 @@ def landed(df: DataFrame, json: str, schema: T.StructType) -> DataFrame:
     return parsed.select(*[c for c in df.columns if c != json], *made)
 
 
+def landed_by_alias(df: DataFrame, json: str, schema: T.StructType) -> DataFrame:
+    """Columns of a JSON object whose keys are those of the schema or the same in camel case; the plain key goes first.
+    Truth values count as 1 and 0, objects and lists stay JSON, times are those of mail headers, without their zone."""
+    parsed = df.withColumn("__v", F.from_json(json, T.MapType(T.StringType(), T.StringType())))
+
+    def value(f: T.StructField) -> Column:
+        first, *rest = f.name.split("_")
+        camel = first + "".join(w.capitalize() for w in rest)
+        # A key with a null is there all the same.
+        raw = F.when(F.map_contains_key("__v", f.name), F.col("__v")[f.name]).otherwise(F.col("__v")[camel])
+        if isinstance(f.dataType, T.TimestampType):
+            return F.try_to_timestamp(F.nullif(F.regexp_extract(raw, r"\d{1,2} [A-Z][a-z]{2} \d{4} \d{2}:\d{2}:\d{2}", 0), F.lit("")), F.lit("d MMM yyyy HH:mm:ss"))
+        if isinstance(f.dataType, T.NumericType):
+            return F.when(raw == "true", F.lit(1)).when(raw == "false", F.lit(0)).otherwise(raw.try_cast(f.dataType)).cast(f.dataType)
+        return raw.try_cast(f.dataType)
+
+    return parsed.select(*[c for c in df.columns if c != json], *[value(f).alias(f.name) for f in schema.fields])
+
+
+def append(df: DataFrame, path: str) -> None:
+    """The rows added to a table that may not exist yet, its columns by name."""
+    df.write.mode("append").parquet(path)
+
+
+def rebuild(df: DataFrame, path: str) -> None:
+    """The table emptied and written anew; `df` must not read it."""
+    df.write.mode("overwrite").parquet(path)
+
+
 def write_tsv(df: DataFrame, path: str, order: list[Column]) -> None:
     """One ordered TSV file; for reports, which are small."""
     df.orderBy(*order).coalesce(1).write.mode("overwrite").csv(path, sep="\t", header=True)
