@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, flac, hilbert, langid, mixing, pii, secrets, shuffle, simhash, tokenfile
+from terrane.llm import bpe, flac, hilbert, langid, mixing, pii, repeats, secrets, shuffle, simhash, tokenfile
 from terrane.llm.storage import saved
 
 
@@ -109,6 +109,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs, keep_text=False).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    return repeats.stripped(docs, keep_text=False).select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_simhash": op2_simhash,
@@ -120,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_flac": op9_flac,
     "op10_mixing": op10_mixing,
+    "op11_repeats": op11_repeats,
 }
 
 ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL}
