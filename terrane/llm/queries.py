@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, flac, hilbert, langid, mixing, pii, repeats, secrets, shuffle, simhash, tokenfile
+from terrane.llm import bpe, flac, hilbert, langid, mixing, negatives, pii, repeats, secrets, shuffle, simhash, tokenfile
 from terrane.llm.storage import saved
 
 
@@ -121,6 +121,11 @@ def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_simhash": op2_simhash,
@@ -133,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_flac": op9_flac,
     "op10_mixing": op10_mixing,
     "op11_repeats": op11_repeats,
+    "op13_negatives": op13_negatives,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL, "op13_negatives": negatives.ORACLE_SQL}

@@ -296,12 +296,14 @@ def stripped(df: DataFrame, text: str = "text", key: str = "doc_id", least: int
     others = [c for c in df.columns if c not in (text, "removed", "kept")]
     docs = df.select(*others, F.xxhash64(F.col(key), F.col(text)).alias("__key"), F.col(text).cast("binary").alias("__text"))
     every = docs.select("__key", F.col("__text").alias("text")).where(F.octet_length("text") >= least).mapInArrow(_anchors(least), "key long, at long, anchor long, digest long")
-    twice = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    # Tables of their own on the right of these joins, so that Spark can split the rows of a hot hash on the left.
+    twice = saved(every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "twice")
     places = saved(every.join(twice, "anchor", "left_semi"), "places")
 
     # Different contexts of a minimizer, with a place of each.
     each = saved(places.groupBy("anchor", "digest").agg(F.count("*").alias("n"), F.first("key").alias("key"), F.first("at").alias("at")), "contexts")
     groups = each.groupBy("anchor").agg(F.count("*").alias("of"), F.count_if(F.col("n") == 1).alias("single")).where("of > 1 AND single > 0")
+    groups = saved(groups.select("anchor", "of"), "groups")
     wanted = each.join(groups, "anchor")
     size = F.expr(f"(at & 65535) + {least + 1}")
     counted = wanted.agg(F.sum(F.when(F.col("of") <= most, size)).alias("bytes"), F.count_if(F.col("of") > most).alias("hot")).first()
