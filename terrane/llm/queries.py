@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.llm import bpe, flac, hilbert, langid, mixing, negatives, pii, repeats, secrets, shuffle, simhash, tokenfile
+from terrane.llm import bpe, flac, hilbert, langid, merkle, mixing, negatives, pii, repeats, secrets, shuffle, simhash, tokenfile
 from terrane.llm.storage import saved
 
 
@@ -121,6 +121,13 @@ def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    claimed = {"n_chars": F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))}
+    made = merkle.manifest(_table(spark, sf_dir, "documents"), ("doc_id", "source", "lang", "n_chars", "text"), "lang", "doc_id", claimed)
+    return made.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(), 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.mined(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
@@ -138,7 +145,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_flac": op9_flac,
     "op10_mixing": op10_mixing,
     "op11_repeats": op11_repeats,
+    "op12_merkle": op12_merkle,
     "op13_negatives": op13_negatives,
 }
 
-ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL, "op13_negatives": negatives.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op10_mixing": mixing.ORACLE_SQL, "op12_merkle": merkle.ORACLE_SQL, "op13_negatives": negatives.ORACLE_SQL}
