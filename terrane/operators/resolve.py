@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrane.functions.text import project_core, project_name, trailing_number
+from terrane.operators.grams import occurring, similar
 
 
 @F.pandas_udf(T.DoubleType())
@@ -185,21 +186,12 @@ def matched(src: DataFrame, dst: DataFrame, accept: float = 0.91, variants: tupl
     return out.unionByName(fuzzy.select(F.col("r.id").alias("id"), F.col("i.target").alias("target"), F.lit("fuzzy").alias("kind"), F.col("t.b.score").alias("score")))
 
 
-def _parts(name: Column) -> Column:
-    """All distinct substrings of a text."""
-    n = F.char_length(name)
-    starts = F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(F.sequence(F.lit(1), n - i + 1), lambda k: F.substring(name, i, k)))
-    return F.when(n > 0, F.array_distinct(F.flatten(starts)))
-
-
 def containing(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(parent, a, b): distinct names of two tables (`parent`, `name`) of one parent of which one contains the other. The
-    substrings of each are joined with the names of the other side, so no names are paired off."""
-    a, b = (d.select("parent", "name").where("name <> ''").distinct() for d in (left, right))
-    inside = lambda d, one, other: d.select("parent", F.col("name").alias(one), F.explode(_parts(F.col("name"))).alias(other))
-    above = inside(a, "a", "b").join(b.select("parent", F.col("name").alias("b")), ["parent", "b"])
-    below = inside(b, "b", "a").join(a.select("parent", F.col("name").alias("a")), ["parent", "a"])
-    return above.select("parent", "a", "b").union(below.select("parent", "a", "b")).distinct()
+    """(parent, a, b): distinct names of two tables (`parent`, `name`) of one parent of which one contains the other."""
+    a, b = (d.select("parent", "name") for d in (left, right))
+    above = occurring(a.withColumnRenamed("name", "text"), b.withColumnRenamed("name", "pattern"), ["parent"]).select("parent", F.col("text").alias("a"), F.col("pattern").alias("b"))
+    below = occurring(b.withColumnRenamed("name", "text"), a.withColumnRenamed("name", "pattern"), ["parent"]).select("parent", F.col("pattern").alias("a"), F.col("text").alias("b"))
+    return above.union(below).distinct()
 
 
 def respelt(name: Column, spellings: dict[str, str]) -> Column:
@@ -239,8 +231,8 @@ def places(src: DataFrame, dim: DataFrame, accept: float = 0.8, length: int = 3,
 
 def region_of_address(addresses: DataFrame, aliases: DataFrame) -> DataFrame:
     """(id, region): the last part of the address that is an alias of a region, with or without the kind of place before
-    it; else the longest alias that stands anywhere in it. Columns: id, address; alias, region. Aliases are one row each,
-    and as few as regions: the addresses left over meet all of them."""
+    it; else the longest alias that the address contains, of any length and inside words too, the last in order at a
+    tie. Columns: id, address; alias, region; aliases are one row each."""
     parts = addresses.select("id", F.posexplode(F.split("address", ",")).alias("at", "part")).withColumn("part", project_name(F.col("part"))).where("part NOT IN ('', 'viet nam')")
     bare = F.trim(F.regexp_replace("part", r"^(thanh pho|tp|tinh)\b\s*", ""))
     hit = aliases.select("alias", "region")
@@ -248,43 +240,56 @@ def region_of_address(addresses: DataFrame, aliases: DataFrame) -> DataFrame:
     found = full.join(hit.withColumnsRenamed({"alias": "bare", "region": "cut"}), "bare", "left").withColumn("region", F.coalesce("full", "cut")).where("region IS NOT NULL")
     last = found.groupBy("id").agg(F.max_by("region", "at").alias("region"))
     rest = addresses.join(last.select("id"), "id", "left_anti").select("id", project_name(F.col("address")).alias("whole"))
-    # Every run of words of the address that could be an alias, joined by equality.
-    words = F.filter(F.split("whole", " "), lambda w: w != "")
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size(words)), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(RUN_WORDS), F.size(words) - i + 1)), lambda k: F.array_join(F.slice(words, i, k), " "))))
-    loose = rest.where("whole <> ''").select("id", F.explode(F.array_distinct(runs)).alias("alias")).join(hit, "alias")
+    met = occurring(rest.select(F.col("whole").alias("text")), hit.select(F.col("alias").alias("pattern")))
+    loose = rest.join(met.withColumnsRenamed({"text": "whole", "pattern": "alias"}), "whole").join(hit, "alias")
     longest = loose.groupBy("id").agg(F.max_by("region", F.struct(F.char_length("alias"), "alias")).alias("region"))
     return last.unionByName(longest)
 
 
-#: Words of an alias at most.
-RUN_WORDS = 6
+def _best(pairs: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, name, target, score) of the names a of the pairs: the best of the names b, the least target at a tie."""
+    rows = pairs.join(targets.withColumnRenamed("name", "b"), [*keys, "b"])
+    best = rows.groupBy(*keys, F.col("a").alias("name")).agg(F.max_by(F.struct("target", "score"), F.struct("score", -F.col("target"))).alias("b"))
+    return best.select(*keys, "name", "b.target", "b.score")
 
 
 def proposals(src: DataFrame, dim: DataFrame, least: float = 0.88, length: int = 5) -> DataFrame:
     """For names that are spelt otherwise: of the same parent's names of about the same length the most similar one, if
     its ratio is above `least`. Columns of both: id, parent, name."""
-    names, targets = src.select("parent", "name").distinct(), dim.groupBy("parent", "name").agg(F.min("id").alias("target"))
-    pairs = names.alias("s").join(targets.alias("d"), F.col("s.parent") == F.col("d.parent")).where(F.abs(F.char_length("s.name") - F.char_length("d.name")) <= length)
-    # The ratio is at most twice the shared characters by all; as many are shared as the lesser counts add up to.
-    letters = lambda x: F.filter(F.split(x, ""), lambda c: c != "")
-    differ = F.size(F.array_except(letters(F.col("s.name")), letters(F.col("d.name"))))
-    pairs = pairs.where(2 * (F.char_length("s.name") - differ) > least * (F.char_length("s.name") + F.char_length("d.name")))
-    scored_pairs = pairs.select("s.parent", "s.name", "target", ratio("s.name", "d.name").alias("score")).where(F.col("score") > least)
-    best = scored_pairs.groupBy("parent", "name").agg(F.max_by(F.struct("target", "score"), F.struct("score", -F.col("target"))).alias("b"))
-    return src.join(best, ["parent", "name"]).select("id", "b.target", "b.score")
+    targets = dim.groupBy("parent", "name").agg(F.min("id").alias("target"))
+    pairs = similar(src, dim, ["parent"], least).where((F.abs(F.char_length("a") - F.char_length("b")) <= length) & (F.col("score") > least))
+    return src.join(_best(pairs, targets, ["parent"]), ["parent", "name"]).select("id", "target", "score")
+
+
+def districts_of(src: DataFrame, dim: DataFrame, least: float = 0.6, first: float = 0.85) -> DataFrame:
+    """(parent, name, target, score): for each name the district of its province (`parent`) that is meant: one that is equal
+    without blanks, with a score of 1; else the one of the best ratio, if that is `least` or more. Of several the
+    least id wins. Columns: parent, name; id, parent, name. Names that have one of ratio `first` or more are done with
+    first, so that only few are compared under the weaker bound."""
+    tight = F.replace("name", F.lit(" "), F.lit(""))
+    targets = dim.groupBy("parent", "name").agg(F.min("id").alias("target"))
+    rest = src.where("name <> ''").select("parent", "name").distinct()
+    equal = targets.groupBy("parent", tight.alias("tight")).agg(F.min("target").alias("target"))
+    out = rest.withColumn("tight", tight).join(equal, ["parent", "tight"]).select("parent", "name", "target", F.lit(1.0).alias("score"))
+    for bound in sorted({least, max(least, first)}, reverse=True):
+        rest = rest.join(out, ["parent", "name"], "left_anti")
+        out = out.unionByName(_best(similar(rest, targets, ["parent"], bound), targets, ["parent"]))
+    return out
 
 
 def proposals_of_wards(src: DataFrame, dim: DataFrame, least: float = 0.88, district: float = 0.6, length: int = 5) -> DataFrame:
-    """As `proposals` under one province (`parent`), of targets whose district is about the source's: its name's ratio is
-    `district` or more. Columns of both: id, parent, name, district."""
-    both = ["parent", "name", "district"]
-    names, targets = src.select(both).distinct(), dim.groupBy(both).agg(F.min("id").alias("target"))
-    districts = names.select("parent", "district").distinct().join(targets.select("parent", F.col("district").alias("other")).distinct(), "parent")
-    districts = districts.where(ratio("district", "other") >= district)
-    pairs = names.join(districts, ["parent", "district"]).join(targets.withColumnsRenamed({"name": "d_name", "district": "other"}), ["parent", "other"])
-    pairs = pairs.where(F.abs(F.char_length("name") - F.char_length("d_name")) <= length).withColumn("score", ratio("name", "d_name")).where(F.col("score") > least)
-    best = pairs.groupBy(both).agg(F.max_by(F.struct("target", "score"), F.struct("score", -F.col("target"))).alias("b"))
-    return src.join(best, both).select("id", "b.target", "b.score")
+    """(id, target, score): for wards that are spelt otherwise, first the district that is meant (`districts_of`), then of its
+    wards the one of the best ratio, the least id at a tie. It is proposed if the ratio is above `least` and the lengths
+    differ by `length` at most. Columns: id, parent, district, name; id, parent, district_id, district, name."""
+    tree = dim.select(F.col("district_id").alias("id"), "parent", F.col("district").alias("name"))
+    meant = districts_of(src.select("parent", F.col("district").alias("name")), tree, district).select("parent", F.col("name").alias("district"), F.col("target").alias("district_id"))
+    rows = src.join(meant, ["parent", "district"])
+    targets = dim.groupBy("district_id", "name").agg(F.min("id").alias("target"))
+    # As the length counts after the pick, a longer name of a better ratio leaves the ward without a proposal.
+    best = _best(similar(rows, dim, ["district_id"], least).where(F.col("score") > least), targets, ["district_id"])
+    sizes = targets.select("district_id", "target", F.char_length("name").alias("size"))
+    best = best.join(sizes, ["district_id", "target"]).where(F.abs(F.char_length("name") - F.col("size")) <= length)
+    return rows.join(best.drop("size"), ["district_id", "name"]).select("id", "target", "score")
 
 
 def contained(src: DataFrame, dim: DataFrame, least: int = 4) -> DataFrame:

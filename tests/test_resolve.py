@@ -96,12 +96,6 @@ def test_places_by_tier(spark):
     assert got == {1: (1, 1.0), 2: (3, 0.95), 3: (3, 0.95), 4: (1, 0.95), 9: (1, 0.95), 10: (4, 0.9)}
 
 
-def test_wards_by_district(spark):
-    dim = spark.createDataFrame([(1, 1, "phuong hoa binh", "quan nam"), (2, 1, "phuong hoa binh", "huyen tay bac")], "id long, parent long, name string, district string")
-    src = spark.createDataFrame([(7, 1, "phuong hoa bing", "quan nan"), (8, 1, "phuong hoa bing", "zzz")], "id long, parent long, name string, district string")
-    assert [(r["id"], r["target"]) for r in resolve.proposals_of_wards(src, dim).collect()] == [(7, 1)]
-
-
 def test_proposals_take_the_best_ratio(spark):
     rng = random.Random(2)
     names = ["".join(rng.choice("abcd") for _ in range(rng.randint(4, 9))) for _ in range(40)]
