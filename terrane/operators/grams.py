@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrane.sources.stored import saved
+
 
 def by_longest_prefix(df: DataFrame, path: str, rules: DataFrame, prefix: str = "prefix", mark: str = "-") -> DataFrame:
     """All rows and columns of `df` with the other columns of the rule whose prefix is the longest of those that the path is
@@ -92,34 +94,27 @@ def similar(left: DataFrame, right: DataFrame, keys: list[str], least: float) ->
     them share one among the first (pieces - c + 1) of each."""
     rest = least / (2 - least)
 
-    def named(side: DataFrame) -> DataFrame:
+    def pieces(side: DataFrame, number: int) -> DataFrame:
         names = side.where("name <> ''").select(*keys, "name").distinct().withColumn("size", F.char_length("name"))
         low, high = F.ceil(F.col("size") * rest - 1e-9), F.floor(F.col("size") / rest + 1e-9)
         totals = F.transform(F.sequence(low, high), lambda other: other + F.col("size"))
         bigrams = F.array_min(F.transform(totals, lambda n: 3 * _needed(n, least) - n - 1))
-        return names.withColumn("bigrams", bigrams).withColumn("least_shared", _needed(F.col("size") + low, least))
-
-    one, two = named(left), named(right)
-
-    def leading(names: DataFrame, counts: DataFrame, gram: int, shared: str) -> DataFrame:
-        order = _pieces(names, gram).join(counts, ["piece", "nth"]).groupBy(*keys, "name", "size").agg(F.max(shared).alias("shared"), F.array_sort(F.collect_list(F.struct("n", "piece", "nth"))).alias("order"))
-        want = F.greatest(F.lit(1), F.size("order") - F.col("shared") + 1).cast("int")
-        return order.select(*keys, "name", "size", F.explode(F.slice("order", F.lit(1), want)).alias("p")).select(*keys, "name", "size", "p.piece", "p.nth")
-
-    def _pieces(names: DataFrame, gram: int) -> DataFrame:
-        cut = F.transform(F.sequence(F.lit(1), F.col("size") - gram + 1), lambda i: F.substring(F.col("name"), i, F.lit(gram)))
-        each = names.where(F.col("size") >= gram).withColumn("piece", F.explode(cut))
-        each = each.groupBy(*names.columns, "piece").agg(F.count("*").alias("copies"))
+        names = names.withColumn("long", bigrams > 0).withColumn("shared", F.struct(bigrams.alias("two"), _needed(F.col("size") + low, least).alias("one")))
+        cut = lambda gram: F.transform(F.sequence(F.lit(1), F.col("size") - gram + 1), lambda i: F.struct(F.lit(gram).alias("gram"), F.substring(F.col("name"), i, F.lit(gram)).alias("piece")))
+        both = F.concat(cut(1), F.when(F.col("long"), cut(2)).otherwise(F.array().cast("array<struct<gram:int,piece:string>>")))
+        each = names.select(F.lit(number).alias("side"), "*", F.explode(both).alias("p"))
+        each = each.groupBy("side", *keys, "name", "size", "long", "shared", "p.gram", "p.piece").agg(F.count("*").alias("copies"))
         return each.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("copies")
 
-    def met(a: DataFrame, b: DataFrame, gram: int, shared: str) -> DataFrame:
-        counts = _pieces(a.select(*keys, "name", "size"), gram).unionByName(_pieces(b.select(*keys, "name", "size"), gram)).groupBy("piece", "nth").agg(F.count("*").alias("n"))
-        x = leading(a, counts, gram, shared).withColumnsRenamed({"name": "a", "size": "a_size"})
-        y = leading(b, counts, gram, shared).withColumnsRenamed({"name": "b", "size": "b_size"})
-        near = 2 * F.least("a_size", "b_size") >= least * (F.col("a_size") + F.col("b_size")) - 1e-9
-        return x.join(y, [*keys, "piece", "nth"]).where(near).select(*keys, "a", "b").distinct()
-
-    long, short = F.col("bigrams") > 0, F.col("bigrams") <= 0
-    pairs = met(one.where(long), two.where(long), 2, "bigrams")
-    pairs = pairs.union(met(one.where(short), two, 1, "least_shared")).union(met(one.where(long), two.where(short), 1, "least_shared"))
+    every = pieces(left, 0).unionByName(pieces(right, 1))
+    counts = every.groupBy("piece", "nth").agg(F.count("*").alias("n"))
+    order = every.join(counts, ["piece", "nth"]).groupBy("side", *keys, "name", "size", "long", "shared", "gram").agg(F.array_sort(F.collect_list(F.struct("n", "piece", "nth"))).alias("order"))
+    shared = F.when(F.col("gram") == 2, F.col("shared.two")).otherwise(F.col("shared.one"))
+    want = F.greatest(F.lit(1), F.size("order") - shared + 1).cast("int")
+    leading = saved(order.select("side", *keys, "name", "size", "long", "gram", F.explode(F.slice("order", F.lit(1), want)).alias("p")).select("side", *keys, "name", "size", "long", "gram", "p.piece", "p.nth"), "leading")
+    sides = [leading.where(f"side = {i}").drop("side").withColumnsRenamed({"name": c, "size": f"{c}_size", "long": f"{c}_long"}) for i, c in enumerate("ab")]
+    met = sides[0].join(sides[1], [*keys, "gram", "piece", "nth"])
+    near = 2 * F.least("a_size", "b_size") >= least * (F.col("a_size") + F.col("b_size")) - 1e-9
+    # Two long names meet on bigrams, all others on characters.
+    pairs = met.where(near & ((F.col("gram") == 2) == (F.col("a_long") & F.col("b_long")))).select(*keys, "a", "b").distinct()
     return pairs.withColumn("score", string_ratio(least)("a", "b")).where("score IS NOT NULL")

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from terrane.functions.text import project_core, project_name, trailing_number
 from terrane.operators.grams import occurring, similar
+from terrane.sources.stored import saved
 
 
 @F.pandas_udf(T.DoubleType())
@@ -158,26 +159,21 @@ def matched(src: DataFrame, dst: DataFrame, accept: float = 0.91, variants: tupl
     Columns of both: id, name, region; `variants`: columns of `dst` with other names of the same. Of several targets of one
     key the greatest id wins; the source's own region goes before any region.
     """
-    s, d = named(src), named(dst, variants=variants)
-    out, rest = None, s
-
-    def take(kind: str, keys: list[str]) -> None:
-        nonlocal out, rest
-        on = [k for k in keys if k != "region"]
-        targets = d.where(" AND ".join(f"{k} <> ''" for k in on)).groupBy(*keys).agg(F.max("id").alias("target"))
-        if "region" in keys:
-            targets = targets.withColumnRenamed("region", "t_region")
-            both = rest.join(targets, on, "inner").where(F.col("region").eqNullSafe(F.col("t_region")))
-        else:
-            both = rest.join(targets, on, "inner")
-        hit = both.select("id", "target", F.lit(kind).alias("kind"), F.lit(1.0).alias("score"))
-        out = hit if out is None else out.unionByName(hit)
-        rest = rest.join(hit.select("id"), "id", "left_anti")
-
-    take("exact", ["name", "region"])
+    s, d = named(src), saved(named(dst, variants=variants), "targets")
+    steps = [("exact", ["name", "region"])]
     for kind in ("norm", "core"):
-        take(f"{kind}_region", [kind, "region"])
-        take(kind, [kind])
+        steps += [(f"{kind}_region", [kind, "region"]), (kind, [kind])]
+    # The targets of every step stand beside each row, and the first step that has one counts.
+    rows = s
+    for i, (_, keys) in enumerate(steps):
+        targets = d.where(f"{keys[0]} <> ''").groupBy(*[F.col(k).alias(f"{k}{i}") for k in keys]).agg(F.max("id").alias(f"target{i}"))
+        same = F.col(keys[0]) == F.col(f"{keys[0]}{i}")
+        same = same & F.col("region").eqNullSafe(F.col(f"region{i}")) if len(keys) > 1 else same
+        rows = rows.join(targets, same, "left").drop(*[f"{k}{i}" for k in keys])
+    hit = [F.when(F.col(f"target{i}").isNotNull(), F.struct(F.col(f"target{i}").alias("target"), F.lit(kind).alias("kind"))) for i, (kind, _) in enumerate(steps)]
+    rows = saved(rows.select(*s.columns, F.coalesce(*hit).alias("hit")), "names")
+    out = rows.where("hit IS NOT NULL").select("id", "hit.target", "hit.kind", F.lit(1.0).alias("score"))
+    rest = rows.where("hit IS NULL").drop("hit")
     best = scored(rest, d, accept)
     top = best.groupBy("s_norm", "s_region").agg(F.max_by(F.struct("d_norm", "d_variants", "d_region", "score"), F.struct("score", "d_norm", "d_variants")).alias("b"))
     ids = d.groupBy("norm", "variants", "region").agg(F.max("id").alias("target"))
@@ -273,7 +269,7 @@ def districts_of(src: DataFrame, dim: DataFrame, least: float = 0.6, first: floa
     out = rest.withColumn("tight", tight).join(equal, ["parent", "tight"]).select("parent", "name", "target", F.lit(1.0).alias("score"))
     for bound in sorted({least, max(least, first)}, reverse=True):
         rest = rest.join(out, ["parent", "name"], "left_anti")
-        out = out.unionByName(_best(similar(rest, targets, ["parent"], bound), targets, ["parent"]))
+        out = saved(out.unionByName(_best(similar(rest, targets, ["parent"], bound), targets, ["parent"])), "districts")
     return out
 
 
@@ -283,7 +279,7 @@ def proposals_of_wards(src: DataFrame, dim: DataFrame, least: float = 0.88, dist
     differ by `length` at most. Columns: id, parent, district, name; id, parent, district_id, district, name."""
     tree = dim.select(F.col("district_id").alias("id"), "parent", F.col("district").alias("name"))
     meant = districts_of(src.select("parent", F.col("district").alias("name")), tree, district).select("parent", F.col("name").alias("district"), F.col("target").alias("district_id"))
-    rows = src.join(meant, ["parent", "district"])
+    rows = saved(src.join(meant, ["parent", "district"]), "wards")
     targets = dim.groupBy("district_id", "name").agg(F.min("id").alias("target"))
     # As the length counts after the pick, a longer name of a better ratio leaves the ward without a proposal.
     best = _best(similar(rows, dim, ["district_id"], least).where(F.col("score") > least), targets, ["district_id"])

@@ -15,31 +15,55 @@ from terrane.functions.parse import shifted_month
 
 
 def round2(x: Column, digits: int = 2) -> Column:
-    """Half up on the double itself, which every engine computes alike."""
-    return F.floor(x * 10**digits + 0.5) / float(10**digits)
+    """Half away from zero on the double itself, which every engine computes alike."""
+    return F.signum(x) * F.floor(F.abs(x) * 10**digits + 0.5) / float(10**digits)
 
 
-def weighted(df: DataFrame, keys: list[str], value: str, copies: str | None = None) -> DataFrame:
-    """Distinct values of each group: `value`, `copies`, `kept` copies after the trim, and the group's `total` of copies
-    and `least` value. `copies`: a column that says for how many rows a row stands."""
+#: Ranges of values for each factor of e: a range holds values of half a percent.
+RANGES = 200
+
+
+def value_range(x: Column) -> Column:
+    """A whole number that never falls as x rises, of some ten thousand at most for either sign."""
+    return F.floor(F.signum(x) * F.log1p(F.abs(x.cast("double"))) * RANGES)
+
+
+def weighted(df: DataFrame, keys: list[str], value: str, copies: str | None = None, ranged: bool = False) -> DataFrame:
+    """Distinct values of each group: `value`, `copies`, `upto` (the copies of it and of all smaller ones), `kept` copies
+    after the trim, and the group's `total` of copies and `least` value. `copies`: a column that says for how many rows a row stands.
+
+    With `ranged`, for groups of very many distinct values, copies are counted by ranges of values first. A group's
+    window then runs over its ranges, and the values of each range are ordered apart, so that no task orders a whole group."""
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg((F.sum(copies) if copies else F.count("*")).alias("copies"))
     group = Window.partitionBy(*keys)
-    upto = F.sum("copies").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
-    rows = counted.withColumns({"upto": upto, "total": F.sum("copies").over(group), "least": F.min(value).over(group)})
+    if ranged:
+        counted = counted.withColumn("range", value_range(F.col(value)))
+        ranges = counted.groupBy(*keys, "range").agg(F.sum("copies").alias("here"), F.min(value).alias("low"))
+        before = F.sum("here").over(group.orderBy("range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("here")
+        ranges = ranges.withColumns({"before": before, "total": F.sum("here").over(group), "least": F.min("low").over(group)}).drop("here", "low")
+        both = [F.col(f"v.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys] + [F.col("v.range") == F.col("r.range")]
+        rows = counted.alias("v").join(ranges.alias("r"), both).select(*[f"v.{c}" for c in counted.columns], "before", "total", "least")
+        upto = F.sum("copies").over(Window.partitionBy(*keys, "range").orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+        rows = rows.withColumn("upto", F.col("before") + upto).drop("before", "range")
+    else:
+        upto = F.sum("copies").over(group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+        rows = counted.withColumns({"upto": upto, "total": F.sum("copies").over(group), "least": F.min(value).over(group)})
     cut = F.expr("total div 10")
     kept = F.greatest(F.lit(0), F.least(F.col("upto"), F.col("total") - cut) - F.greatest(F.col("upto") - F.col("copies"), cut))
-    return rows.withColumn("kept", kept).drop("upto")
+    return rows.withColumn("kept", kept)
 
 
-def trimmed_stats(df: DataFrame, keys: list[str], value: str, copies: str | None = None) -> DataFrame:
+def trimmed_stats(df: DataFrame, keys: list[str], value: str, copies: str | None = None, ranged: bool = False) -> DataFrame:
     """avg, median, min, max of the trimmed values, stddev of their population, total_rows, trimmed_rows, and avg_all,
-    the mean before the trim. Groups without values are absent."""
+    the mean before the trim. Groups without values are absent. `ranged` as in `weighted`."""
     v, kept = F.col(value).cast("double"), F.col("kept")
-    rows = weighted(df, keys, value, copies)
+    rows = weighted(df, keys, value, copies, ranged)
     mean = F.sum(v * kept) / F.sum(kept)
+    # The value of a rank (from 0) is the least one that has more copies up to it.
+    at = lambda rank: F.min(F.when(F.col("upto") > F.expr(rank), v))
     sums = rows.groupBy(*keys).agg(
         mean.alias("avg"),
-        F.percentile(v, 0.5, F.col("copies")).alias("median"),
+        ((at("(total - 1) div 2") + at("total div 2")) / 2).alias("median"),
         F.min(F.when(kept > 0, v)).alias("min"),
         F.max(F.when(kept > 0, v)).alias("max"),
         F.max("total").alias("total_rows"),
@@ -62,13 +86,15 @@ class Scope:
     keys: tuple[str, ...]
     where: str
     group: int | None = None
+    #: Groups are few and large, so their values are ordered by ranges.
+    ranged: bool = False
 
 
 #: The levels of the price statistics; those of land prices have the same labels and group 5.
 SCOPES = (
     Scope("ward", ("province", "ward", "grp", "month"), "grp IS NOT NULL AND ward IS NOT NULL AND province IS NOT NULL"),
     Scope("region", ("province", "grp", "month"), "grp IS NOT NULL AND province IS NOT NULL"),
-    Scope("region_total", ("province", "month"), "province IS NOT NULL", 0),
+    Scope("region_total", ("province", "month"), "province IS NOT NULL", 0, True),
     Scope("project", ("project", "grp", "month"), "project > 0 AND grp IS NOT NULL"),
     Scope("street", ("province", "street", "grp", "month"), "street > 0 AND street_source AND grp IS NOT NULL"),
 )
@@ -82,7 +108,7 @@ def scope_stats(facts: DataFrame, scope: Scope, land: bool = False) -> DataFrame
     value = "land_price" if land else "price"
     keys = [k for k in scope.keys if not (land and k == "grp")]
     where = scope.where.replace(" AND grp IS NOT NULL", "").replace("grp IS NOT NULL AND ", "") if land else scope.where
-    rows = trimmed_stats(facts.where(where).where(F.col(value) > 0), keys, value)
+    rows = trimmed_stats(facts.where(where).where(F.col(value) > 0), keys, value, ranged=scope.ranged)
     group = F.lit(5) if land else (F.lit(scope.group) if scope.group is not None else F.col("grp"))
     place = [(F.col(k) if k in keys else F.lit(0)).cast("long").alias(k) for k in ("province", "ward", "street", "project")]
     return rows.select(

@@ -51,4 +51,4 @@ def trimmed_sql(keys: list[str], source: str, value: str = "v") -> str:
 
 
 def round_sql(x: str, digits: int = 2) -> str:
-    return f"floor(({x}) * {10**digits} + 0.5) / {float(10**digits)}"
+    return f"sign({x}) * floor(abs({x}) * {10**digits} + 0.5) / {float(10**digits)}"

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrane.operators import resolve, stats
+from terrane.functions.text import slug
+from terrane.operators import grams, resolve, stats
 from terrane.plans.facts import FACTS_SQL, facts
 from terrane.plans.registry_type import Query
 from terrane.plans.statistics import _scope_sql
@@ -30,6 +31,20 @@ b AS (SELECT p_partkey AS id, p_name || ' ' || p_size || CASE WHEN p_partkey % 7
 _PLACE = """CASE c_custkey % 5 WHEN 0 THEN 'ward nation_' || c_nationkey WHEN 1 THEN 'natiom_' || c_nationkey WHEN 2 THEN 'nation_' || (c_nationkey % 7)
   WHEN 3 THEN 'nation_' || c_nationkey ELSE 'town_' || c_nationkey END"""
 
+#: An alias of nine words, and addresses that have it, or a short one inside a word, or several.
+_LONG = "rat lau va dai trong khu cho nation "
+_INSIDE = f"""CASE c_custkey % 4 WHEN 0 THEN 'o {_LONG}' || CAST(c_nationkey AS {{text}}) || ' cu' WHEN 1 THEN 'xomnation ' || CAST(c_nationkey AS {{text}})
+  WHEN 2 THEN 'tu nation ' || CAST(c_nationkey % 5 AS {{text}}) || ' den nation ' || CAST(c_nationkey AS {{text}}) ELSE 'khong dau' END"""
+
+
+def _categories(spark: SparkSession, d: str) -> DataFrame:
+    """Pages by the longest rule that their address begins with; some rules are made of addresses, so they grow with these."""
+    pages = table(spark, d, "pages").select("page_id", slug(F.col("url")).alias("path"))
+    fixed = spark.createDataFrame([("http", "plain"), ("https", "secure"), ("http-m", "mobile"), ("https-blog", "blog")], "prefix string, label string")
+    sites = pages.where("page_id % 3 = 0").select(F.substring_index("path", "-", 4).alias("prefix"), F.concat(F.lit("site "), "page_id").alias("label"))
+    return grams.by_longest_prefix(pages, "path", fixed.unionByName(sites)).select("page_id", "label")
+
+
 QUERIES += [
     Query(
         "names_blocked",
@@ -72,6 +87,37 @@ QUERIES += [
             table(spark, d, "nation").selectExpr("'nation ' || n_nationkey AS alias", "n_regionkey AS region")),
         """SELECT s_suppkey AS id, CASE WHEN s_suppkey % 3 = 0 THEN a.n_regionkey ELSE coalesce(b.n_regionkey, a.n_regionkey) END AS region FROM supplier JOIN nation a ON s_nationkey = a.n_nationkey LEFT JOIN nation b ON s_nationkey + 1 = b.n_nationkey WHERE s_suppkey % 3 <> 1""",
     ),
+    Query(
+        "regions_by_contained_alias",
+        lambda spark, d: resolve.region_of_address(
+            table(spark, d, "customer").selectExpr("c_custkey AS id", f"{_INSIDE.format(text='STRING')} AS address"),
+            table(spark, d, "nation").selectExpr("n_regionkey AS region", f"explode(array('nation ' || n_nationkey, '{_LONG}' || n_nationkey)) AS alias")),
+        f"""WITH a AS (SELECT c_custkey AS id, {_INSIDE.format(text='VARCHAR')} AS address FROM customer),
+        n AS (SELECT n_regionkey AS region, unnest(['nation ' || n_nationkey, '{_LONG}' || n_nationkey]) AS alias FROM nation)
+        SELECT id, region FROM (SELECT id, region, row_number() OVER (PARTITION BY id ORDER BY length(alias) DESC, alias DESC) AS rn FROM a JOIN n ON contains(address, alias)) WHERE rn = 1""",
+    ),
+    Query(
+        "wards_proposed",
+        lambda spark, d: resolve.proposals_of_wards(
+            table(spark, d, "customer").join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+                "c_custkey AS id", "n_regionkey AS parent",
+                "CASE c_custkey % 3 WHEN 0 THEN 'districtofnation_' || c_nationkey WHEN 1 THEN '#istrict of nation_' || c_nationkey ELSE 'zzz' END AS district", "'#ard number ' || (c_custkey % 10) AS name"),
+            table(spark, d, "supplier").join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).selectExpr(
+                "s_suppkey AS id", "n_regionkey AS parent", "s_nationkey AS district_id", "'district of nation_' || s_nationkey AS district", "'ward number ' || (s_suppkey % 10) AS name").union(
+                table(spark, d, "nation").selectExpr("-1 - n_nationkey", "n_regionkey", "n_nationkey", "'district of nation_' || n_nationkey", "'town hall'")),
+        ).select("id", "target", stats.round2(F.col("score"), 4).alias("score")),
+        # Of 13 characters 12 match; any other ward of the district matches in 11, which is too few.
+        """SELECT c_custkey AS id, min(s_suppkey) AS target, floor(24.0 / 26 * 10000 + 0.5) / 10000.0 AS score FROM customer JOIN supplier ON s_nationkey = c_nationkey AND s_suppkey % 10 = c_custkey % 10
+        WHERE c_custkey % 3 <> 2 GROUP BY 1""",
+    ),
+    Query(
+        "categories_of_urls",
+        _categories,
+        """WITH p AS (SELECT page_id, trim(regexp_replace(lower(url), '[^a-z0-9]+', '-', 'g'), '-') AS path FROM pages),
+        r AS (SELECT prefix, min(label) AS label FROM (SELECT unnest(['http', 'https', 'http-m', 'https-blog']) AS prefix, unnest(['plain', 'secure', 'mobile', 'blog']) AS label
+          UNION ALL SELECT array_to_string(string_split(path, '-')[1:4], '-'), 'site ' || page_id FROM p WHERE page_id % 3 = 0) GROUP BY 1)
+        SELECT page_id, label FROM (SELECT page_id, label, row_number() OVER (PARTITION BY page_id ORDER BY length(prefix) DESC) AS rn FROM p LEFT JOIN r ON path = prefix OR starts_with(path, prefix || '-')) WHERE rn = 1""",
+    ),
     Query(
         "places_proposed",
         lambda spark, d: resolve.proposals(

@@ -125,3 +125,41 @@ def test_stream_upserts(spark):
         got = {(r["k"], r["v"]) for r in incremental.latest(spark, f"{root}/log", ["k"], "at").collect()}
         spark.createDataFrame([(2, "d", 5)], schema).write.mode("overwrite").parquet(f"{root}/in/2")
     assert got == {(1, "b"), (2, "d")}
+
+
+@pytest.mark.parametrize("ranged", [False, True])
+def test_hot_group_of_trimmed_stats(spark, ranged):
+    """One group of half of all rows, with ties, negative values, fractions and a second key that is null."""
+    rng = random.Random(3)
+    rows = [("hot", None, rng.choice([rng.random() * 1e6, float(rng.randint(-50, 50)), 7.5, -rng.random()])) for _ in range(4000)]
+    rows += [(f"g{i % 400}", i % 2, float(rng.randint(1, 9))) for i in range(4000)] + [("one", 1, 3.0), ("none", 1, None)]
+    got = stats.trimmed_stats(spark.createDataFrame(rows, "g string, h int, v double"), ["g", "h"], "v", ranged=ranged)
+    want = {}
+    for key in {r[:2] for r in rows}:
+        v = sorted(r[2] for r in rows if r[:2] == key and r[2] is not None)
+        if v:
+            t = v[len(v) // 10 : len(v) - len(v) // 10]
+            want[key] = (statistics.fmean(t), statistics.median(v), t[0], t[-1], statistics.pstdev(t), len(v), len(t), statistics.fmean(v))
+    out = {(r["g"], r["h"]): tuple(r[c] for c in ("avg", "median", "min", "max", "stddev", "total_rows", "trimmed_rows", "avg_all")) for r in got.collect()}
+    assert out.keys() == want.keys()
+    assert all(out[k] == pytest.approx(want[k], rel=1e-9, abs=1e-9) for k in want)
+
+
+def test_ranged_stats_order_no_whole_group(spark):
+    df = spark.createDataFrame([("a", 1.0)], "g string, v double")
+    plan = stats.trimmed_stats(df, ["g"], "v", ranged=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "percentile" not in plan
+    # The one window over a group reads the counts of its ranges; that over values has the range in its key.
+    windows = [line for line in plan.splitlines() if "Window [" in line and "copies" in line]
+    assert windows and all("range" in line for line in windows)
+
+
+def test_ranges_rise_with_values(spark):
+    values = sorted([0.0, -0.5, 1e-9, 3.0, 3.000001, -7e9, 1e18, -1e18, 12.0, 12.01, 5e5])
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "v double").select(stats.value_range(F.col("v"))).collect()]
+    assert got == sorted(got) and max(map(abs, got)) < 20_000
+
+
+def test_rounding_half_away_from_zero(spark):
+    df = spark.createDataFrame([(-0.125,), (0.125,), (-2.5,), (None,)], "x double")
+    assert [r[0] for r in df.select(stats.round2(F.col("x"))).collect()] == [-0.13, 0.13, -2.5, None]
