@@ -35,7 +35,7 @@ def wards_resolved(src: DataFrame, dim: DataFrame, split: DataFrame, merged: Dat
 
     The district is found in its region (`in_parent`), beside the places that it was `split` into; then the ward in these
     districts, the least id of a district first; else by the old name of a merged place under one of them. `new` is the
-    place that the found one was merged into, or itself, and `top` the root above it.
+    place that the found one was merged into, or itself, and `top` the root above its parent, null without one.
     Columns: id, region, district, ward; id, parent, name; region, district, target; old, old_name, new, new_parent.
     """
     districts = src.select(F.col("region").alias("parent"), F.col("district").alias("name"))
@@ -54,7 +54,7 @@ def wards_resolved(src: DataFrame, dim: DataFrame, split: DataFrame, merged: Dat
     here = dim.select(F.col("id").alias("new"), F.col("name").alias("new_name"), "parent")
     rows = src.join(old, ["region", "district", "ward"]).join(newer, "old", "left").withColumn("new", F.coalesce("new", "old")).join(here, "new")
     above = ancestors(dim, "id", "parent").select(F.col("id").alias("above"), F.col("root").alias("top"))
-    rows = rows.withColumn("above", F.coalesce("new_parent", "parent", "new"))
+    rows = rows.withColumn("above", F.coalesce("new_parent", "parent"))
     return rows.join(above, "above", "left").select("id", "old", "new", "new_name", "top")
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrane.sources.stored import saved
+
 
 def _same(left: str, right: str, keys: list[str]) -> Column:
     """Null keys are equal to each other, which keeps repeated runs from adding rows."""
@@ -78,14 +80,19 @@ def claimed(queue: DataFrame, limit: int, now: Column, stale_minutes: int = 30)
 
 
 def reposts(df: DataFrame, first_key: str, second_key: str, order: list[str], id_column: str = "id") -> DataFrame:
-    """`origin`: the earliest row with the same first or second key (one step, not a chain); null keys link nothing."""
-    best = None
-    for key in (first_key, second_key):
-        window = Window.partitionBy(key).orderBy(*order)
-        fields = [F.first(c).over(window).alias(c) for c in dict.fromkeys([*order, id_column])]
-        one = F.when(F.col(key).isNotNull(), F.struct(*fields))
-        best = one if best is None else F.least(best, one)
-    return df.withColumn("origin", F.coalesce(best[id_column], F.col(id_column)))
+    """`origin`: the earliest row with the same first or second key (one step, not a chain); null keys link nothing. The
+    earliest row of each key is found by a minimum, and only rows with a key are joined with it."""
+    rows, found = df, []
+    for i, key in enumerate((first_key, second_key)):
+        fields = F.struct(*[F.col(c) for c in dict.fromkeys([*order, id_column])])
+        own = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias(f"__key{i}"))
+        best = own.agg(F.min(fields).alias(f"__best{i}"), (F.count("*") * 0).alias(f"__none{i}"))
+        # A second key, 0 for all that can match, deals the rows without a key out to all tasks.
+        spread = F.when(F.col(key).isNull(), F.xxhash64(*[F.col(c) for c in dict.fromkeys([*order, id_column])])).otherwise(0)
+        same = (F.col(key) == F.col(f"__key{i}")) & (F.col("__spread") == F.col(f"__none{i}"))
+        rows = rows.withColumn("__spread", spread).join(best, same, "left").drop("__spread", f"__none{i}", f"__key{i}")
+        found.append(F.col(f"__best{i}"))
+    return rows.withColumn("origin", F.coalesce(F.least(*found)[id_column], F.col(id_column))).drop("__best0", "__best1")
 
 
 def ready_parents(parents: DataFrame, children: DataFrame, key: str, done: Column) -> DataFrame:
@@ -105,12 +112,21 @@ def one_row_a_key(dim: DataFrame, key: str, order: list[Column]) -> DataFrame:
     return first_rows(dim.where(F.col(key).isNotNull()), [key], order)
 
 
-def ancestors(tree: DataFrame, node: str, parent: str, depth: int = 3) -> DataFrame:
-    """`root` of each node of a tree of at most `depth` levels; nodes whose parent is absent are roots."""
-    out = tree.select(F.col(node), F.col(node).alias("root"))
-    up = tree.select(F.col(node).alias("root"), F.col(parent).alias("above"))
-    known = tree.select(F.col(node).alias("above"))
-    up = up.join(known, "above", "left_semi")
-    for _ in range(depth - 1):
-        out = out.join(up, "root", "left").select(node, F.coalesce("above", "root").alias("root"))
-    return out
+def ancestors(tree: DataFrame, node: str, parent: str) -> DataFrame:
+    """`root` of each node of a tree of any depth. A node whose parent is null, absent or itself is a root; one whose walk runs
+    into a circle has a null root. Of repeated nodes the least parent counts; null nodes are left out.
+
+    Pointers double: each step, a node takes the root of the node that it points at, if that is known, else its pointer. Finished
+    nodes take no further part, so a root of very many nodes is met once by each; a chain of n nodes takes log2(n) steps."""
+    one = tree.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("at")).agg(F.min(parent).alias("above"))
+    known = one.select(F.col("at").alias("above"))
+    rest = saved(one.where("at <> above").join(known, "above", "left_semi").select("at", "above"), "pointers")
+    done = saved(one.join(rest, "at", "left_anti").select("at", F.col("at").alias("root")), "roots")
+    before = None
+    while (left := rest.count()) and left != before:
+        before = left
+        found = saved(rest.join(done.select(F.col("at").alias("above"), "root"), "above", "left"), "pointers")
+        done = done.unionByName(found.where("root IS NOT NULL").select("at", "root"))
+        on = found.where("root IS NULL").select("at", "above")
+        rest = saved(on.join(rest.select(F.col("at").alias("above"), F.col("above").alias("next")), "above").select("at", F.col("next").alias("above")), "pointers")
+    return done.unionByName(rest.select("at", F.lit(None).cast(done.schema["root"].dataType).alias("root"))).withColumnRenamed("at", node)

@@ -188,6 +188,13 @@ def _(spark, d):
     return state.ancestors(tree, "id", "parent")
 
 
+@_add("roots_of_deep_tree", """WITH RECURSIVE tree AS (SELECT o_orderkey AS id, o_orderkey // 2 AS parent FROM orders), ids AS (SELECT id FROM tree),
+    up AS (SELECT id, id AS root FROM tree UNION ALL SELECT up.id, up.root // 2 FROM up WHERE up.root // 2 IN (SELECT id FROM ids) AND up.root // 2 <> up.root)
+    SELECT id, min(root) AS root FROM up GROUP BY id""")
+def _(spark, d):
+    return state.ancestors(table(spark, d, "orders").selectExpr("o_orderkey AS id", "o_orderkey div 2 AS parent"), "id", "parent")
+
+
 # Aggregations
 
 

@@ -163,3 +163,24 @@ def test_ranges_rise_with_values(spark):
 def test_rounding_half_away_from_zero(spark):
     df = spark.createDataFrame([(-0.125,), (0.125,), (-2.5,), (None,)], "x double")
     assert [r[0] for r in df.select(stats.round2(F.col("x"))).collect()] == [-0.13, 0.13, -2.5, None]
+
+
+def test_walk_of_any_depth(spark):
+    """A chain of 1000, a wide root, circles with and without a tail, a missing parent, repeated and null nodes."""
+    rows = [(i, i - 1 if i else None) for i in range(1001)] + [(i, 2000) for i in range(2001, 2300)] + [(2000, 0)]
+    rows += [(3000, 3001), (3001, 3002), (3002, 3000), (3003, 3000), (4000, 9999), (4001, 4000), (5000, 5000), (5001, 5000), (6000, 7), (6000, 4000), (None, 5)]
+    got = {r["id"]: r["root"] for r in state.ancestors(spark.createDataFrame(rows, "id long, parent long"), "id", "parent").collect()}
+    assert got == {
+        **dict.fromkeys(range(1001), 0), **dict.fromkeys(range(2000, 2300), 0), **dict.fromkeys(range(3000, 3004)), 4000: 4000, 4001: 4000, 5000: 5000, 5001: 5000, 6000: 0,
+    }
+    assert state.ancestors(spark.createDataFrame([], "id long, parent long"), "id", "parent").count() == 0
+
+
+def test_reposts_of_rows_without_keys(spark):
+    rows = [(1, "a", "u", 5), (2, "a", None, 4), (3, None, "u", 3), (4, None, None, 1), (5, "b", "u", 9), (6, None, None, 0)]
+    df = spark.createDataFrame(rows, "id long, prj string, url string, at int")
+    got = state.reposts(df, "prj", "url", ["at", "id"])
+    assert {r["id"]: r["origin"] for r in got.collect()} == {1: 3, 2: 2, 3: 3, 4: 4, 5: 3, 6: 6}
+    assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
+    assert len(joins) == 2 and all("__spread" in line for line in joins)
