@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terrane.operators.resolve import containing
 from terrane.operators.state import ancestors, first_rows, insert_ignore, one_row_a_key
+from terrane.sources.stored import saved
 
 
 def in_parent(src: DataFrame, dim: DataFrame, length: int = 3, aliases: DataFrame | None = None) -> DataFrame:
@@ -16,7 +17,7 @@ def in_parent(src: DataFrame, dim: DataFrame, length: int = 3, aliases: DataFram
     name that contains this one or is contained in it, for names of at least `length` characters, so that a numeric
     district is found by its whole number only; 3 a name that contains the alias of this one. Of equal stages the least id
     wins. Columns: parent, name; id, parent, name; name, alias."""
-    names = src.select("parent", "name").distinct()
+    names = saved(src.select("parent", "name").distinct(), "names")
     own = dim.groupBy("parent", "name").agg(F.min("id").alias("target"))
     found = names.join(own, ["parent", "name"]).withColumn("stage", F.lit(1))
     inside = containing(names.where(F.char_length("name") >= length), dim).where("a <> b")
@@ -27,7 +28,7 @@ def in_parent(src: DataFrame, dim: DataFrame, length: int = 3, aliases: DataFram
         above = meant.join(above.withColumnRenamed("a", "alias"), ["parent", "alias"]).join(own.withColumnRenamed("name", "b"), ["parent", "b"])
         found = found.unionByName(above.select("parent", "name", "target", F.lit(3).alias("stage")))
     best = found.groupBy("parent", "name").agg(F.min(F.struct("stage", "target")).alias("b"))
-    return best.select("parent", "name", "b.target", "b.stage")
+    return saved(best.select("parent", "name", "b.target", "b.stage"), "places")
 
 
 def wards_resolved(src: DataFrame, dim: DataFrame, split: DataFrame, merged: DataFrame) -> DataFrame:
@@ -41,7 +42,7 @@ def wards_resolved(src: DataFrame, dim: DataFrame, split: DataFrame, merged: Dat
     districts = src.select(F.col("region").alias("parent"), F.col("district").alias("name"))
     targets = in_parent(districts, dim).select(F.col("parent").alias("region"), F.col("name").alias("district"), "target")
     targets = targets.unionByName(split.select("region", "district", "target")).distinct()
-    wards = src.select("region", "district", "ward").distinct().join(targets, ["region", "district"])
+    wards = saved(src.select("region", "district", "ward").distinct().join(targets, ["region", "district"]), "wards")
     asked = wards.select(F.col("target").alias("parent"), F.col("ward").alias("name"))
     direct = in_parent(asked, dim).select(F.col("parent").alias("target"), F.col("name").alias("ward"), F.col("target").alias("old"), F.lit(0).alias("way"))
     renamed = merged.groupBy(F.col("new_parent").alias("target"), F.col("old_name").alias("ward")).agg(F.min("new").alias("old")).withColumn("way", F.lit(1))

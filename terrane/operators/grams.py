@@ -47,17 +47,19 @@ def occurring(texts: DataFrame, patterns: DataFrame, keys: list[str] | None = No
     """(keys, text, pattern): the distinct texts that contain a pattern, inside words too, however long either is. Both
     tables have `keys`, which must be equal, and `text` or `pattern`; blank and null ones occur nowhere.
 
-    Each pattern is looked for by its rarest piece of three characters, itself if it is shorter."""
+    Each pattern is looked for by one piece of three characters, itself if it is shorter: the one that the fewest patterns have."""
     keys = keys or []
     texts = texts.where("text <> ''").select(*keys, "text").distinct()
     patterns = patterns.where("pattern <> ''").select(*keys, "pattern").distinct()
-    every = F.flatten(F.array_compact(F.array(*[_grams(F.col("text"), n) for n in range(1, GRAM + 1)])))
+    size = F.least(F.lit(GRAM), F.char_length("pattern"))
+    # GRAM rows at most.
+    sizes = [r[0] for r in patterns.select(size).distinct().collect()]
+    own = patterns.select(*keys, "pattern", F.explode(_grams(F.col("pattern"), size)).alias("gram"))
+    often = own.groupBy("gram").agg(F.count("*").alias("n"))
+    rare = own.join(often, "gram").groupBy(*keys, "pattern").agg(F.min(F.struct("n", "gram")).alias("least")).select(*keys, "pattern", F.col("least.gram").alias("gram"))
+    every = [_grams(F.col("text"), n) for n in sorted(sizes)]
+    every = F.flatten(F.array_compact(F.array(*every))) if every else F.array().cast("array<string>")
     pieces = texts.select(*keys, "text", F.explode(every).alias("gram"))
-    own = patterns.select(*keys, "pattern", F.explode(_grams(F.col("pattern"), F.least(F.lit(GRAM), F.char_length("pattern")))).alias("gram"))
-    # A piece that no text has rules its pattern out.
-    often = pieces.groupBy(*keys, "gram").agg(F.count("*").alias("n"))
-    rare = own.join(often, [*keys, "gram"], "left").groupBy(*keys, "pattern").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("least"))
-    rare = rare.where("least.n > 0").select(*keys, "pattern", F.col("least.gram").alias("gram"))
     return pieces.join(rare, [*keys, "gram"]).where(F.contains("text", "pattern")).select(*keys, "text", "pattern")
 
 
