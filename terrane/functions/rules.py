@@ -220,3 +220,12 @@ def property_columns(category: Column, trade: Column, papers: Column) -> dict[st
         "cat_id": F.when(rent, 3).otherwise(first_phrase(category, ((("Đất thổ cư", "Đất nền", "Nông nghiệp", "Lâm nghiệp"), 2),), F.lit(1))),
         "stratum_id": first_phrase(papers, PAPERS, F.lit(None).cast("int")),
     }
+
+
+def listing_type(raw: Column, unit: Column, category: Column) -> Column:
+    """'s' for a sale, 'u' for a rent: by the word of the type, else by a monthly unit, else by the category of rents; a sale
+    if none of these tells."""
+    word, per = F.lower(F.trim(raw)), F.lower(F.trim(unit))
+    # Words of the two types, units of rents, and the category of rents.
+    sale, rent, monthly, rents = ("s", "ban", "mua", "cần bán", "can ban"), ("u", "thue", "thuê", "cho thuê", "cho thue"), ("tháng", "thang"), 3
+    return F.when(word.isin(*sale), "s").when(word.isin(*rent), "u").when(per.isin(*monthly), "u").when(category == rents, "u").otherwise("s")

@@ -40,10 +40,10 @@ def project_name(x: Column) -> Column:
     return squeeze(F.regexp_replace(words_only(x), r"\b(the|du an|khu do thi|kdt|kdc)\b", " "))
 
 
-#: Generic leading words of project names, longest first.
+#: Generic leading words of project names; each stands before those that it begins with.
 PROJECT_PREFIXES = (
-    "khu do thi moi", "toa nha van phong", "cao oc van phong", "can ho chung cu", "can ho dich vu", "khu nghi duong",
-    "khu biet thu", "khu phuc hop", "khu nha pho", "khu do thi", "khu dan cu", "chung cu", "van phong", "can ho",
+    "khu do thi moi", "khu do thi", "khu dan cu", "khu biet thu", "khu nghi duong", "khu nha pho", "cao oc van phong",
+    "toa nha van phong", "can ho chung cu", "can ho dich vu", "can ho", "chung cu", "van phong", "khu phuc hop",
 )
 
 

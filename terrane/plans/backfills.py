@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrane.functions.rules import direction_code
+from terrane.functions import collated
+from terrane.functions.rules import direction_code, listing_type
 from terrane.functions.text import coordinates, one_line
 from terrane.operators import backfill, extract, reports, state
 from terrane.plans.registry_type import Query
-from terrane.sources.listings import landed_by_alias, table
+from terrane.sources.listings import landed_by_alias, links_of_xml, table
 
 #: Districts of another source: the same, cut short, a bare number, an old name, or unknown.
 _DISTRICT = """CASE c_custkey % 5 WHEN 0 THEN 'nation_' || c_nationkey WHEN 1 THEN 'tion_' || c_nationkey WHEN 2 THEN CAST(c_nationkey AS {text})
@@ -174,3 +175,60 @@ QUERIES: list[Query] = [
     Query("price_table_rows", _price_table, """SELECT s_suppkey, 0 AS place, 'City ' || s_nationkey AS city, CASE WHEN s_suppkey % 3 > 0 THEN 'Ward ' || s_suppkey END AS ward, s_name AS street, 'from A to B' AS segment, 'Land' AS land_type,
       CAST(s_acctbal AS VARCHAR) AS price_1, NULL AS price_2, '4 & up' AS price_4 FROM supplier UNION ALL SELECT s_suppkey, 1, NULL, NULL, NULL, NULL, NULL, 'd', 'e', 'g' FROM supplier WHERE s_suppkey % 2 = 0"""),
 ]
+
+
+def _sitemaps(spark: SparkSession, d: str) -> DataFrame:
+    """The addresses of the pages as sitemaps of fifty links each, then read back from these."""
+    pages = table(spark, d, "pages").select("page_id", F.replace("url", F.lit("&"), F.lit("&amp;")).alias("url"))
+    link = F.format_string("<url><loc> %s </loc><lastmod>2024-01-%02dT08:00:00+07:00</lastmod></url>", "url", F.col("page_id") % 28 + 1)
+    texts = pages.groupBy(F.expr("page_id div 50").alias("sitemap")).agg(F.array_join(F.array_sort(F.collect_list(link)), "").alias("links"))
+    head = F.lit('<?xml version="1.0" encoding="UTF-8"?><urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">')
+    xml = texts.select("sitemap", F.concat(head, "links", F.lit("</urlset>")).alias("xml"))
+    return links_of_xml(xml, "xml", since="2024-01-15")
+
+
+#: Spellings of four kinds of listings, with and without case and accents, and one that is none of them.
+_SPELT = """CASE {key} % 7 WHEN 0 THEN 'Bán Nhà Phố' WHEN 1 THEN 'BAN NHA PHO' WHEN 2 THEN 'bán nhà phố' WHEN 3 THEN 'Đất nền' WHEN 4 THEN 'DAT NEN' WHEN 5 THEN 'Nhà Đẹp' ELSE 'ban nha pho 2' END"""
+_PLAIN = "replace(lower(strip_accents(x)), 'đ', 'd')"
+
+
+def _collated(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "customer").selectExpr("c_custkey AS id", f"{_SPELT.format(key='c_custkey')} AS x")
+    return rows.select(
+        "id", collated.equals("x", "dat nen").alias("land"), collated.among("x", ["ban nha pho", "nha dep"]).alias("house"),
+        collated.like("x", "%NHÀ_P%").alias("like_house"), collated.like("x", "đ%").alias("like_d"),
+        collated.case_of("x", {"bán nhà phố": 1, "dat nen": 2}, 0).alias("kind"))
+
+
+def _collated_groups(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "orders").selectExpr("o_orderkey AS id", f"{_SPELT.format(key='o_orderkey')} AS x")
+    return collated.counted_by(rows, "x")
+
+
+QUERIES += [
+    Query(
+        "links_of_sitemaps",
+        _sitemaps,
+        """SELECT page_id // 50 AS sitemap, url AS loc, '2024-01-' || lpad(CAST(page_id % 28 + 1 AS VARCHAR), 2, '0') || 'T08:00:00+07:00' AS lastmod FROM pages WHERE page_id % 28 + 1 >= 15""",
+    ),
+    Query(
+        "collated_predicates",
+        _collated,
+        f"""WITH r AS (SELECT c_custkey AS id, {_SPELT.format(key="c_custkey")} AS x FROM customer), p AS (SELECT id, {_PLAIN} AS y FROM r)
+        SELECT id, y = 'dat nen' AS land, y IN ('ban nha pho', 'nha dep') AS house, y LIKE '%nha_p%' AS like_house, y LIKE 'd%' AS like_d, CASE y WHEN 'ban nha pho' THEN 1 WHEN 'dat nen' THEN 2 ELSE 0 END AS kind FROM p""",
+    ),
+    Query(
+        "collated_groups",
+        _collated_groups,
+        f"""WITH r AS (SELECT {_SPELT.format(key="o_orderkey")} AS x FROM orders) SELECT min(x) AS x, count(*) AS n FROM r GROUP BY {_PLAIN}""",
+    ),
+    Query(
+        "listing_types",
+        lambda spark, d: table(spark, d, "customer").selectExpr(
+            "c_custkey AS id", "CASE c_custkey % 6 WHEN 0 THEN ' Bán ' WHEN 1 THEN 'cần bán' WHEN 2 THEN 'Cho Thuê' WHEN 3 THEN 'u' ELSE NULL END AS raw",
+            "CASE WHEN c_custkey % 4 = 0 THEN 'Tháng ' WHEN c_custkey % 4 = 1 THEN 'm2' END AS unit", "c_nationkey % 5 AS cat",
+        ).select("id", listing_type(F.col("raw"), F.col("unit"), F.col("cat")).alias("type")),
+        # "bán" with an accent is none of the words, as in the fixed list.
+        """SELECT c_custkey AS id, CASE WHEN c_custkey % 6 = 1 THEN 's' WHEN c_custkey % 6 IN (2, 3) THEN 'u' WHEN c_custkey % 4 = 0 THEN 'u' WHEN c_nationkey % 5 = 3 THEN 'u' ELSE 's' END AS type FROM customer""",
+    ),
+]

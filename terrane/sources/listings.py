@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,27 +11,74 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def json_feed(spark: SparkSession, path: str, schema: T.StructType, root: str = "data.ads") -> DataFrame:
-    """One row for each item of the array at `root`; each file is one JSON value."""
+def json_feed(spark: SparkSession, path: str, schema: T.StructType, root: str | None = "data.ads") -> DataFrame:
+    """One row for each item of the array at `root`, or of the array that the file is if there is no root; each file is one
+    JSON value."""
+    if root is None:
+        return spark.read.schema(schema).json(path, multiLine=True)
     inner: T.DataType = T.ArrayType(schema)
     for name in reversed(root.split(".")):
         inner = T.StructType([T.StructField(name, inner)])
     return spark.read.schema(inner).json(path, multiLine=True).select(F.explode(root).alias("ad")).select("ad.*")
 
 
+def in_file_order(rows: DataFrame) -> DataFrame:
+    """The rows of a file source with `place`, their number from 0 in the files one after another, in the order of paths.
+
+    Tasks read the files in splits. The rows of each split are counted, the counts of the splits before it are added, and the number of a
+    row in its split, which a task reads in order, does the rest."""
+    lines = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__from"), F.monotonically_increasing_id().alias("__id"))
+    splits = lines.groupBy("__file", "__from").agg(F.count("*").alias("n"), F.min("__id").alias("first"))
+    # One row a split.
+    before = F.sum("n").over(Window.orderBy("__file", "__from").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")
+    splits = splits.select(F.col("__file").alias("__f"), F.col("__from").alias("__b"), (before - F.col("first")).alias("__shift"))
+    joined = lines.join(splits, (F.col("__file") == F.col("__f")) & (F.col("__from") == F.col("__b")))
+    return joined.select(*rows.columns, (F.col("__id") + F.col("__shift")).alias("place"))
+
+
 def ordered_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A TSV with a header and `place`, a number that rises along the file. A byte order mark is no part of a name."""
-    rows = spark.read.csv(path, sep="\t", header=True, schema=schema, encoding="UTF-8")
-    return rows.withColumn("place", F.monotonically_increasing_id())
+    """A TSV with a header in each file, and `place`, the number of its row in all files. A byte order mark is no part of a name."""
+    return in_file_order(spark.read.csv(path, sep="\t", header=True, schema=schema, encoding="UTF-8"))
 
 
 def id_list(spark: SparkSession, path: str) -> DataFrame:
-    """The first integer of each line of a free text, in order, each once; lines without one are passed over."""
-    lines = spark.read.text(path).withColumn("place", F.monotonically_increasing_id())
+    """The first integer of each line of free texts, each once with the `place` of its first line; lines without one are
+    passed over."""
+    lines = in_file_order(spark.read.text(path))
     ids = lines.select(F.regexp_extract("value", r"\d+", 0).try_cast("long").alias("id"), "place").where("id IS NOT NULL")
     return ids.groupBy("id").agg(F.min("place").alias("place"))
 
 
+_LINK = "loc string, lastmod string"
+
+
+def sitemap_index(spark: SparkSession, path: str) -> DataFrame:
+    """(loc, lastmod) of the child sitemaps that an index lists, each once."""
+    return spark.read.schema(_LINK).xml(path, rowTag="sitemap").where("trim(loc) <> ''").select(F.trim("loc").alias("loc"), F.trim("lastmod").alias("lastmod")).distinct()
+
+
+def sitemap_links(spark: SparkSession, index: str, children: str, named: str | None = None, since: str | None = None) -> DataFrame:
+    """(sitemap, loc, lastmod) of the links in the child sitemaps of an index. `children`: where the files lie, each under the
+    name that ends its address; `named`: a pattern that this name must match, such as a date of a batch; `since`: the
+    least day of change, links without one left out."""
+    known = sitemap_index(spark, index).select(F.substring_index("loc", "/", -1).alias("sitemap")).distinct()
+    known = known.where(F.col("sitemap").rlike(named)) if named else known
+    links = spark.read.schema(_LINK).xml(children, rowTag="url").select("loc", "lastmod", F.substring_index(F.col("_metadata.file_path"), "/", -1).alias("sitemap"))
+    return _changed(links.join(known, "sitemap", "left_semi").select("sitemap", "loc", "lastmod"), since)
+
+
+def links_of_xml(df: DataFrame, xml: str, since: str | None = None) -> DataFrame:
+    """The other columns of `df` with loc and lastmod of each link of the sitemap in the text `xml`; a text that is no sitemap has none."""
+    parsed = df.withColumn("__set", F.from_xml(xml, f"struct<url:array<struct<{_LINK.replace(' ', ':')}>>>".replace(",:", ",")))
+    rows = parsed.select(*[c for c in df.columns if c != xml], F.explode("__set.url").alias("__link"))
+    return _changed(rows.select(*[c for c in df.columns if c != xml], "__link.loc", "__link.lastmod"), since)
+
+
+def _changed(links: DataFrame, since: str | None) -> DataFrame:
+    links = links.where("trim(loc) <> ''").withColumns({"loc": F.trim("loc"), "lastmod": F.trim("lastmod")})
+    return links.where(F.substring("lastmod", 1, 10).try_cast("date") >= F.lit(since).cast("date")) if since else links
+
+
 def jdbc_table(spark: SparkSession, url: str, name: str, key: str, low: int, high: int, parts: int, **options: str) -> DataFrame:
     """A table of a database, read in `parts` ranges of a numeric key."""
     return spark.read.jdbc(url, name, column=key, lowerBound=low, upperBound=high, numPartitions=parts, properties=options)
