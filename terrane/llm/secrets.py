@@ -18,7 +18,8 @@ count as such; one run more than is seen is taken for random, so that a few runs
 are counted in steps of a tenth of a decade, so this needs one small table of counts and no global sort.
 
 Results: a null or empty text has no spans. Spans are in code points, ends exclusive, ordered by start, then kind.
-Rows are independent, so repeated rows give equal results; an empty table gives an empty one.
+Equal rows give equal results. Which runs are reported as random depends on the whole table, as false findings are controlled
+over all of its runs: the same run can be reported in one table and not in another. An empty table gives an empty one.
 """
 
 from __future__ import annotations

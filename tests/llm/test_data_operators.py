@@ -48,6 +48,32 @@ def test_shuffle_over_many_buckets(spark):
     assert shuffle.shuffled(df.limit(0), 3).count() == 0
 
 
+@pytest.mark.parametrize("tasks", [50_000, 3])
+def test_shuffle_is_two_plain_passes(spark, monkeypatch, tasks):
+    """Buckets by hash, each in the order of its rows and then by Fisher-Yates, one after another; heavy equal rows by number."""
+    monkeypatch.setattr(shuffle, "MOST_TASKS", tasks)
+    rows = [(i % 60, "t" * (i % 9), i // 120) for i in range(240)] + [(7, "same", 1)] * 150 + [(7, "same", 2)] * 50 + [(None, None, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string, v int")
+    hashed = {}
+    for r in df.distinct().select("*", F.xxhash64("doc_id", "text", "v").alias("h")).collect():
+        hashed[r["doc_id"], r["text"], r["v"]] = r["h"]
+    total = sum(len(t or "") + 1 for _, t, _ in rows)
+    buckets = -(-total // 200)
+    heavy = {r for r, n in Counter(rows).items() if n * (len(r[1] or "") + 1) > 100}
+    keys = spark.createDataFrame([(hashed[r], None if r not in heavy else i) for r, n in Counter(rows).items() for i in range(n)], "h long, i long")
+    keyed = keys.select("h", F.pmod(F.when(F.col("i").isNull(), F.xxhash64(F.lit(17), "h")).otherwise(F.xxhash64(F.lit(17), "h", "i")), F.lit(buckets)).alias("b"))
+    homes = {(h, b): n for h, b, n in [tuple(r) for r in keyed.groupBy("h", "b").count().collect()]}
+    plain, of = [], {h: r for r, h in hashed.items()}
+    for b in range(buckets):
+        own = sorted(h for (h, c), n in homes.items() if c == b for _ in range(n))
+        plain += [of[own[i]] for i in shuffle.fisher_yates(len(own), [17, b])]
+    for parts in (1, 5):
+        out = shuffle.shuffled(df.repartition(parts), 4, bucket_bytes=200).collect()
+        got = {(r["shard"], r["slot"]): (r["doc_id"], r["text"], r["v"]) for r in out}
+        assert got == {(i % 4, i // 4): r for i, r in enumerate(plain)}
+    assert heavy
+
+
 def test_shuffle_order_ignores_partitions(spark):
     import datetime
     import decimal
