@@ -4,8 +4,8 @@ Each stage takes (spark, docs, sf_dir), works on all rows that the stage before
 `documents`; the last gives token ids. `run` writes each stage's result as Parquet in the shared folder and reads it
 back for the next, so a lost executor costs one stage at most.
 
-In every stage repeated rows are rows of their own, an empty table gives an empty one, and columns beyond those of
-`documents` go along with their names and values, whatever the names are.
+In every stage repeated rows are rows of their own and an empty table gives an empty one. In all but the last, columns beyond
+those of `documents` go along with their names and values, whatever the names are; the last gives an id, a count and the tokens.
 """
 
 from __future__ import annotations
