@@ -109,3 +109,23 @@ def test_proposals_take_the_best_ratio(spark):
             r, t = max(found)
             want[i] = (-t, round(r, 9))
     assert got == want and want
+
+
+def test_review_is_the_best_of_all_pairs(spark):
+    src, dst = tables(9)
+    low, high, k = 0.85, 0.91, 3
+    s = resolve.named(spark.createDataFrame(src, "id long, name string, region string"))
+    d = resolve.named(spark.createDataFrame(dst, "id long, name string, region string, other string"), variants=("other",))
+    got = {}
+    for r in resolve.review(s, d, low, high, k).collect():
+        got.setdefault((r["s_norm"], r["s_region"]), {})[r["place"]] = (round(r["score"], 9), r["d_norm"], tuple(r["d_variants"]), r["d_region"])
+    want = {}
+    for _, a, x in src:
+        for _, b, y, other in dst:
+            if low <= (score := plain_score(a, x, b, y, other)) < high:
+                want.setdefault((norm(a), x), set()).add((round(score, 9), norm(b), tuple(dict.fromkeys(v for v in (norm(b), norm(other)) if v)), y))
+    assert got.keys() == want.keys() and len(want) > 10
+    for key, rows in want.items():
+        best = sorted((r[0] for r in rows), reverse=True)[:k]
+        assert [got[key][i][0] for i in range(1, len(best) + 1)] == best and len(got[key]) == len(best)
+        assert set(got[key].values()) <= rows
