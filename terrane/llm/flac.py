@@ -1,7 +1,8 @@
 """Media columns: FLAC streams of 8-bit mono samples, written and read with numpy over many frames at once.
 
 `encoded` stores the bytes of a binary column as samples (byte - 128) in frames of 576. Each frame takes the cheapest of a
-constant, verbatim samples, and the fixed predictors of order 0 to 4 with Rice-coded residuals. A seek table has the
+constant, verbatim samples, the best fixed predictor of order 0 to 4, and a linear predictor of its own, both with
+Rice-coded residuals. A seek table has the
 byte offset of every frame. `decoded` parses the streams, decodes all frames that the seek tables name in step (one
 sample of each frame at a time, residuals and predictors alike), goes on from a frame's end where no seek point
 stands, verifies the header's CRC-8, the frame's CRC-16, the sample count and the MD5 of the samples, and writes PCM
@@ -33,6 +34,8 @@ BLOCK_FRAMES = 64
 MOST_POINTS = ((1 << 24) - 1) // 18
 #: Bytes of samples or streams that are worked on together.
 BATCH_BYTES = 2 << 20
+#: Order of the encoder's linear predictors, and bits of a coefficient.
+ORDER, COEF_BITS = 6, 9
 #: Fixed values of the format: the fixed predictors, and block sizes by code.
 FIXED = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
 SEEK_POINT = [("s", ">u8"), ("o", ">u8"), ("n", ">u2")]
@@ -85,16 +88,54 @@ def _header(number: int, size: int) -> bytes:
     return raw + bytes([crc])
 
 
-def _residuals(x: np.ndarray, coefs: tuple[int, ...], shift: int = 0) -> np.ndarray:
+def _residuals(x: np.ndarray, coefs, shift=0) -> np.ndarray:
+    """What the predictor leaves of each row after its first samples; coefficients and shifts are numbers or columns."""
     guess = np.zeros_like(x[:, len(coefs) :])
     for j, c in enumerate(coefs):
         guess += c * x[:, len(coefs) - 1 - j : x.shape[1] - 1 - j]
     return x[:, len(coefs) :] - (guess >> shift)
 
 
+def _predictors(x: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """A linear predictor for each row (none all zeros): whole coefficients (order x rows) and their shifts.
+
+    Levinson and Durbin's recursion on autocorrelations, which are whole numbers below 2**24 and so exact in any order of
+    adding; the recursion works on single elements. So equal frames get equal predictors everywhere.
+    """
+    w = x.astype(np.float32)
+    r = [np.einsum("ij,ij->i", w[:, lag:], w[:, : w.shape[1] - lag]).astype(np.float64) for lag in range(order + 1)]
+    a: list[np.ndarray] = []
+    left = r[0]
+    for i in range(order):
+        k = r[i + 1].copy()
+        for j in range(i):
+            k -= a[j] * r[i - j]
+        k = np.clip(k / np.maximum(left, 1e-6), -1, 1)
+        a = [a[j] - k * a[i - 1 - j] for j in range(i)] + [k]
+        left = left * (1 - k * k)
+    found = np.array(a)
+    shift = np.clip(COEF_BITS - 1 - np.frexp(np.abs(found).max(axis=0))[1], 0, COEF_BITS).astype(np.int32)
+    most = (1 << (COEF_BITS - 1)) - 1
+    return np.clip(np.rint(np.ldexp(found, shift)), -most, most).astype(np.int32), shift
+
+
+def _rice(r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Residuals folded to whole numbers from 0, and for each row the Rice parameter of the least bits, and these bits."""
+    u = (r << 1) ^ (r >> 31)
+    if not len(u):
+        return u, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    guess = np.log2(np.maximum(1, u.mean(axis=1))).astype(np.int64)
+    best, least = guess, np.full(len(u), 1 << 30)
+    for step in (-1, 0, 1):
+        k = np.clip(guess + step, 0, 14)
+        bits = (u >> k[:, None]).sum(axis=1) + u.shape[1] * (1 + k)
+        best, least = np.where(bits < least, k, best), np.minimum(bits, least)
+    return u, best, least
+
+
 def encode_many(payloads: list[bytes], linear: tuple[tuple[int, ...], int] | None = None, seek_every: int = 1) -> list[bytes]:
-    """A FLAC stream of each payload. `linear` (coefficients, shift): that predictor for all whole frames instead of
-    the fixed ones; `seek_every`: frames for each seek point (0: no seek table), more where the table could not hold all."""
+    """A FLAC stream of each payload. `linear` (coefficients, shift): that predictor for all whole frames
+    instead of the cheapest; `seek_every`: frames for each seek point (0: no seek table), more where the table could not hold all."""
     whole = [len(p) // BLOCK for p in payloads]
     x = np.frombuffer(b"".join(p[: n * BLOCK] for p, n in zip(payloads, whole)), dtype=np.uint8).reshape(-1, BLOCK).astype(np.int32) - 128
     numbers = [i for n in whole for i in range(n)]
@@ -129,31 +170,36 @@ def _encode_frames(x: np.ndarray, numbers: list[int], linear: tuple[tuple[int, .
     n = len(x)
     heads = [_header(i, BLOCK) for i in numbers]
     head = np.array([len(h) for h in heads])
-    if linear:
-        order = np.full(n, len(linear[0]))
-        found = {len(linear[0]): _residuals(x, *linear)}
-    else:
-        # The order of the least mean magnitude, then the parameter of the least bits.
-        found = {o: _residuals(x, c) for o, c in enumerate(FIXED)}
-        order = np.argmin([np.abs(r).mean(axis=1) for r in found.values()], axis=0)
     constant = (x == x[:, :1]).all(axis=1)
-    rice, cost = np.zeros(n, dtype=np.int64), np.full(n, 1 << 30)
-    codes: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    side = (4 + 5 + 9 * len(linear[0])) if linear else 0
-    for o, r in found.items():
-        rows = np.flatnonzero((order == o) & ~constant)
-        u = r[rows]
-        u = (u << 1) ^ (u >> 31)
-        codes[o] = rows, u
-        guess = np.log2(np.maximum(1, u.mean(axis=1))).astype(np.int64) if len(rows) else np.zeros(0, np.int64)
-        best, least = guess, np.full(len(rows), 1 << 30)
-        for step in (-1, 0, 1):
-            k = np.clip(guess + step, 0, 14)
-            bits = (u >> k[:, None]).sum(axis=1) + u.shape[1] * (1 + k)
-            best, least = np.where(bits < least, k, best), np.minimum(bits, least)
-        rice[rows], cost[rows] = best, least + 8 * o + 10 + side
-    verbatim = ~constant & (cost >= 8 * BLOCK) & (linear is None)
-    body = np.where(constant, 8, np.where(verbatim, 8 * BLOCK, cost))
+    kind = np.where(constant, 0, 1)
+    body = np.where(constant, 8, 8 * BLOCK if linear is None else 1 << 30)
+    rice = np.zeros(n, dtype=np.int64)
+    codes: list[tuple[int, np.ndarray, np.ndarray, np.ndarray | None, np.ndarray | None]] = []
+
+    def offer(rows: np.ndarray, r: np.ndarray, code: int, order: int, coefs: np.ndarray | None = None, shift: np.ndarray | None = None) -> None:
+        """Take this predictor for the rows where it needs fewer bits than what they have."""
+        u, k, bits = _rice(r)
+        bits += 8 * order + 10 + (0 if coefs is None else 9 + COEF_BITS * order)
+        less = bits < body[rows]
+        own = rows[less]
+        kind[own], body[own], rice[own] = code, bits[less], k[less]
+        codes.append((code, own, u[less], None if coefs is None else coefs[:, less], None if shift is None else shift[less]))
+
+    if linear is None:
+        # The order of the least mean magnitude, then the parameter of the least bits.
+        found = [_residuals(x, c) for c in FIXED]
+        order = np.argmin([np.abs(r).mean(axis=1) for r in found], axis=0)
+        for o, r in enumerate(found):
+            rows = np.flatnonzero((order == o) & ~constant)
+            offer(rows, r[rows], 8 + o, o)
+        del found
+    rows = np.flatnonzero(~constant)
+    if len(rows):
+        if linear is None:
+            coefs, shift = _predictors(x[rows], ORDER)
+        else:
+            coefs, shift = np.repeat(np.array(linear[0], np.int32)[:, None], len(rows), axis=1), np.full(len(rows), linear[1], np.int32)
+        offer(rows, _residuals(x[rows], coefs[:, :, None], shift[:, None]), 31 + len(coefs), len(coefs), coefs, shift)
     size = head + 1 + -(-body // 8) + 2
     ends = np.cumsum(size)
     starts = ends - size
@@ -161,18 +207,18 @@ def _encode_frames(x: np.ndarray, numbers: list[int], linear: tuple[tuple[int, .
     at = np.repeat(starts, head) + (np.arange(int(head.sum())) - np.repeat(np.cumsum(head) - head, head))
     out[at] = np.frombuffer(b"".join(heads), dtype=np.uint8)
     sub = starts + head
-    kind = np.where(constant, 0, np.where(verbatim, 1, 31 + order if linear else 8 + order))
     out[sub] = kind << 1
     rows = np.flatnonzero(constant)
     out[sub[rows] + 1] = x[rows, 0] & 255
-    rows = np.flatnonzero(verbatim)
+    rows = np.flatnonzero(kind == 1)
     out[(sub[rows] + 1)[:, None] + np.arange(BLOCK)] = x[rows] & 255
     bits = np.zeros(len(out) * 8, dtype=np.uint8)
-    for o, (rows, u) in codes.items():
-        keep = ~verbatim[rows]
+    for code, rows, u, coefs, shift in codes:
+        keep = kind[rows] == code  # the others have got a better one since
         rows, u = rows[keep], u[keep]
         if not len(rows):
             continue
+        o = code - 8 if coefs is None else len(coefs)
         for j in range(o):
             out[sub[rows] + 1 + j] = x[rows, j] & 255
         p = (sub[rows] + 1 + o) * 8
@@ -182,11 +228,10 @@ def _encode_frames(x: np.ndarray, numbers: list[int], linear: tuple[tuple[int, .
                 bits[p + j] = value >> (width - 1 - j) & 1
             return p + width
 
-        if linear:
-            p = put(p, 8, 4)  # coefficients of nine bits
-            p = put(p, linear[1], 5)
-            for c in linear[0]:
-                p = put(p, c & 511, 9)
+        if coefs is not None:
+            p = put(put(p, COEF_BITS - 1, 4), shift[keep], 5)
+            for c in coefs[:, keep]:
+                p = put(p, c, COEF_BITS)
         k = rice[rows]
         p = put(put(p, 0, 6), k, 4)
         for each in np.unique(k).tolist():

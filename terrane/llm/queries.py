@@ -71,7 +71,7 @@ def op6_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    manifest = tokenfile.write_files(docs, public_tokenizers.path("byte_bpe_50k.json"), vocabulary=50_257)
+    manifest = tokenfile.write_files(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return tokenfile.read_files(manifest)
 
 

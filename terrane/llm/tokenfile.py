@@ -42,6 +42,8 @@ LEXICON_ENTRIES = 1_300_000
 #: Chunks that the library encodes at a time.
 JOINT = 200
 READ_BLOCKS = 16
+#: Characters of a text that take part in the bounds of ranges (speed only: within a range whole texts are ordered).
+RANGE_CHARS = 32
 
 
 def bits_for(vocabulary: int) -> int:
@@ -186,15 +188,23 @@ def lexicon(path: str) -> Lexicon:
     return Lexicon(ids_of, LEXICON_ENTRIES)
 
 
-def write_files(df: DataFrame, path: str, vocabulary: int, folder: str | None = None, end_id: int | None = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def vocabulary_of(path: str) -> int:
+    """One more than the largest id of a tokenizers file."""
+    with open(path, encoding="utf-8") as f:
+        described = json.load(f)
+    return 1 + max([*described["model"]["vocab"].values(), *(t["id"] for t in described.get("added_tokens") or [])])
+
+
+def write_files(df: DataFrame, path: str, vocabulary: int | None = None, folder: str | None = None, end_id: int | None = 0, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Encode the whole texts by the tokenizers file `path` and write them as packed id files in `folder`.
 
     Gives the manifest, one row a file in doc_id order: file, part, n_docs, n_tokens. `folder` has to be shared by
-    all executors; by default it is a new one in the shared folder. Documents are dealt by ranges of doc_id, whose
-    bounds Spark samples, so no key order passes through one task.
+    all executors; by default it is a new one in the shared folder. `vocabulary` (by default the file's own) sets the bits.
+    Documents are dealt by ranges of doc_id, whose bounds Spark samples, so no key order passes through one task; those of
+    one doc_id, or of none, are dealt by how their texts begin.
     """
     folder = folder or new_path(df.sparkSession, "tokens")
-    bits = bits_for(vocabulary)
+    bits = bits_for(vocabulary_of(path) if vocabulary is None else vocabulary)
     end = np.array([] if end_id is None else [end_id], dtype="<u4")
 
     def run(batches):
@@ -217,7 +227,7 @@ def write_files(df: DataFrame, path: str, vocabulary: int, folder: str | None =
             fs.move(passing, name)
             yield pa.RecordBatch.from_pydict({"file": [f"part-{part:06d}.ids"], "part": pa.array([part], pa.int32()), "n_docs": [len(writer.doc_ids)], "n_tokens": [writer.first[-1]]})
 
-    ranged = df.select(doc_id, text).repartitionByRange(doc_id).sortWithinPartitions(doc_id, text)
+    ranged = df.select(doc_id, text).repartitionByRange(F.col(doc_id), F.left(F.col(text), F.lit(RANGE_CHARS))).sortWithinPartitions(doc_id, text)
     manifest = saved(ranged.mapInArrow(run, "file string, part int, n_docs long, n_tokens long"), "manifest")
     return manifest.withColumn("folder", F.lit(folder))
 

@@ -170,3 +170,24 @@ def test_file_edges(spark):
     got = sorted((r["start"], r["doc_id"], r["n_tokens"]) for r in tokenfile.read_files(tokenfile.write_files(df, JSON, 50257)).collect())
     assert got == [(0, None, 2), (2, 1, 1), (3, 3, 1), (4, 3, 2)]
     assert tokenfile.read_files(tokenfile.write_files(df.limit(0), JSON, 50257)).count() == 0
+
+
+def test_documents_without_ids_are_many_ranges(spark):
+    texts = [f"{i:04d} some words" for i in range(3000)]
+    df = spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string").repartition(8)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = tokenfile.write_files(df, JSON)
+        assert manifest.count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    tokenizer = Tokenizer.from_file(JSON)
+    got = [(r["n_tokens"], r["ids_crc32"]) for r in tokenfile.read_files(manifest).orderBy("start").collect()]
+    for t, (n, crc) in zip(texts, got, strict=True):
+        ids = [*tokenizer.encode(t, add_special_tokens=False).ids, 0]
+        assert (n, crc) == (len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+
+
+def test_vocabulary_of_the_file():
+    assert tokenfile.vocabulary_of(JSON) == 50257
