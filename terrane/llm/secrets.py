@@ -59,23 +59,43 @@ STEPS_A_DECADE, MOST_STEPS, SURE_STEPS = 10, 3000, 7
 
 
 SPAN = "array<struct<start:int,stop:int,text:string>>"
+#: Matches of one run (speed only).
+SPAN_RUN = 128
+
+
+def _once(value: Column, use) -> Column:
+    """use(value), with `value` computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _found(text: str, pattern: str) -> Column:
     """Array of (start, stop, text) of the pattern's matches from the left.
 
-    `split` gives what stands between the matches, so both arrays together give the places.
+    `split` gives what stands between the matches, so both arrays together give the places. `aggregate` copies what it
+    gathers at each step, so places are counted in runs of SPAN_RUN matches first and moved by the ends of the runs before.
     """
     matches = F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(matches.alias("m"), F.split(F.col(text), pattern, -1).alias("g"))
+    # The last piece of text has no match after it and comes without a pair.
+    pairs = F.arrays_zip(matches.alias("m"), F.slice(F.split(F.col(text), pattern, -1), 1, F.regexp_count(F.col(text), F.lit(pattern))).alias("g"))
     none = F.array().cast(SPAN)
 
-    def add(acc: Column, x: Column) -> Column:
-        start = F.coalesce(F.get(acc, F.size(acc) - 1)["stop"], F.lit(0)) + F.char_length(x["g"])
+    def add(run: Column, x: Column) -> Column:
+        start = F.coalesce(F.get(run, F.size(run) - 1)["stop"], F.lit(0)) + F.char_length(x["g"])
         one = F.struct(start.alias("start"), (start + F.char_length(x["m"])).alias("stop"), x["m"].alias("text"))
-        return F.when(x["m"].isNull(), acc).otherwise(F.concat(acc, F.array(one)))
+        return F.concat(run, F.array(one))
+
+    def runs(p: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(p), F.lit(SPAN_RUN)), lambda i: F.aggregate(F.slice(p, i, SPAN_RUN), none, add))
+
+    def ends(r: Column) -> Column:
+        """Where each run begins; one place more than there are runs."""
+        return F.aggregate(r, F.array(F.lit(0)), lambda acc, run: F.concat(acc, F.array(F.get(acc, F.size(acc) - 1) + F.get(run, F.size(run) - 1)["stop"])))
+
+    def moved(run: Column, by: Column) -> Column:
+        return F.transform(F.coalesce(run, none), lambda x: F.struct((x["start"] + by).alias("start"), (x["stop"] + by).alias("stop"), x["text"].alias("text")))
 
-    return F.when(F.col(text).rlike(pattern), F.aggregate(pairs, none, add)).otherwise(none)
+    whole = _once(pairs, lambda p: _once(runs(p), lambda r: F.flatten(F.zip_with(r, ends(r), moved))))
+    return F.when(F.col(text).rlike(pattern), whole).otherwise(none)
 
 
 def _case(what: str, results: list[tuple[str, str]]) -> str:
