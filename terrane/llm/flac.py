@@ -2,7 +2,7 @@
 
 `encoded` stores the bytes of a binary column as samples (byte - 128) in frames of 576. Each frame takes the cheapest of a
 constant, verbatim samples, the best fixed predictor of order 0 to 4, and a linear predictor of its own, both with
-Rice-coded residuals. A seek table has the
+Rice-coded residuals; verbatim samples also stay where a predictor would save less than a twentieth of them. A seek table has the
 byte offset of every frame. `decoded` parses the streams, decodes all frames that the seek tables name in step (one
 sample of each frame at a time, residuals and predictors alike), goes on from a frame's end where no seek point
 stands, verifies the header's CRC-8, the frame's CRC-16, the sample count and the MD5 of the samples, and writes PCM
@@ -36,6 +36,9 @@ MOST_POINTS = ((1 << 24) - 1) // 18
 BATCH_BYTES = 2 << 20
 #: Order of the encoder's linear predictors, and bits of a coefficient.
 ORDER, COEF_BITS = 6, 9
+#: A predictor must save this part of what verbatim samples take: a table that holds the streams compresses text kept
+#: verbatim once more, but hardly Rice codes.
+LEAST_SAVED = 1 / 20
 #: Fixed values of the format: the fixed predictors, and block sizes by code.
 FIXED = ((), (1,), (2, -1), (3, -3, 1), (4, -6, 4, -1))
 SEEK_POINT = [("s", ">u8"), ("o", ">u8"), ("n", ">u2")]
@@ -180,7 +183,7 @@ def _encode_frames(x: np.ndarray, numbers: list[int], linear: tuple[tuple[int, .
         """Take this predictor for the rows where it needs fewer bits than what they have."""
         u, k, bits = _rice(r)
         bits += 8 * order + 10 + (0 if coefs is None else 9 + COEF_BITS * order)
-        less = bits < body[rows]
+        less = bits < np.where(kind[rows] == 1, body[rows] * (1 - LEAST_SAVED), body[rows])
         own = rows[less]
         kind[own], body[own], rice[own] = code, bits[less], k[less]
         codes.append((code, own, u[less], None if coefs is None else coefs[:, less], None if shift is None else shift[less]))
