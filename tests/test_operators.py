@@ -6,11 +6,14 @@ import random
 import statistics
 import tempfile
 
+import duckdb
 import pytest
+from oracle import same
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrane.operators import extract, liquidity, resolve, state, stats
+from terrane.plans import registry
 from terrane.sources import listings
 from terrane.streaming import incremental
 
@@ -98,6 +101,16 @@ def test_extraction(spark):
     assert two == (None,) * 7 and three[4] == "unclosed"
 
 
+def test_page_fields_with_references_without_semicolon(spark, tmp_path):
+    titles = ["a &amp; b&amp", "x&lt y", "&amp;lt;&amplt;", "&AMP;&quot", "&am"]
+    page = lambda h: f'<html lang="en"><body><nav><li><a href="/x">x</a></li></nav><div class="ad">{h}</div><article><h1>{h}</h1></article></body></html>'
+    spark.createDataFrame([(i, page(h)) for i, h in enumerate(titles)], "page_id long, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    same(registry.queries()["page_fields"](spark, str(tmp_path)), registry.oracle_sql()["page_fields"], con)
+
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "feed.json").write_text(json.dumps({"data": {"ads": [{"id": 1, "t": "a"}, {"id": 2, "t": None}]}}))
     feed = listings.json_feed(spark, str(tmp_path / "feed.json"), T.StructType.fromDDL("id long, t string"))
