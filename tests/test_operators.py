@@ -12,6 +12,7 @@ from oracle import same
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrane.functions import parse
 from terrane.operators import extract, liquidity, resolve, state, stats
 from terrane.plans import registry
 from terrane.sources import listings
@@ -197,3 +198,70 @@ def test_reposts_of_rows_without_keys(spark):
     assert "Window" not in got._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join LeftOuter" in line]
     assert len(joins) == 2 and all("__spread" in line for line in joins)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _exchanges(df):
+    """Shuffles of the plan as it is before it runs."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("copies", [None, "n"])
+def test_small_groups_in_one_shuffle(spark, copies):
+    rng = random.Random(7)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(40), rng.choice([None, *range(1, 9)]), rng.randrange(1, 4)) for _ in range(900)]
+    df = spark.createDataFrame(rows, "g string, h int, v long, n long")
+    small = stats.small_stats(df.repartition("g", "h"), ["g", "h"], "v", copies)
+    assert _exchanges(small) == 1
+    other = stats.trimmed_stats(df, ["g", "h"], "v", copies)
+    key = lambda r: (str(r["g"]), r["h"])
+    got, want = [sorted(x.select(*sorted(other.columns)).collect(), key=key) for x in (small, other)]
+    assert len(got) == len(want) > 60 and all(a == b or math.isclose(a, b, abs_tol=1e-12) for x, y in zip(got, want) for a, b in zip(x, y))
+
+
+def test_growth_reads_the_statistics_once(spark):
+    rows = [(1, "2023-12", 50.0, 9), (1, "2024-01", 100.0, 9), (1, "2024-02", 110.0, 9), (1, "2024-04", 90.0, 9), (1, "2024-05", 99.0, 2), (1, "2025-01", 150.0, 9), (1, None, 7.0, 9), (None, "2024-01", 1.0, 9), (None, "2024-02", 2.0, 9)]
+    out = stats.growth(spark.createDataFrame(rows, "k int, month string, median double, total_rows long"), ["k"], least=5)
+    got = {(r["k"], r["month"]): (r["mom"], r["yoy"]) for r in out.collect()}
+    assert got == {(1, "2023-12"): (None, None), (1, "2024-01"): (100.0, None), (1, "2024-02"): (10.0, None), (1, "2024-04"): (None, None), (1, "2024-05"): (None, None), (1, "2025-01"): (None, 50.0), (1, None): (None, None), (None, "2024-01"): (None, None), (None, "2024-02"): (None, None)}
+    assert "Join" not in _plan(out)
+
+
+def test_index_deals_periods_after_the_shuffle(spark):
+    rows = [(1, 2, 3, True, m, g, p, None) for m in ("2024-01", "2024-02") for g in (1, None) for p in (5, 7, 9)]
+    df = spark.createDataFrame(rows, "province int, ward int, street int, street_source boolean, month string, grp int, price long, land_price long")
+    stored = spark.createDataFrame([("ward", "2024-01", 1, 2, None, 1, 4.0), ("ward", "2030-01", 1, 2, None, 1, 4.0)], "scope string, period_value string, province int, ward int, street int, grp int, stored double")
+    out = liquidity.index(df, stored)
+    # The counts of wards and regions, the rows of each place, and the cohorts.
+    assert _exchanges(out) == 3
+    got = {(r["scope"], r["period_value"]): (r["raw_rows"], r["median"], r["median_source"]) for r in out.collect()}
+    want = {(s, v): (n, 7.0, "computed") for s in ("ward", "region", "street") for v, n in (("2024-01", 3), ("2024-02", 3), ("2024-Q1", 6), ("2024", 6))}
+    assert got == want | {("ward", "2024-01"): (3, 4.0, "stored")}
+    assert "Join" not in _plan(out)
+
+
+def test_all_scopes_deal_small_groups_once(spark):
+    rows = [(1, 2, 3, 4, 1, "2024-01", True, 5, 4), (1, 2, 3, 4, None, "2024-01", False, 7, None)]
+    out = stats.all_scopes(spark.createDataFrame(rows, "province int, ward int, street int, project int, grp int, month string, street_source boolean, price long, land_price long"))
+    # The counts of the large groups, and the rows of each group to its task.
+    assert _exchanges(out) == 2
+    got = {(r["scope"], r["grp"]): (r["median"], r["total_rows"]) for r in out.collect()}
+    assert got == {(s, g): v for s in ("ward", "region", "project", "street") for g, v in ((1, (5.0, 1)), (5, (4.0, 1)))} | {("region_total", 0): (6.0, 2), ("region_total", 5): (4.0, 1)}
+
+
+def test_filters_do_not_parse_twice(spark):
+    for name in ("clean_backlog", "clean_rejected"):
+        plan = _plan(registry.queries()[name](spark, "/root/testdata/sf0.001"))
+        assert not [line for line in plan.splitlines() if "Filter" in line and "regexp_extract" in line]
+
+
+def test_any_date_by_its_signs(spark):
+    texts = ["2024-01-31 10:11:12", "2024-01-31", "31/01/2024", "31-01-2024", "2024-01-31T10:11:12.5", " 2024-01-31 ", "31-1-2024", "1706659200", "2024/01/31", "-", "", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, x string").select("i", F.date_format(parse.any_date(F.col("x")), "yyyy-MM-dd HH:mm:ss").alias("y"))
+    got = [r["y"] for r in df.orderBy("i").collect()]
+    day, clock = "2024-01-31 00:00:00", "2024-01-31 10:11:12"
+    assert got == [clock, day, day, day, clock, day, *[None] * 6]
+    assert "CASE" in _plan(df)
