@@ -33,7 +33,7 @@ def _rows(df):
     return sorted(tuple(str(r[c]) for c in cols) for r in df.collect())
 
 
-@pytest.mark.parametrize("name", ["liquidity_index", "liquidity_index_stored_medians"])
+@pytest.mark.parametrize("name", ["liquidity_index", "liquidity_index_stored_medians", "median_all_scopes"])
 def test_lines_are_read_once(spark, name):
     df = entry.queries()[name](spark, SMALL)
     assert "l_orderkey" not in _plan(df)
@@ -70,6 +70,23 @@ def test_too_few_rows_are_not_sent_to_cohorts(spark, tmp_path):
 
 def test_scope_of_counts(spark):
     df = _facts(spark)
-    counted = liquidity.counts(df).where("NOT land").withColumnRenamed("value", "price")
+    counted = liquidity.counts(df)
     for scope in stats.SCOPES[:2]:
         assert _rows(stats.scope_stats(counted, scope, copies="copies")) == _rows(stats.scope_stats(df, scope))
+
+
+def test_values_are_counted_together(spark):
+    rows = [(1, 2, 0, 0, 1, "2024-01", True, 5, 4)] * 3 + [(1, 2, 0, 0, 1, "2024-01", True, 5, 0), (1, 2, 0, 0, 1, "2024-01", True, -5, None), (1, 2, 0, 0, 1, "2024-01", True, None, 4)]
+    counted = stats.value_counts(spark.createDataFrame(rows, FACTS), ["province", "ward"])
+    got = sorted((r["price"] or 0, r["land_price"] or 0, r["copies"]) for r in counted.collect())
+    assert got == [(0, 4, 1), (5, 0, 1), (5, 4, 3)]
+
+
+def test_all_scopes_are_the_scopes(spark):
+    df = _facts(spark)
+    out = stats.all_scopes(df)
+    # Rows become two, and hashes of places are made, where a place's rows are together.
+    above, below = _plan(out).split("RepartitionByExpression")
+    assert "xxhash64" in above and "xxhash64" not in below and "explode" in above
+    want = [r for land in (False, True) for scope in stats.SCOPES for r in _rows(stats.scope_stats(df, scope, land))]
+    assert _rows(out) == sorted(want) and len(want) > 300
