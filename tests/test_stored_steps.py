@@ -1,14 +1,18 @@
 """Queries whose steps are tables: what is read several times is made once, and rows are sent no wider than needed."""
 
 import random
+import time
+from pathlib import Path
 
 import pytest
 from conftest import SMALL
 from oracle import connection, same
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from terrane.operators import liquidity, stats
 from terrane.plans.facts import facts
+from terrane.sources import stored
 
 FACTS = "province int, ward int, street int, project int, grp int, month string, street_source boolean, price long, land_price long"
 
@@ -57,13 +61,13 @@ def test_a_street_row_carries_both_prices(spark):
 
 def test_too_few_rows_are_not_sent_to_cohorts(spark, tmp_path):
     df = _facts(spark)
-    stored = spark.createDataFrame([("ward", "2024-01", 1, 2, None, 1, 4.0), ("ward", "2030-01", 1, 2, None, 1, 4.0), ("ward", None, 1, 3, None, 5, 9.0)], "scope string, period_value string, province int, ward int, street int, grp int, stored double")
-    liquidity.measures(df, stored, liquidity.counts(df)).write.parquet(str(tmp_path / "m"))
+    given = spark.createDataFrame([("ward", "2024-01", 1, 2, None, 1, 4.0), ("ward", "2030-01", 1, 2, None, 1, 4.0), ("ward", None, 1, 3, None, 5, 9.0)], "scope string, period_value string, province int, ward int, street int, grp int, stored double")
+    liquidity.measures(df, given, liquidity.counts(df)).write.parquet(str(tmp_path / "m"))
     table = spark.read.parquet(str(tmp_path / "m"))
     out = liquidity.ranked(table, table=True)
     # Both sides are read by whether they have enough rows.
     assert sum("Filter" in line and ">= 10" in line for line in _plan(out).splitlines()) == 2
-    got, want = _rows(out), _rows(liquidity.index(df, stored))
+    got, want = _rows(out), _rows(liquidity.index(df, given))
     assert got == want and len({r["level"] for r in out.select("level").distinct().collect()}) == 4
     assert {r["median_source"] for r in out.select("median_source").distinct().collect()} == {"stored", "computed"}
 
@@ -90,3 +94,19 @@ def test_all_scopes_are_the_scopes(spark):
     assert "xxhash64" in above and "xxhash64" not in below and "explode" in above
     want = [r for land in (False, True) for scope in stats.SCOPES for r in _rows(stats.scope_stats(df, scope, land))]
     assert _rows(out) == sorted(want) and len(want) > 300
+
+
+def test_a_stored_step_leaves_no_shuffle_files(spark):
+    """The files go at once, though the driver collects no garbage; the setting is as it was."""
+    folder = Path(spark.conf.get("spark.local.dir"))
+    files = lambda: {p for p in folder.rglob("shuffle_*.data")}
+    before, was = files(), spark.conf.get(stored._REMOVE)
+    df = spark.range(5000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("n"))
+    assert sorted(r["k"] for r in stored.saved(df, "sums").collect()) == list(range(7))
+    for _ in range(50):
+        if not files() - before:
+            break
+        time.sleep(0.2)
+    assert not files() - before and spark.conf.get(stored._REMOVE) == was
+    # The frame itself can still be run, before and after.
+    assert df.count() == 7 and stored.saved(df, "sums").count() == 7
